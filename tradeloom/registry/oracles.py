@@ -1,7 +1,7 @@
 """The SQL each registered query must equal, over the raw tables only.
 
-Money averages use integer cents, ``(2 * cents + n) // (2 * n) / 100``: round-half-up without
-floating point. Other unrounded money is rounded to the digits the query rounds to.
+Money averages use integer cents, ``(2 * cents + n) // (2 * n) / 100`` (scaled for more digits):
+round-half-up without floating point. Other unrounded money is rounded to the digits the query rounds to.
 """
 
 from __future__ import annotations
@@ -99,8 +99,9 @@ def sql(uses: str, body: str) -> str:
     return f"WITH {parts}\n{body.strip()}" if parts else body.strip()
 
 
-def _half_up(cents: str, n: str) -> str:
-    return f"CASE WHEN {n} > 0 THEN ((2 * {cents} + {n}) // (2 * {n})) / 100.0 END"
+def _half_up(cents: str, n: str, digits: int = 2) -> str:
+    more = 10 ** (digits - 2)
+    return (f"CASE WHEN {n} > 0 THEN ((2 * {more} * {cents} + {n}) // (2 * {n})) / {100 * more}.0 END")
 
 
 _CENTS_PER_ORDER = _half_up("sum(cents)", "count(DISTINCT order_id)")
@@ -339,7 +340,8 @@ def _metric(part: str, key: str, dims: dict[str, str], measures: dict[str, str],
         {"WHERE " + where if where else ""} GROUP BY {groups} {tail}""")
 
 
-_PER_ORDER = "round(sum(line_amount) / count(DISTINCT order_id), 6)"
+_PER_ORDER = _half_up("sum(cents)", "count(DISTINCT order_id)", 6)
+_AVERAGE = _half_up("sum(cents)", "count(cents)", 8)
 _LINES = {"Revenue": _REVENUE, "Order Count": "count(DISTINCT order_id)"}
 _FULFILLED = "round(sum(confirmed_qty_packs) / nullif(sum(ordered_qty_packs), 0), 6)"
 _PAST = f"calendar_date <= {AS_OF}"
@@ -354,7 +356,7 @@ _METRICS = {
         "Calendar Date": "calendar_date", "Year": "year_num", "Month": "month_name",
         "Month Num": "month_num", "Week Start": "week_start_date", "Day Name": "day_name",
         "Is Weekend": "is_weekend"}, {
-        **_LINES, "Line Item Count": "count(*)", "Average Line Amount": "round(avg(line_amount), 8)"}),
+        **_LINES, "Line Item Count": "count(*)", "Average Line Amount": _AVERAGE}),
     "metric_monthly_revenue": _metric("fol", "date_key", {
         "Calendar Year": "year_num", "Calendar Month": "month_num", "Month Label": "month_label",
         "Fiscal Year": "fiscal_year", "Fiscal Year Label": "fiscal_year_label",
@@ -382,12 +384,12 @@ _METRICS = {
         "Return Date": "calendar_date", "Year Month": "month_label", "Fiscal Year": "fiscal_year",
         "Return Reason": "reason_code"}, {
         "Return Count": "count(*)", "Return Amount": "round(sum(credit_amount), 2)",
-        "Average Return Amount": "round(avg(credit_amount), 8)",
+        "Average Return Amount": _AVERAGE,
         "Units Returned": _big("returned_qty_packs")}),
     "mq_daily_trend": _metric("fol", "date_key", {
         "Calendar Date": "calendar_date", "Month": "month_name", "Day Name": "day_name"}, {
         "daily_revenue": _REVENUE, "orders": "count(DISTINCT order_id)", "line_items": "count(*)",
-        "avg_line_amount": "round(avg(line_amount), 8)"},
+        "avg_line_amount": _AVERAGE},
         f"year(calendar_date) = {YEAR}", "ORDER BY 1 DESC LIMIT 30"),
     "mq_monthly_fiscal": _metric("fol", "date_key", {
         "Month Label": "month_label", "Fiscal Year Label": "fiscal_year_label",
@@ -409,7 +411,7 @@ _METRICS = {
     "mq_returns_reason": _metric("frt", "date_key", {
         "Year Month": "month_label", "Return Reason": "reason_code"}, {
         "return_count": "count(*)", "total_credits": "round(sum(credit_amount), 2)",
-        "avg_credit": "round(avg(credit_amount), 8)"}, f"fiscal_year = {YEAR}"),
+        "avg_credit": _AVERAGE}, f"fiscal_year = {YEAR}"),
     "mq_revenue_vs_returns": sql("fol frt cal", f"""
         SELECT period, revenue, orders, "returns", return_credits,
           round(100 * return_credits / nullif(revenue, 0), 2) AS return_pct_of_revenue
