@@ -439,6 +439,93 @@ _METRICS = {
 }
 
 
+_NO_ADDRESS = ", ".join(f"CAST(NULL AS VARCHAR) AS address_{c}"
+                        for c in ("street", "city", "state", "postal_code"))
+_RAW_ORDERS = """SELECT {flow} AS flow, order_id, order_date, dc_id, customer_id, order_status,
+    order_total_amount, CAST(coalesce(n, 0) AS INTEGER) AS line_count
+    FROM fso LEFT JOIN (SELECT order_id AS oid, count(*) AS n FROM fol GROUP BY 1) ON order_id = oid
+    {where}"""
+
+
+def _key(entity: str, column: str) -> str:
+    return f"'{entity}-' || CAST(floor(CAST({column} AS BIGINT) / 500) AS BIGINT)"
+
+
+def _sizes() -> str:
+    documents = [
+        ("manufacturers", "(SELECT DISTINCT p_brand FROM part)", "'manufacturers-0'", "1"),
+        ("products", "part", _key("products", "p_partkey"), "1"),
+        ("distribution_centers", "supplier", _key("distribution_centers", "s_suppkey"), "1"),
+        ("customers", "customer", _key("customers", "c_custkey"), "1"),
+        ("sales_orders", "orders", _key("sales_orders", "o_orderkey"), "1"),
+        ("inventory_snapshots", "inv",
+         _key("inventory_snapshots", "product_id") + " || '-' || year(snapshot_ts)", "1"),
+        ("shipments", "ln", "CAST(NULL AS VARCHAR)", "CAST(l_orderkey AS BIGINT) // 500"),
+        ("returns", "frt", _key("returns", "original_order_id"), "1"),
+    ]
+    return sql("inv ln frt", " UNION ALL ".join(
+        f"SELECT document, '{entity}' AS entity, CAST(n AS INTEGER) AS elements "
+        f"FROM (SELECT {key} AS document, {chunk} AS chunk, count(*) AS n FROM {table} GROUP BY 1, 2)"
+        for entity, table, key, chunk in documents))
+
+
+_STREAMS = {
+    "ingest_landing": _sizes(),
+    "rescue_unknown_fields": f"""
+        SELECT {_key("customers", "c_custkey")} AS document, 'crm' AS feed,
+          CAST(count(*) AS INTEGER) AS row_count, CAST(count(*) AS INTEGER) AS unknown_rows,
+          CAST(sum(length(c_mktsegment)) AS INTEGER) AS lengths FROM customer GROUP BY 1""",
+    "flatten_customers": sql("cus", f"""
+        SELECT customer_id, customer_name, customer_type, region, credit_limit, is_340b_eligible,
+          {_NO_ADDRESS}, address_country, {_key("customers", "customer_id")} AS bronze_record_key
+        FROM cus"""),
+    "flatten_products": sql("prd", f"""
+        SELECT *, CAST(NULL AS VARCHAR) AS molecule, CAST(NULL AS VARCHAR) AS strength,
+          {_key("products", "product_id")} AS bronze_record_key FROM prd"""),
+    "flatten_manufacturers": """
+        SELECT DISTINCT p_brand AS manufacturer_id, 'Maker of ' || p_brand AS manufacturer_name,
+          'US' AS country, true AS gmp_certified, TIMESTAMP '1995-01-01 00:00:00' AS created_at,
+          'manufacturers-0' AS bronze_record_key FROM part""",
+    "flatten_distribution_centers": sql("dcs", f"""
+        SELECT dc_id, dc_name, region, {_NO_ADDRESS}, address_country,
+          'ambient' AS temperature_zones,
+          {_key("distribution_centers", "dc_id")} AS bronze_record_key FROM dcs"""),
+    "flatten_inventory": sql("inv", f"""
+        SELECT *, {_key("inventory_snapshots", "product_id")} || '-' || year(snapshot_ts)
+          AS bronze_record_key FROM inv"""),
+    "flatten_shipments": sql("fsh", """
+        SELECT *, CAST(NULL AS VARCHAR) AS tracking_number,
+          CAST(NULL AS VARCHAR) AS bronze_record_key FROM fsh"""),
+    "flatten_returns": sql("frt", f"""
+        SELECT * EXCLUDE (cents), {_key("returns", "original_order_id")} AS bronze_record_key
+        FROM frt"""),
+    "ingest_order_backfill": sql("fso fol", _RAW_ORDERS.format(
+        flow="'historical'", where="WHERE order_status = 'F'")),
+    "orders_fan_in": sql("fso fol", _RAW_ORDERS.format(flow="'live'", where="") + " UNION ALL "
+                         + _RAW_ORDERS.format(flow="'historical'", where="WHERE order_status = 'F'")),
+    "flatten_orders": sql("fso", f"""
+        SELECT *, 'FOB' AS incoterm, 'USD' AS currency,
+          {_key("sales_orders", "order_id")} AS bronze_record_key FROM fso"""),
+    "flatten_order_lines": sql("fol", f"""
+        SELECT * EXCLUDE (cents), confirmed_qty_packs < ordered_qty_packs AS backorder_flag,
+          {_key("sales_orders", "order_id")} AS bronze_record_key FROM fol"""),
+    "dedup_stream": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "scd2_apply": sql("his", "SELECT * FROM his"),
+    "run_pipeline": sql("fso fol inv fsh frt", " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, {total} AS total FROM {source}"
+        for name, total, source in [
+            ("fct_sales_orders", "round(sum(order_total_amount), 2)", "fso"),
+            ("fct_sales_order_lines", "round(sum(line_amount), 2)", "fol"),
+            ("fct_inventory_snapshots", "CAST(NULL AS DOUBLE)", "inv"),
+            ("fct_shipments", "CAST(NULL AS DOUBLE)", "fsh"),
+            ("fct_returns", "round(sum(credit_amount), 2)", "frt"),
+            ("dim_customers_current", "round(sum(c_acctbal), 2)", "customer"),
+            ("dim_products_current", "round(sum(p_retailprice), 2)", "part"),
+            ("dim_manufacturers_current", "CAST(NULL AS DOUBLE)", "(SELECT DISTINCT p_brand FROM part)"),
+            ("dim_distribution_centers_current", "CAST(NULL AS DOUBLE)", "supplier")])),
+}
+
+
 def oracles() -> dict[str, str]:
     """Query name to SQL."""
-    return {**_KEYS, **_GOLD, **_DASHBOARD, **_QUALITY, **_HISTORY, **_METRICS}
+    return {**_KEYS, **_GOLD, **_DASHBOARD, **_QUALITY, **_HISTORY, **_METRICS, **_STREAMS}

@@ -7,39 +7,51 @@ from dataclasses import dataclass, field
 # ---------------------------------------------------------------------------------------------
 # Field names and types of the landing feed. Money is DOUBLE throughout.
 ADDRESS_FIELDS = ("street", "city", "state", "postal_code", "country")
-_ADDRESS = "STRUCT<" + ", ".join(f"{name}: STRING" for name in ADDRESS_FIELDS) + ">"
 
-_LINE = ("line_id: STRING, product_id: STRING, ordered_qty_packs: INT, confirmed_qty_packs: INT, "
-         "unit_price: DOUBLE, line_amount: DOUBLE, backorder_flag: BOOLEAN")
+
+def struct_ddl(fields: dict[str, str]) -> str:
+    return "STRUCT<" + ", ".join(f"{name}: {kind}" for name, kind in fields.items()) + ">"
+
+
+_ADDRESS = struct_ddl({name: "STRING" for name in ADDRESS_FIELDS})
+
+_LINES = "ARRAY<" + struct_ddl({
+    "line_id": "STRING", "product_id": "STRING", "ordered_qty_packs": "INT",
+    "confirmed_qty_packs": "INT", "unit_price": "DOUBLE", "line_amount": "DOUBLE",
+    "backorder_flag": "BOOLEAN"}) + ">"
 
 LANDING_ENTITIES = {
-    "manufacturers":
-        "manufacturer_id: STRING, manufacturer_name: STRING, country: STRING, "
-        "gmp_certified: BOOLEAN, created_at: STRING",
-    "products":
-        "product_id: STRING, manufacturer_id: STRING, product_name: STRING, molecule: STRING, "
-        "therapeutic_area: STRING, dosage_form: STRING, strength: STRING, pack_size: INT, "
-        "cold_chain_required: BOOLEAN, list_price: DOUBLE",
-    "distribution_centers":
-        f"dc_id: STRING, dc_name: STRING, region: STRING, address: {_ADDRESS}, "
-        "temperature_zones: ARRAY<STRING>",
-    "customers":
-        "customer_id: STRING, customer_name: STRING, customer_type: STRING, region: STRING, "
-        f"credit_limit: DOUBLE, is_340b_eligible: BOOLEAN, address: {_ADDRESS}",
-    "sales_orders":
-        "order_id: STRING, order_date: STRING, dc_id: STRING, customer_id: STRING, "
-        "order_status: STRING, payment_terms: STRING, incoterm: STRING, currency: STRING, "
-        f"order_total_amount: DOUBLE, lines: ARRAY<STRUCT<{_LINE}>>",
-    "inventory_snapshots":
-        "snapshot_id: STRING, snapshot_ts: STRING, dc_id: STRING, product_id: STRING, "
-        "on_hand_packs: INT, reserved_packs: INT, in_transit_packs: INT",
-    "shipments":
-        "shipment_id: STRING, order_id: STRING, dc_id: STRING, customer_id: STRING, "
-        "ship_date: STRING, delivery_date: STRING, shipment_status: STRING, "
-        "carrier_name: STRING, tracking_number: STRING",
-    "returns":
-        "return_id: STRING, original_order_id: STRING, customer_id: STRING, product_id: STRING, "
-        "return_date: STRING, reason_code: STRING, returned_qty_packs: INT, credit_amount: DOUBLE",
+    "manufacturers": {
+        "manufacturer_id": "STRING", "manufacturer_name": "STRING", "country": "STRING",
+        "gmp_certified": "BOOLEAN", "created_at": "STRING"},
+    "products": {
+        "product_id": "STRING", "manufacturer_id": "STRING", "product_name": "STRING",
+        "molecule": "STRING", "therapeutic_area": "STRING", "dosage_form": "STRING",
+        "strength": "STRING", "pack_size": "INT", "cold_chain_required": "BOOLEAN",
+        "list_price": "DOUBLE"},
+    "distribution_centers": {
+        "dc_id": "STRING", "dc_name": "STRING", "region": "STRING", "address": _ADDRESS,
+        "temperature_zones": "ARRAY<STRING>"},
+    "customers": {
+        "customer_id": "STRING", "customer_name": "STRING", "customer_type": "STRING",
+        "region": "STRING", "credit_limit": "DOUBLE", "is_340b_eligible": "BOOLEAN",
+        "address": _ADDRESS},
+    "sales_orders": {
+        "order_id": "STRING", "order_date": "STRING", "dc_id": "STRING", "customer_id": "STRING",
+        "order_status": "STRING", "payment_terms": "STRING", "incoterm": "STRING",
+        "currency": "STRING", "order_total_amount": "DOUBLE", "lines": _LINES},
+    "inventory_snapshots": {
+        "snapshot_id": "STRING", "snapshot_ts": "STRING", "dc_id": "STRING",
+        "product_id": "STRING", "on_hand_packs": "INT", "reserved_packs": "INT",
+        "in_transit_packs": "INT"},
+    "shipments": {
+        "shipment_id": "STRING", "order_id": "STRING", "dc_id": "STRING", "customer_id": "STRING",
+        "ship_date": "STRING", "delivery_date": "STRING", "shipment_status": "STRING",
+        "carrier_name": "STRING", "tracking_number": "STRING"},
+    "returns": {
+        "return_id": "STRING", "original_order_id": "STRING", "customer_id": "STRING",
+        "product_id": "STRING", "return_date": "STRING", "reason_code": "STRING",
+        "returned_qty_packs": "INT", "credit_amount": "DOUBLE"},
 }
 # ---------------------------------------------------------------------------------------------
 
@@ -68,13 +80,13 @@ LINEAGE = tuple(_LINEAGE)
 def payload_ddl(*entities: str) -> str:
     """DDL type of a document's payload holding the given entity arrays (all by default)."""
     names = entities or tuple(LANDING_ENTITIES)
-    return "STRUCT<" + ", ".join(f"{n}: ARRAY<STRUCT<{LANDING_ENTITIES[n]}>>" for n in names) + ">"
+    return struct_ddl({n: f"ARRAY<{struct_ddl(LANDING_ENTITIES[n])}>" for n in names})
 
 
 def document_ddl(*entities: str) -> str:
     """Schema of a landing document, with and without the ``{key, value}`` envelope."""
     names = entities or tuple(LANDING_ENTITIES)
-    flat = ", ".join(f"{n} ARRAY<STRUCT<{LANDING_ENTITIES[n]}>>" for n in names)
+    flat = ", ".join(f"{n} ARRAY<{struct_ddl(LANDING_ENTITIES[n])}>" for n in names)
     return f"key STRING, value {payload_ddl(*names)}, {flat}"
 
 
@@ -84,7 +96,7 @@ BRONZE = Table({"key": "STRING", "value": payload_ddl(), **_INGEST, "_rescued_da
 ORDERS_RAW = Table({
     "order_id": "STRING", "order_date": "TIMESTAMP", "dc_id": "STRING", "customer_id": "STRING",
     "order_status": "STRING", "payment_terms": "STRING", "incoterm": "STRING",
-    "currency": "STRING", "order_total_amount": "DOUBLE", "lines": f"ARRAY<STRUCT<{_LINE}>>",
+    "currency": "STRING", "order_total_amount": "DOUBLE", "lines": _LINES,
     **_LINEAGE})
 
 FACTS = {
