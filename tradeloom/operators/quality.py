@@ -9,6 +9,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def require_keys(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -21,11 +22,12 @@ def _holds(predicate: str) -> Column:
 
 
 def expect_or_drop(df: DataFrame, rules: Mapping[str, str],
-                   observation: Observation | None = None) -> DataFrame:
+                   observation: Observation | str | None = None) -> DataFrame:
     """Drop rows that break any rule; a rule that evaluates to NULL counts as broken.
 
     ``observation`` collects the input row count and the failures of each rule while the result is
-    computed, without a second pass.
+    computed, without a second pass. In a stream it is a name, and the counts of each batch are in
+    the query's progress under that name.
     """
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
@@ -33,6 +35,16 @@ def expect_or_drop(df: DataFrame, rules: Mapping[str, str],
     return df.filter(reduce(and_, (_holds(p) for p in rules.values())))
 
 
+def dropped_in_stream(query: StreamingQuery, observation: str) -> dict[str, int]:
+    """Rows seen and failures per rule of a query's recent batches."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(observation)
+        for name, count in (row.asDict() if row else {}).items():
+            totals[name] = totals.get(name, 0) + count
+    return totals
+
+
 def expectation_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """One row per rule with the rows seen, failed and kept, from one aggregate over the input."""
     failures = [F.count_if(~_holds(p)).alias(f"f{i}") for i, p in enumerate(rules.values())]

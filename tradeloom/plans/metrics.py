@@ -85,10 +85,18 @@ class MetricView:
                 rows = rows.join(lookup.table.alias(lookup.name), lookup.on(), "left")
         if self.where:
             rows = rows.filter(self.where)
-        if where is None:
-            return rows
-        named = rows.select("*", *(F.expr(e).alias(n) for n, e in self.dimensions.items()))
-        return named.filter(where)
+        return rows if where is None else self._named(rows).filter(where)
+
+    def _named(self, rows: DataFrame) -> DataFrame:
+        """Rows with the dimensions as columns beside those of the fact and the lookups."""
+        taken = {c.lower() for c in rows.columns}
+        extra = {}
+        for name, expression in self.dimensions.items():
+            if name.lower() not in taken:
+                extra[name] = expression
+            elif expression.split(".")[-1].lower() != name.lower():
+                raise ValueError(f"dimension {name!r} hides another column of that name")
+        return rows.select("*", *(F.expr(e).alias(n) for n, e in extra.items()))
 
     def _within(self, rows: DataFrame, lookup: Lookup, period: str | Column) -> DataFrame:
         """Facts of a period. The period's key range is also put on the fact's own key, where it

@@ -17,7 +17,9 @@ from tradeloom.operators import quality
 from tradeloom.operators.calendar_dim import calendar_spanning
 from tradeloom.operators.dedup import dedup_first
 from tradeloom.operators.scd2 import current_dimension, scd2_as_of, scd2_history
-from tradeloom.plans import dashboard, gold, metric_queries
+from tradeloom.plans import metric_queries
+from tradeloom.plans.gold import present
+from tradeloom.plans.marts import MARTS, mart
 from tradeloom.plans.metrics import full_grain, metric_views
 from tradeloom.schemas import FACT_RULES
 from tradeloom.sources.star import Star
@@ -118,6 +120,29 @@ def _as_of(s: Star) -> DataFrame:
                         F.col("__START_AT").alias("valid_from"))
 
 
+# --- marts -----------------------------------------------------------------------------------
+
+class DateFromOrders(dict):
+    """The star for marts, which take the date from the order: lines need no date of their own."""
+
+    def __init__(self, star: Star):
+        super().__init__()
+        self.star = star
+
+    def __missing__(self, table: str) -> DataFrame:
+        lines = table == "fct_sales_order_lines"
+        return self.star["order_lines_without_date" if lines else table]
+
+
+def _mart_query(name: str) -> Callable[[Star], DataFrame]:
+    def build(star: Star) -> DataFrame:
+        result = present(name, mart(name, DateFromOrders(star), AS_OF))
+        if name == "kpi_summary":
+            return _rounded(result, total_revenue=2, avg_order_value=4)
+        return result
+    return build
+
+
 # --- metrics ---------------------------------------------------------------------------------
 
 _METRIC_DIGITS = {"Revenue": 2, "YTD Revenue": 2, "Return Amount": 2, "Average Line Amount": 8,
@@ -138,49 +163,13 @@ def _metric_query(build: Callable[[dict], DataFrame], **digits: int) -> Query:
 
 
 def batch_queries() -> dict[str, Query]:
-    g, d, q = gold, dashboard, metric_queries
+    q = metric_queries
     star: dict[str, Callable[[Star], DataFrame]] = {
         "dedup_first": _dedup_first,
         "require_keys": lambda s: quality.require_keys(_patchy_orders(s), ["order_id"]),
         "date_key": _date_key,
         "calendar_dim": lambda s: _calendar(s, 1),
         "calendar_dim_fiscal_july": lambda s: _calendar(s, 7),
-        # gold marts
-        "kpi_summary": lambda s: _rounded(
-            g.kpi_summary(s.fct_sales_orders, s.order_lines_without_date, s.dim_customers_current),
-            total_revenue=2, avg_order_value=4),
-        "monthly_revenue": lambda s: g.present("monthly_revenue", g.monthly_revenue(
-            s.fct_sales_orders, s.order_lines_without_date)),
-        "revenue_by_category": lambda s: g.present("revenue_by_category", g.revenue_by_category(
-            s.order_lines_without_date, s.dim_products_current)),
-        "revenue_by_customer_type": lambda s: g.present(
-            "revenue_by_customer_type", g.revenue_by_customer_type(
-                s.fct_sales_orders, s.order_lines_without_date, s.dim_customers_current)),
-        "orders_by_status": lambda s: g.present("orders_by_status",
-                                                g.orders_by_status(s.fct_sales_orders)),
-        "inventory_availability": lambda s: g.present(
-            "inventory_availability", g.inventory_availability(
-                s.fct_inventory_snapshots, s.dim_distribution_centers_current,
-                s.dim_products_current)),
-        "returns_by_reason": lambda s: g.present("returns_by_reason", g.returns_by_reason(
-            s.fct_returns, s.order_lines_without_date)),
-        "product_revenue": lambda s: g.present("product_revenue", g.product_revenue(
-            s.order_lines_without_date, s.dim_products_current)),
-        # dashboard marts
-        "daily_revenue": lambda s: d.daily_revenue(
-            s.fct_sales_orders, s.order_lines_without_date, s.dim_time),
-        "monthly_revenue_fiscal": lambda s: d.monthly_revenue_fiscal(
-            s.fct_sales_orders, s.order_lines_without_date, s.dim_time),
-        "fiscal_ytd": lambda s: d.fiscal_ytd(
-            s.fct_sales_orders, s.order_lines_without_date, s.dim_time, AS_OF),
-        "fiscal_ytd_running": lambda s: d.fiscal_ytd_running(
-            s.fct_sales_orders, s.order_lines_without_date, s.dim_time, AS_OF),
-        "inventory_monthly": lambda s: d.inventory_monthly(s.fct_inventory_snapshots, s.dim_time),
-        "returns_monthly": lambda s: d.returns_monthly(s.fct_returns, s.dim_time),
-        "shipment_trends": lambda s: d.shipment_trends(s.fct_shipments, s.dim_time),
-        "current_month_kpis": lambda s: d.current_month_kpis(
-            s.fct_sales_orders, s.order_lines_without_date, s.fct_shipments, s.fct_returns,
-            s.dim_time, AS_OF),
         # quality
         "expect_or_drop": lambda s: quality.expect_or_drop(
             _patchy_lines(s), FACT_RULES["fct_sales_order_lines"]),
@@ -194,6 +183,7 @@ def batch_queries() -> dict[str, Query]:
         "scd2_as_of": _as_of,
     }
     queries = {name: _star_query(build) for name, build in star.items()}
+    queries |= {name: _star_query(_mart_query(name)) for name in MARTS}
     for view in ("metric_daily_revenue", "metric_monthly_revenue", "metric_fiscal_ytd",
                  "metric_inventory", "metric_shipments", "metric_returns"):
         queries[view] = _metric_view(view)

@@ -39,9 +39,11 @@ def clean_fact(rows: DataFrame, table: str) -> DataFrame:
     """Rows of a fact that pass its rules, first arrival per key.
 
     Rules come before de-duplication: both look only at the key, so the result is the same, and the
-    NULL rows of documents without the entity do not meet in one reducer.
+    NULL rows of documents without the entity do not meet in one reducer. The failures of each rule
+    are in the query's progress under the table's name.
     """
-    return dedup_stream(expect_or_drop(rows, FACT_RULES[table]), FACT_KEYS[table])
+    checked = expect_or_drop(rows, FACT_RULES[table], observation=table)
+    return dedup_stream(checked, FACT_KEYS[table])
 
 
 def ingest_landing(spark: SparkSession, landing: str, store: Store, **options):
@@ -94,12 +96,16 @@ def load_dimension(spark: SparkSession, store: Store, entity: str, parts: int =
 
 
 def run_pipeline(spark: SparkSession, landing: str, backfill: str | None, store: Store,
-                 parts: int = PARTS) -> dict[str, DataFrame]:
-    """Process everything that arrived since the last run; returns the silver tables."""
-    sinks.finish([ingest_landing(spark, landing, store)])
+                 parts: int = PARTS, files_per_batch: int | None = None) -> dict[str, DataFrame]:
+    """Process everything that arrived since the last run; returns the silver tables.
+
+    ``files_per_batch`` bounds a micro-batch when a large backlog of files waits.
+    """
+    sinks.finish([ingest_landing(spark, landing, store, files_per_batch=files_per_batch)])
     orders = [ingest_orders(spark, store)]
     if backfill:
-        orders.append(ingest_order_backfill(spark, backfill, store))
+        orders.append(ingest_order_backfill(spark, backfill, store,
+                                            files_per_batch=files_per_batch))
     others = [load_fact(spark, store, t) for t in FLAT_FACTS]
     others += [load_dimension(spark, store, e, parts) for e in DIMENSIONS]
     sinks.finish(orders)
