@@ -7,32 +7,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests_helpers import expected_history
 from tradeloom.operators.scd2 import current_dimension, scd2_as_of, scd2_history
 
 T0 = dt.datetime(2024, 1, 1)
 LOG = "k STRING, at TIMESTAMP, a STRING, zones ARRAY<STRING>"
 
 
-def expected_history(records):
-    """Brute force: per key in time order, smallest state per moment, runs of equal states."""
-    versions = []
-    for key in {r[0] for r in records}:
-        moments = {}
-        for _, at, a, zones in (r for r in records if r[0] == key):
-            rank = ((a is not None, a or ""), (zones is not None, zones or []))  # NULL is smallest
-            moments[at] = min(moments.get(at, (rank, a, zones)), (rank, a, zones),
-                              key=lambda x: x[0])
-        runs = []
-        for at in sorted(moments):
-            _, a, zones = moments[at]
-            if not runs or (runs[-1][1], runs[-1][2]) != (a, zones):
-                runs.append([key, a, zones, at, None])
-                if len(runs) > 1:
-                    runs[-2][4] = at
-        versions += [tuple(r) for r in runs]
-    return sorted(versions, key=repr)
-
-
 def history(spark, records, **options):
     log = spark.createDataFrame(records, LOG)
     return scd2_history(log, ["k"], "at", ["a", "zones"], **options)
