@@ -14,7 +14,7 @@ from tradeloom.schemas import BRONZE, FACTS, ORDERS_RAW, Table
 from tradeloom.streaming import pipeline, sinks
 from tradeloom.streaming.dedup import dedup_stream
 from tradeloom.streaming.pipeline import Store
-from tradeloom.streaming.scd2 import read_history, scd2_apply
+from tradeloom.streaming.scd2 import read_current, read_history, scd2_apply
 
 T0 = dt.datetime(2026, 4, 1)
 
@@ -146,13 +146,18 @@ def test_history_by_batches_equals_history_at_once(spark, folder):
     table = Table({"k": "STRING", "at": "TIMESTAMP", "a": "STRING", "zones": "ARRAY<STRING>"})
     sinks.create_table(spark, f"{folder}/in", table)
     done = []
-    for part in (records[:60], records[60:61], records[61:]):  # late records are among them
+    newer = [(k, T0 + dt.timedelta(days=9, hours=n % 5), a, z) for n, (k, _, a, z) in enumerate(records[:40])]
+    unknown = [("new", T0, "x", None), ("k1", T0 + dt.timedelta(days=20), "y", None)]
+    # late records, one record, only newer records, an unknown key, copies of old records
+    for part in (records[:60], records[60:61], records[61:], newer, unknown, records[:30]):
         done += part
         spark.createDataFrame(part, table.ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         sinks.finish([scd2_apply(sinks.stream_table(spark, f"{folder}/in", table), ["k"], "at",
                                  ["a", "zones"], f"{folder}/out", f"{folder}/check", parts=4)])
-        got = sorted((tuple(r) for r in read_history(spark, f"{folder}/out").collect()), key=repr)
+        got = sorted((tuple(r) for r in read_history(spark, f"{folder}/out", ["k"]).collect()), key=repr)
         assert got == expected_history(done)
+        current = sorted(tuple(r) for r in read_current(spark, f"{folder}/out").select("k", "a").collect())
+        assert current == sorted((k, a) for k, a, _, _, end in expected_history(done) if end is None)
 
 
 def test_pipeline_in_two_runs(spark, folder):

@@ -8,6 +8,8 @@ holds a large part of the log is spread over as many tasks as it has buckets.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,17 +31,20 @@ def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
 
     Consecutive records with equal tracked columns are one version. Of several records with the same
     key and sequence the smallest by the tracked columns counts, so the history is a function of the
-    set of records, whatever their order or batches. Keys and sequence must not be NULL.
+    set of records, whatever their order or batches. A record without key or sequence has no place in
+    it and is left out; check for such records with expectations first.
     """
     keys = list(keys)
     if tracked is None:
         tracked = [c for c in log.columns if c not in {*keys, sequence, *LINEAGE}]
     tracked = list(tracked)
 
-    # One record per key and moment; copies collapse before the shuffle.
+    # One record per key and moment; copies collapse before the shuffle. The NULL checks are those
+    # the join below implies for one of its sides: with them on both, the sides share their shuffles.
+    present = reduce(and_, (F.col(c).isNotNull() for c in [*keys, "_bucket"]))
     records = (log.groupBy(*keys, F.col(sequence).alias(START))
                .agg(F.min(F.struct(*tracked)).alias("_state"))
-               .withColumn("_bucket", bucket(F.col(START))))
+               .withColumn("_bucket", bucket(F.col(START))).filter(present))
 
     # Inside a bucket: the first record, and those that differ from the one before.
     inside = Window.partitionBy(*keys, "_bucket").orderBy(START)

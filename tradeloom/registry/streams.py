@@ -136,15 +136,15 @@ def _dedup_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scd2_apply(spark: SparkSession, folder: str) -> DataFrame:
-    """The event log in four batches, in no particular order, into a history."""
+    """The event log in two batches, in no particular order, into a history."""
     log = _once(spark, folder, "change-log", lambda p: Star(spark, folder).change_log
-                .repartition(4).write.parquet(p))
+                .repartition(2).write.parquet(p))
     changes = sinks.stream_table(spark, log, Table({
         "user_id": "BIGINT", "_ingested_at": "TIMESTAMP", "event_type": "STRING"}), 1)
     out = Store(work_dir(spark, "scd2"))
     sinks.finish([scd2_apply(changes, ["user_id"], "_ingested_at", ["event_type"],
-                             out.table("users"), out.checkpoint("users"), parts=8)])
-    return read_history(spark, out.table("users")).withColumnsRenamed(
+                             out.table("users"), out.checkpoint("users"), parts=4)])
+    return read_history(spark, out.table("users"), ["user_id"]).withColumnsRenamed(
         {"__START_AT": "start_at", "__END_AT": "end_at"})
 
 

@@ -95,6 +95,7 @@ def _documents(rows: DataFrame, entity: str) -> DataFrame:
 
 def write_landing(star: Star, folder: str) -> None:
     """All tables as landing documents, one per file."""
+    star.stage_lines(f"{folder}-lines")
     parts = [_documents(_rows(star, e), e) for e in LANDING_ENTITIES]
     _write(reduce(DataFrame.unionAll, parts), folder)
 

@@ -53,6 +53,11 @@ class Star:
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.schema(RAW[table]).parquet(f"{self.folder}/{table}.parquet")
 
+    def stage_lines(self, path: str) -> None:
+        """Write the de-duplicated lines once and read them from there: four facts start from them."""
+        self.line_source.write.mode("overwrite").parquet(path)
+        self.line_source = self.spark.read.schema(RAW["lineitem"]).parquet(path)
+
     @cached_property
     def dim_time(self) -> DataFrame:
         return calendar_dim(self.spark, CALENDAR_START, CALENDAR_END)

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.operators.flatten import (flatten_dimension, flatten_fact, flatten_order_lines,
                                          flatten_orders, flatten_orders_raw)
 from tradeloom.operators.quality import expect_or_drop
-from tradeloom.operators.scd2 import current_dimension
 from tradeloom.schemas import (BRONZE, DIMENSIONS, FACT_KEYS, FACT_RULES, FACTS, FLAT_FACTS,
                                ORDERS_RAW)
 from tradeloom.sources.landing import backfill_stream, landing_stream
 from tradeloom.streaming import sinks
 from tradeloom.streaming.dedup import dedup_stream
-from tradeloom.streaming.scd2 import PARTS, read_history, scd2_apply
+from tradeloom.streaming.scd2 import PARTS, read_current, read_history, scd2_apply
 
 
 @dataclass(frozen=True)
@@ -119,7 +118,7 @@ def silver_tables(spark: SparkSession, store: Store) -> dict[str, DataFrame]:
     """Facts, histories and current dimensions of a store."""
     tables = {t: sinks.read_table(spark, store.table(t), columns) for t, columns in FACTS.items()}
     for spec in DIMENSIONS.values():
-        history = read_history(spark, store.table(spec.history))
-        tables[spec.history] = history
-        tables[spec.current] = current_dimension(history, spec.columns)
+        root = store.table(spec.history)
+        tables[spec.history] = read_history(spark, root, [spec.key])
+        tables[spec.current] = read_current(spark, root).select(*spec.columns)
     return tables

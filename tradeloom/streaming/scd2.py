@@ -1,51 +1,143 @@
-"""Type-2 history kept up to date from a change stream.
+"""Type-2 history kept up to date from a change stream, at a cost that follows the batch.
 
-The truth is an append-only change log. Log and history are split by a hash of the key; a batch
-recomputes the history of the parts its keys fall into, from the log, and replaces those parts. That
-makes a repeated batch harmless, and a late record lands where its sequence puts it.
+Under the root of a history:
+
+``log``       every change record, appended per batch; the truth
+``late``      per batch, the keys that received a record not newer than all their earlier ones
+``versions``  per batch, the recomputed versions of the batch's keys
+``open``      the open version of every key, in ``parts`` by key hash, each part in one of two slots
+``parts``     per batch, the slot that became current for each part it touched; written last
+
+A key with only newer records continues from its open version. A late key is recomputed from the log
+and voids the versions earlier batches wrote for it. Only open rows of touched parts are rewritten,
+into the slot that is not current, so nothing is read and replaced by the same plan and a batch that is
+repeated after a failure reads what it read before. All folders must be on shared storage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom.operators.scd2 import END, START, scd2_history
 
-PARTS = 64  # choose so that one part of the history is some hundred MB
+PARTS = 64  # choose so that the open versions of one part are some hundred MB
+_SEEN = "_last_seen"
+
+
+def _stored(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """A table written batch by batch, up to a batch; None if nothing was written yet."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    return df if before is None else df.filter(F.col("batch_id") < before)
+
+
+def _slots(spark: SparkSession, root: str, before: int | None = None) -> dict[int, int]:
+    """The current slot of each part: at most ``parts`` rows."""
+    written = _stored(spark, f"{root}/parts", before)
+    if written is None:
+        return {}
+    newest = written.groupBy("_part").agg(F.max_by("_slot", "batch_id").alias("_slot"))
+    return {r._part: r._slot for r in newest.collect()}
+
+
+def _open_rows(spark: SparkSession, root: str, slots: dict[int, int]) -> DataFrame | None:
+    """Open versions in the given slots; reads no other part."""
+    if not slots:
+        return None
+    current = F.lit(False)
+    for slot in (0, 1):
+        current |= (F.col("_slot") == slot) & F.col("_part").isin(
+            [p for p, s in slots.items() if s == slot])
+    return spark.read.parquet(f"{root}/open").filter(current).drop("_slot")
+
+
+def _part(keys: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.hash(*keys), F.lit(parts)).alias("_part")
 
 
 def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked: Sequence[str],
                root: str, checkpoint: str, parts: int = PARTS) -> StreamingQuery:
     """Start applying all available changes to the history under ``root``."""
     keys, tracked = list(keys), list(tracked)
-    log, history = f"{root}/log", f"{root}/history"
+
+    def written(spark: SparkSession, df: DataFrame, table: str, batch_id: int) -> DataFrame:
+        path = f"{root}/{table}/batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(F.pmod(F.hash(*keys), F.lit(parts)).alias("_part"), *keys, sequence,
-                            *tracked)
-        added = f"{log}/batch_id={batch_id}"
-        (rows.hint("rebalance", "_part").write.mode("overwrite").partitionBy("_part")
-         .parquet(added))
-        schema = rows.schema
-        touched = [r._part for r in spark.read.schema(schema).parquet(added)
-                   .select("_part").distinct().collect()]  # at most ``parts`` numbers
+        fresh = written(spark, batch.select(*keys, sequence, *tracked), "log", batch_id)
+        news = fresh.groupBy(*keys, _part(keys, parts)).agg(
+            F.min(sequence).alias("_first"), F.max(sequence).alias("_newest"))
+        touched = [r._part for r in news.select("_part").distinct().collect()]  # <= parts numbers
         if not touched:
             return
-        records = spark.read.schema(schema).parquet(log).filter(F.col("_part").isin(touched))
-        versions = scd2_history(records, ["_part", *keys], sequence, tracked)
-        (versions.hint("rebalance", "_part").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(history))
+        slots = _slots(spark, root, before=batch_id)
+        before = _open_rows(spark, root, {p: s for p, s in slots.items() if p in touched})
+
+        records = fresh
+        if before is not None:
+            late = written(spark, before.join(news, keys).filter(F.col("_first") <= F.col(_SEEN))
+                           .select(*keys), "late", batch_id)
+            continued = (before.join(news.select(*keys), keys, "left_semi")
+                         .select(*keys, F.col(START).alias(sequence), *tracked))
+            if late.isEmpty():
+                records = continued.unionByName(fresh)
+            else:
+                log = _stored(spark, f"{root}/log", before=batch_id + 1).drop("batch_id")
+                records = (continued.unionByName(fresh).join(late, keys, "left_anti")
+                           .unionByName(log.join(late, keys, "left_semi").select(*fresh.columns)))
+        versions = written(spark, scd2_history(records, keys, sequence, tracked), "versions",
+                           batch_id)
+
+        rows = (versions.filter(F.col(END).isNull()).drop(END)
+                .join(news.select(*keys, "_part", "_newest"), keys))
+        if before is None:
+            rows = rows.withColumnRenamed("_newest", _SEEN)
+        else:
+            seen = before.select(*keys, _SEEN)
+            rows = (rows.join(seen, keys, "left")
+                    .withColumn(_SEEN, F.greatest(_SEEN, "_newest")).drop("_newest")
+                    .unionByName(before.join(news.select(*keys), keys, "left_anti")))
+        # A part never seen starts in slot 0, a known one changes slots.
+        target = {p: 1 - slots[p] if p in slots else 0 for p in touched}
+        in_second = F.col("_part").isin([p for p, s in target.items() if s == 1])
+        (rows.withColumn("_slot", F.when(in_second, 1).otherwise(0))
+         .hint("rebalance", "_part").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_slot", "_part")
+         .parquet(f"{root}/open"))
+        written(spark, spark.createDataFrame(list(target.items()), "_part INT, _slot INT"), "parts",
+                batch_id)
 
     return (changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """The history written by :func:`scd2_apply`."""
-    rows = spark.read.parquet(f"{root}/history").drop("_part")
-    return rows.select(*(c for c in rows.columns if c not in (START, END)), START, END)
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The open version of every key, with its start but without an end."""
+    rows = _open_rows(spark, root, _slots(spark, root))
+    if rows is None:
+        raise ValueError(f"no history under {root}")
+    rows = rows.drop("_part", _SEEN)
+    return rows.select(*(c for c in rows.columns if c != START), START)
+
+
+def read_history(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """All versions of every key."""
+    current = read_current(spark, root)
+    closed = _stored(spark, f"{root}/versions").filter(F.col(END).isNotNull())
+    late = _stored(spark, f"{root}/late")
+    if late is not None:
+        voids = late.groupBy(*keys).agg(F.max("batch_id").alias("_void_before"))
+        closed = (closed.join(voids, list(keys), "left")
+                  .filter(F.col("_void_before").isNull() | (F.col("batch_id") >= F.col("_void_before"))))
+    return closed.select(*current.columns, END).unionByName(
+        current.withColumn(END, F.lit(None).cast("timestamp")))
