@@ -2,7 +2,8 @@
 
 Money arrives as DOUBLE. A sum of doubles depends on the order of the rows, so a re-run after a lost
 executor may differ in the last digit, and a rounded average may then fall on the other side of a
-half cent. Sums that feed a rounded figure therefore run over DECIMAL(18,4).
+half cent. Sums that feed a rounded figure therefore run over DECIMAL(18,4): amounts below 10^14 with
+four decimals; a larger one fails the job instead of giving a wrong total.
 """
 
 from __future__ import annotations

@@ -459,7 +459,7 @@ def _sizes() -> str:
         ("customers", "customer", _key("customers", "c_custkey"), "1"),
         ("sales_orders", "orders", _key("sales_orders", "o_orderkey"), "1"),
         ("inventory_snapshots", "inv",
-         _key("inventory_snapshots", "product_id") + " || '-' || year(snapshot_ts)", "1"),
+         _key("inventory_snapshots", "product_id") + " || '-' || (CAST(dc_id AS BIGINT) // 100) || '-' || year(snapshot_ts)", "1"),
         ("shipments", "ln", "CAST(NULL AS VARCHAR)", "CAST(l_orderkey AS BIGINT) // 500"),
         ("returns", "frt", _key("returns", "original_order_id"), "1"),
     ]
@@ -491,7 +491,7 @@ _STREAMS = {
           'ambient' AS temperature_zones,
           {_key("distribution_centers", "dc_id")} AS bronze_record_key FROM dcs"""),
     "flatten_inventory": sql("inv", f"""
-        SELECT *, {_key("inventory_snapshots", "product_id")} || '-' || year(snapshot_ts)
+        SELECT *, {_key("inventory_snapshots", "product_id")} || '-' || (CAST(dc_id AS BIGINT) // 100) || '-' || year(snapshot_ts)
           AS bronze_record_key FROM inv"""),
     "flatten_shipments": sql("fsh", """
         SELECT *, CAST(NULL AS VARCHAR) AS tracking_number,

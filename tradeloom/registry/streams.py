@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tradeloom.operators.flatten import flatten_dimension
 from tradeloom.schemas import (BRONZE, DIMENSIONS, FACTS, LANDING_ENTITIES, LINEAGE, ORDERS_RAW,
                                Table)
-from tradeloom.session import work_dir
+from tradeloom.session import state_partitions, work_dir
 from tradeloom.sources.documents import write_backfill, write_landing
 from tradeloom.sources.star import RAW, Star
 from tradeloom.streaming import pipeline, sinks
@@ -165,8 +165,15 @@ def _run_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def _started_small(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        with state_partitions(spark):
+            return query(spark, folder)
+    return run
+
+
 def stream_queries() -> dict[str, Query]:
-    return {
+    queries = {
         "ingest_landing": _ingest_landing,
         "rescue_unknown_fields": _rescued,
         "flatten_customers": _dimension("customers"),
@@ -184,3 +191,4 @@ def stream_queries() -> dict[str, Query]:
         "scd2_apply": _scd2_apply,
         "run_pipeline": _run_pipeline,
     }
+    return {name: _started_small(query) for name, query in queries.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a checkpoint of the state writes what changed, not the whole state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Settings for large inputs: start from many small shuffle partitions and let AQE merge them up to
@@ -43,12 +46,28 @@ def build_session(app_name: str = "tradeloom", master: str | None = None, cluste
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on in a session somebody else built."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   BASE_CONF["spark.sql.streaming.stateStore.providerClass"])
+    for key, value in BASE_CONF.items():
+        if key.startswith(("spark.sql.session.", "spark.sql.streaming.")):
+            spark.conf.set(key, value)
     return spark
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, per_core: int = 2):
+    """Start streams with at most so many state partitions per core of the cluster.
+
+    A stream keeps the number it first started with. More partitions than cores help only while they
+    keep the state of each small; on a small machine they are overhead.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), per_core * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 

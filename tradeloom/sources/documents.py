@@ -1,7 +1,8 @@
 """Landing documents made from the test tables, to feed the streams.
 
 Documents hold consecutive ids: at most 500 orders, customers and so on, whatever the table size, so
-no document grows with the data. An order has at most seven lines (its distinct line numbers).
+no document grows with the data. An order has at most seven lines (its distinct line numbers); an
+inventory document holds one year of 500 products in 100 centers.
 """
 
 from __future__ import annotations
@@ -59,7 +60,9 @@ def _rows(star: Star, entity: str) -> DataFrame:
         return star.dim_distribution_centers_current.withColumn("address", _address()).select(
             _chunk("dc_id"), _row(entity))
     if entity == "inventory_snapshots":
-        chunk = F.concat_ws("-", _chunk("product_id"), F.year("snapshot_ts").cast("string"))
+        # products, centers and a year: no product or center can make a document grow without end
+        chunk = F.concat_ws("-", _chunk("product_id"), _chunk("dc_id", 100),
+                            F.year("snapshot_ts").cast("string"))
         return star.fct_inventory_snapshots.select(
             chunk.alias("chunk"),
             F.struct(*(_text(c) if c == "snapshot_ts" else F.col(c)
