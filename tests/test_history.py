@@ -2,13 +2,15 @@
 
 import datetime as dt
 import random
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests_helpers import expected_history
-from tradeloom.operators.scd2 import current_dimension, scd2_as_of, scd2_history
+from tradeloom.operators.scd2 import (_versions_by_bucket, current_dimension, daily, scd2_as_of,
+                                      scd2_history)
 
 T0 = dt.datetime(2024, 1, 1)
 LOG = "k STRING, at TIMESTAMP, a STRING, zones ARRAY<STRING>"
@@ -35,23 +37,27 @@ def hot_log(seed, n=400):
     return records
 
 
+HOT = (0, 100, 10**6)  # all keys hot, one key hot, none
+
+
 def test_history_equals_brute_force(spark):
-    for seed in (1, 2):
+    for seed, hot in zip((1, 2, 3), HOT):
         records = hot_log(seed)
-        assert collected(history(spark, records)) == expected_history(records)
+        assert collected(history(spark, records, hot=hot)) == expected_history(records)
 
 
 def test_bucket_width_does_not_matter(spark):
     records = hot_log(3)
     want = expected_history(records)
     for bucket in (lambda c: F.date_trunc("hour", c), lambda c: F.date_trunc("year", c)):
-        assert collected(history(spark, records, bucket=bucket)) == want
+        assert collected(history(spark, records, bucket=bucket, hot=0)) == want
 
 
 def test_runs_cross_empty_and_unchanged_buckets(spark):
     days = [("k", T0 + dt.timedelta(days=d), a, None)
             for d, a in [(0, "x"), (1, "x"), (5, "x"), (6, "y"), (6.5, "y"), (9, "y"), (12, "x")]]
-    assert collected(history(spark, days)) == [
+    by_bucket = collected(history(spark, days, hot=0))
+    assert by_bucket == collected(history(spark, days)) == [
         ("k", "x", None, T0, T0 + dt.timedelta(days=6)),
         ("k", "x", None, T0 + dt.timedelta(days=12), None),
         ("k", "y", None, T0 + dt.timedelta(days=6), T0 + dt.timedelta(days=12))]
@@ -65,15 +71,16 @@ def test_history_ignores_order_and_copies(spark, rows, rng):
     records = [(k, T0 + dt.timedelta(hours=3 * h), a, None) for k, h, a in rows]
     shuffled = records + rng.sample(records, len(records) // 2)
     rng.shuffle(shuffled)
-    assert collected(history(spark, shuffled)) == expected_history(records)
+    assert collected(history(spark, shuffled, hot=rng.choice(HOT))) == expected_history(records)
 
 
-def test_no_task_gets_all_records_of_a_key(spark):
-    """Before the shuffle by key alone, records are reduced to one row per key and bucket."""
-    plan = history(spark, hot_log(4))._jdf.queryExecution().optimizedPlan().toString()
-    by_key = [line for line in plan.splitlines() if "Window" in line and ", [k#" in line
-              and "_bucket" not in line.split(", [k#")[1].split("]")[0]]
-    assert by_key and all("_last_state" in line or "_opens" in line for line in by_key)
+def test_windows_over_a_whole_hot_key_see_one_row_per_bucket(spark):
+    records = spark.createDataFrame([], "k STRING, __START_AT TIMESTAMP, _state STRUCT<a: STRING>")
+    plan = _versions_by_bucket(records, ["k"], daily)._jdf.queryExecution().analyzed().toString()
+    windows = [line for line in plan.splitlines() if "+- Window" in line or "Window [" in line]
+    whole_key = [w for w in windows if re.search(r"\], \[k#\d+\], \[", w)]
+    assert len(windows) > len(whole_key) == 2
+    assert all("_last_state" in w or "_opens" in w for w in whole_key)
 
 
 def test_current_rows(spark):
@@ -94,15 +101,17 @@ def test_as_of_equals_brute_force(spark):
               T0 + dt.timedelta(days=rng.randrange(-2, 9), minutes=rng.randrange(0, 1440, 15)))
              for i in range(300)]
     df = spark.createDataFrame(facts, "id INT, k STRING, ts TIMESTAMP")
-    got = {r.id: (r.a, r.zones, r["__START_AT"]) for r in scd2_as_of(
-        df, history(spark, records), ["k"], "ts", ["a", "zones", "__START_AT"]).collect()}
-    assert len(got) == 300
-    for i, key, ts in facts:
-        match = [(a, z, s) for k, a, z, s, e in versions
-                 if k == key and s <= ts and (e is None or ts < e)]
-        assert got[i] == (match[0] if match else (None, None, None))
-    kept = scd2_as_of(df, history(spark, records), ["k"], "ts", ["a"], how="inner").count()
-    assert kept == sum(1 for v in got.values() if v[2] is not None)
+    stored = history(spark, records)
+    for hot in HOT:
+        found = scd2_as_of(df, stored, ["k"], "ts", ["a", "zones", "__START_AT"], hot=hot)
+        got = {r.id: (r.a, r.zones, r["__START_AT"]) for r in found.collect()}
+        assert len(got) == 300
+        for i, key, ts in facts:
+            match = [(a, z, s) for k, a, z, s, e in versions
+                     if k == key and s <= ts and (e is None or ts < e)]
+            assert got[i] == (match[0] if match else (None, None, None))
+        kept = scd2_as_of(df, stored, ["k"], "ts", ["a"], how="inner", hot=hot).count()
+        assert kept == sum(1 for v in got.values() if v[2] is not None)
 
 
 def test_as_of_respects_closed_versions(spark):

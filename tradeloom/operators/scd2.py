@@ -1,7 +1,8 @@
 """Type-2 history from a change log, its current rows, and point-in-time lookups.
 
-A window per key would sort all records of one key in one task. Both operators instead work per
-(key, time bucket) and carry only one row per bucket across buckets of the same key, so a key that
+Both operators order the records of a key in time. One window per key does that, as long as no key has
+more records than one task should sort. Keys above that size are found by a count first and worked per
+(key, time bucket) instead, with one row per bucket carried across the buckets of a key: a key that
 holds a large part of the log is spread over as many tasks as it has buckets.
 """
 
@@ -17,43 +18,79 @@ from pyspark.sql import functions as F
 from tradeloom.schemas import LINEAGE
 
 START, END = "__START_AT", "__END_AT"
+HOT_KEY = 1_000_000  # records of one key that one task may sort
+Bucket = Callable[[Column], Column]
 
 
 def daily(moment: Column) -> Column:
-    """Default time bucket."""
+    """Default time bucket of hot keys."""
     return F.date_trunc("day", moment)
 
 
+def _present(columns: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(c).isNotNull() for c in columns))
+
+
+def _hot(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows.
+
+    There are at most rows / limit of them (a million in 10^12 rows), so they are broadcast: without
+    the hint Spark would not know and shuffle the whole log to find them.
+    """
+    return F.broadcast(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                       .filter(F.col("_n") > limit).select(*keys))
+
+
 def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
-                 tracked: Sequence[str] | None = None,
-                 bucket: Callable[[Column], Column] = daily) -> DataFrame:
+                 tracked: Sequence[str] | None = None, bucket: Bucket = daily,
+                 hot: int = HOT_KEY) -> DataFrame:
     """Versions of each key: the tracked columns with ``__START_AT`` and ``__END_AT``.
 
     Consecutive records with equal tracked columns are one version. Of several records with the same
     key and sequence the smallest by the tracked columns counts, so the history is a function of the
     set of records, whatever their order or batches. A record without key or sequence has no place in
     it and is left out; check for such records with expectations first.
+
+    The log is read three times (counting keys, small keys, hot keys); store it if it is costly.
     """
     keys = list(keys)
     if tracked is None:
         tracked = [c for c in log.columns if c not in {*keys, sequence, *LINEAGE}]
     tracked = list(tracked)
+    log = log.select(*keys, F.col(sequence).alias(START), F.struct(*tracked).alias("_state"))
+    log = log.filter(_present([*keys, START]))
+    large = _hot(log, keys, hot)
+
+    def moments(records: DataFrame) -> DataFrame:
+        """One record per key and moment; copies collapse before the shuffle."""
+        return records.groupBy(*keys, START).agg(F.min("_state").alias("_state"))
 
-    # One record per key and moment; copies collapse before the shuffle. The NULL checks are those
-    # the join below implies for one of its sides: with them on both, the sides share their shuffles.
-    present = reduce(and_, (F.col(c).isNotNull() for c in [*keys, "_bucket"]))
-    records = (log.groupBy(*keys, F.col(sequence).alias(START))
-               .agg(F.min(F.struct(*tracked)).alias("_state"))
-               .withColumn("_bucket", bucket(F.col(START))).filter(present))
-
-    # Inside a bucket: the first record, and those that differ from the one before.
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(START)
-    candidates = (records
-                  .withColumns({"_before": F.lag("_state").over(inside),
-                                "_head": F.row_number().over(inside) == 1})
-                  .filter(F.col("_head") | ~F.col("_state").eqNullSafe(F.col("_before")))
-                  .drop("_before")
-                  .withColumn("_next", F.lead(START).over(inside)))
+    small_keys = _versions(moments(log.join(large, keys, "left_anti")), keys)
+    hot_keys = _versions_by_bucket(moments(log.join(large, keys, "left_semi")), keys, bucket)
+    return (small_keys.unionByName(hot_keys)
+            .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in tracked), START, END))
+
+
+def _changes(records: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """The first record of each partition and those that differ from the one before, each with the
+    start of the next of them."""
+    window = Window.partitionBy(*partition).orderBy(START)
+    return (records
+            .withColumns({"_before": F.lag("_state").over(window),
+                          "_head": F.row_number().over(window) == 1})
+            .filter(F.col("_head") | ~F.col("_state").eqNullSafe(F.col("_before")))
+            .drop("_before").withColumn("_next", F.lead(START).over(window)))
+
+
+def _versions(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return _changes(records, keys).select(*keys, "_state", START, F.col("_next").alias(END))
+
+
+def _versions_by_bucket(records: DataFrame, keys: Sequence[str], bucket: Bucket) -> DataFrame:
+    # The join below implies this NULL check for one of its sides. With it on both, the sides are
+    # planned alike and share their shuffles.
+    records = records.withColumn("_bucket", bucket(F.col(START))).filter("_bucket IS NOT NULL")
+    candidates = _changes(records, [*keys, "_bucket"])
 
     # Across buckets: does the first record continue the last version of an earlier bucket, and when
     # does the next version after this bucket begin?
@@ -75,8 +112,7 @@ def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
 
     return (candidates.join(edges, [*keys, "_bucket"])
             .filter(~(F.col("_head") & F.col("_continues")))
-            .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in tracked), START,
-                    F.coalesce("_next", "_later").alias(END)))
+            .select(*keys, "_state", START, F.coalesce("_next", "_later").alias(END)))
 
 
 def current_dimension(history: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -86,42 +122,65 @@ def current_dimension(history: DataFrame, columns: Sequence[str] | None = None)
 
 
 def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment: str,
-               attributes: Sequence[str], how: str = "left",
-               bucket: Callable[[Column], Column] = daily) -> DataFrame:
+               attributes: Sequence[str], how: str = "left", bucket: Bucket = daily,
+               hot: int = HOT_KEY) -> DataFrame:
     """Facts with the attributes of the version valid at ``moment`` (start inclusive, end exclusive).
 
     ``how="left"`` keeps facts without a valid version with NULL attributes, ``"inner"`` drops them.
     Versions and facts are merged in time order instead of joined on the key, which would compare
-    every fact of a key with every version of it.
+    every fact of a key with every version of it. Store both if they are costly to compute.
     """
     keys, attributes = list(keys), list(attributes)
-    versions = history.select(*keys, F.col(START).alias("_at"), F.lit(0).alias("_kind"),
-                              F.struct(F.col(START).alias("_from"), F.col(END).alias("_to"),
-                                       F.struct(*attributes).alias("_values")).alias("_version"))
-    probes = facts.select(*keys, F.col(moment).alias("_at"), F.lit(1).alias("_kind"),
-                          F.struct(*facts.columns).alias("_fact"))
-    merged = (versions.unionByName(probes, allowMissingColumns=True)
-              .withColumn("_bucket", bucket(F.col("_at"))))
-
-    running = (Window.partitionBy(*keys, "_bucket").orderBy("_at", "_kind")
+    versions = history.filter(_present(keys)).select(
+        *keys, F.col(START).alias("_at"), F.lit(0).alias("_kind"),
+        F.struct(F.col(START).alias("_from"), F.col(END).alias("_to"),
+                 F.struct(*attributes).alias("_values")).alias("_version"))
+    findable = _present([*keys, moment])
+    probes = facts.filter(findable).select(
+        *keys, F.col(moment).alias("_at"), F.lit(1).alias("_kind"),
+        F.struct(*facts.columns).alias("_fact"))
+    merged = versions.unionByName(probes, allowMissingColumns=True)
+    large = _hot(merged, keys, hot)
+
+    found = (_latest(merged.join(large, keys, "left_anti"), keys)
+             .unionByName(_latest_by_bucket(merged.join(large, keys, "left_semi"), keys, bucket)))
+    valid = F.col("_version").isNotNull() & (F.col("_version._to").isNull()
+                                             | (F.col("_at") < F.col("_version._to")))
+    found = found.withColumn("_valid", valid)
+    if how == "inner":
+        found = found.filter("_valid")
+    result = found.select(
+        *(F.col(f"_fact.{c}").alias(c) for c in facts.columns),
+        *(F.when(F.col("_valid"), F.col(f"_version._values.{c}")).alias(c) for c in attributes))
+    if how == "inner":
+        return result
+    # Facts without a key or moment match nothing; they take no part in the shuffle above.
+    types = {f.name: f.dataType for f in history.schema}
+    lost = facts.filter(~findable).select(
+        *facts.columns, *(F.lit(None).cast(types[c]).alias(c) for c in attributes))
+    return result.unionAll(lost)
+
+
+def _latest(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Facts with the newest version of their key not after them; versions come first at a tie."""
+    running = (Window.partitionBy(*keys).orderBy("_at", "_kind")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = merged.withColumn("_version", F.last("_version", ignorenulls=True).over(running))
+    return seen.filter("_kind = 1").select("_at", "_fact", "_version")
+
+
+def _latest_by_bucket(merged: DataFrame, keys: Sequence[str], bucket: Bucket) -> DataFrame:
+    merged = merged.withColumn("_bucket", bucket(F.col("_at")))
+    inside = [*keys, "_bucket"]
+    running = (Window.partitionBy(*inside).orderBy("_at", "_kind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     seen = (merged.withColumn("_version", F.last("_version", ignorenulls=True).over(running))
             .filter("_kind = 1"))
-
     earlier = (Window.partitionBy(*keys).orderBy("_bucket")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (merged.groupBy(*keys, "_bucket")
+    carried = (merged.groupBy(*inside)
                .agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_tail"))
                .withColumn("_carried", F.last("_tail", ignorenulls=True).over(earlier))
-               .select(*keys, "_bucket", "_carried"))
-
-    found = (seen.join(carried, [*keys, "_bucket"], "left")
-             .withColumn("_version", F.coalesce("_version", "_carried"))
-             .withColumn("_valid", F.col("_version").isNotNull()
-                         & (F.col("_version._to").isNull()
-                            | (F.col("_at") < F.col("_version._to")))))
-    if how == "inner":
-        found = found.filter("_valid")
-    return found.select(
-        *(F.col(f"_fact.{c}").alias(c) for c in facts.columns),
-        *(F.when(F.col("_valid"), F.col(f"_version._values.{c}")).alias(c) for c in attributes))
+               .select(*inside, "_carried"))
+    return (seen.join(carried, inside, "left")
+            .select("_at", "_fact", F.coalesce("_version", "_carried").alias("_version")))

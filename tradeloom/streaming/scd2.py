@@ -4,6 +4,7 @@ Under the root of a history:
 
 ``log``       every change record, appended per batch; the truth
 ``late``      per batch, the keys that received a record not newer than all their earlier ones
+``work``      per batch, the records its keys are recomputed from
 ``versions``  per batch, the recomputed versions of the batch's keys
 ``open``      the open version of every key, in ``parts`` by key hash, each part in one of two slots
 ``parts``     per batch, the slot that became current for each part it touched; written last
@@ -95,6 +96,7 @@ def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked:
                 log = _stored(spark, f"{root}/log", before=batch_id + 1).drop("batch_id")
                 records = (continued.unionByName(fresh).join(late, keys, "left_anti")
                            .unionByName(log.join(late, keys, "left_semi").select(*fresh.columns)))
+            records = written(spark, records, "work", batch_id)
         versions = written(spark, scd2_history(records, keys, sequence, tracked), "versions",
                            batch_id)
 
