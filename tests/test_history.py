@@ -37,7 +37,7 @@ def hot_log(seed, n=400):
     return records
 
 
-HOT = (0, 100, 10**6)  # all keys hot, one key hot, none
+HOT = (0, 100, 10**6)  # all keys hot, one key hot, none of them
 
 
 def test_history_equals_brute_force(spark):
@@ -57,7 +57,7 @@ def test_runs_cross_empty_and_unchanged_buckets(spark):
     days = [("k", T0 + dt.timedelta(days=d), a, None)
             for d, a in [(0, "x"), (1, "x"), (5, "x"), (6, "y"), (6.5, "y"), (9, "y"), (12, "x")]]
     by_bucket = collected(history(spark, days, hot=0))
-    assert by_bucket == collected(history(spark, days)) == [
+    assert by_bucket == collected(history(spark, days, hot=None)) == [
         ("k", "x", None, T0, T0 + dt.timedelta(days=6)),
         ("k", "x", None, T0 + dt.timedelta(days=12), None),
         ("k", "y", None, T0 + dt.timedelta(days=6), T0 + dt.timedelta(days=12))]

@@ -43,7 +43,7 @@ def _hot(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
 
 def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
                  tracked: Sequence[str] | None = None, bucket: Bucket = daily,
-                 hot: int = HOT_KEY) -> DataFrame:
+                 hot: int | None = HOT_KEY) -> DataFrame:
     """Versions of each key: the tracked columns with ``__START_AT`` and ``__END_AT``.
 
     Consecutive records with equal tracked columns are one version. Of several records with the same
@@ -52,6 +52,7 @@ def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
     it and is left out; check for such records with expectations first.
 
     The log is read three times (counting keys, small keys, hot keys); store it if it is costly.
+    ``hot=None`` reads it once, for a caller who knows that no key has too many records.
     """
     keys = list(keys)
     if tracked is None:
@@ -59,15 +60,18 @@ def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
     tracked = list(tracked)
     log = log.select(*keys, F.col(sequence).alias(START), F.struct(*tracked).alias("_state"))
     log = log.filter(_present([*keys, START]))
-    large = _hot(log, keys, hot)
 
     def moments(records: DataFrame) -> DataFrame:
         """One record per key and moment; copies collapse before the shuffle."""
         return records.groupBy(*keys, START).agg(F.min("_state").alias("_state"))
 
-    small_keys = _versions(moments(log.join(large, keys, "left_anti")), keys)
-    hot_keys = _versions_by_bucket(moments(log.join(large, keys, "left_semi")), keys, bucket)
-    return (small_keys.unionByName(hot_keys)
+    if hot is None:
+        versions = _versions(moments(log), keys)
+    else:
+        large = _hot(log, keys, hot)
+        versions = _versions(moments(log.join(large, keys, "left_anti")), keys).unionByName(
+            _versions_by_bucket(moments(log.join(large, keys, "left_semi")), keys, bucket))
+    return (versions
             .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in tracked), START, END))
 
 
