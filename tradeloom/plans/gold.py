@@ -26,10 +26,11 @@ def order_totals(lines: DataFrame) -> DataFrame:
 
 def kpi_summary(orders: DataFrame, lines: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: revenue, orders, customers and the plain average of order totals."""
-    revenue = lines.agg(F.sum("line_amount"))
+    revenue = lines.agg(money_sum(exact("line_amount"), None))
     buyers = customers.agg(F.count_distinct("customer_id"))
     overall = orders.agg(F.count_distinct("order_id").alias("total_orders"),
-                         F.avg("order_total_amount").alias("avg_order_value"))
+                         F.try_divide(money_sum(exact("order_total_amount"), None),
+                                      F.count("order_total_amount")).alias("avg_order_value"))
     return overall.select(revenue.scalar().alias("total_revenue"), "total_orders",
                           buyers.scalar().alias("total_customers"), "avg_order_value")
 

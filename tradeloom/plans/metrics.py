@@ -126,9 +126,16 @@ def metric_views(tables: Mapping[str, DataFrame], as_of: dt.date | str) -> dict[
         lookup = Lookup("time_dim", calendar, day, "date_key")
         return MetricView(tables[fact], dimensions, measures, [lookup], where)
 
+    def total(amount: str) -> str:
+        # summed as decimals: the same digits whatever the order of the rows
+        return f"CAST(SUM(CAST({amount} AS DECIMAL(18,4))) AS DOUBLE)"
+
+    def average(amount: str) -> str:
+        return f"TRY_DIVIDE({total(amount)}, COUNT({amount}))"
+
     # Names and definitions of dimensions and measures.
     orders = "COUNT(DISTINCT source.order_id)"
-    revenue_per_order = f"TRY_DIVIDE(SUM(line_amount), {orders})"
+    revenue_per_order = f"TRY_DIVIDE({total('line_amount')}, {orders})"
     return {
         "metric_daily_revenue": by_day(
             "fct_sales_order_lines",
@@ -136,8 +143,8 @@ def metric_views(tables: Mapping[str, DataFrame], as_of: dt.date | str) -> dict[
              "Month": "time_dim.month_name", "Month Num": "time_dim.month_num",
              "Week Start": "time_dim.week_start_date", "Day Name": "time_dim.day_name",
              "Is Weekend": "time_dim.is_weekend"},
-            {"Revenue": "SUM(line_amount)", "Order Count": orders, "Line Item Count": "COUNT(1)",
-             "Average Line Amount": "AVG(line_amount)"}),
+            {"Revenue": total("line_amount"), "Order Count": orders, "Line Item Count": "COUNT(1)",
+             "Average Line Amount": average("line_amount")}),
         "metric_monthly_revenue": by_day(
             "fct_sales_order_lines",
             {"Calendar Year": "time_dim.year_num", "Calendar Month": "time_dim.month_num",
@@ -145,7 +152,7 @@ def metric_views(tables: Mapping[str, DataFrame], as_of: dt.date | str) -> dict[
              "Fiscal Year Label": "time_dim.fiscal_year_label",
              "Fiscal Month": "time_dim.fiscal_month_num",
              "Fiscal Quarter": "time_dim.fiscal_quarter_num"},
-            {"Revenue": "SUM(line_amount)", "Order Count": orders,
+            {"Revenue": total("line_amount"), "Order Count": orders,
              "Average Order Value": revenue_per_order,
              "Units Ordered": "SUM(ordered_qty_packs)",
              "Units Confirmed": "SUM(confirmed_qty_packs)",
@@ -156,7 +163,7 @@ def metric_views(tables: Mapping[str, DataFrame], as_of: dt.date | str) -> dict[
              "Fiscal Year Label": "time_dim.fiscal_year_label",
              "Fiscal Month": "time_dim.fiscal_month_num",
              "Fiscal Quarter": "time_dim.fiscal_quarter_num"},
-            {"YTD Revenue": "SUM(line_amount)", "YTD Order Count": orders,
+            {"YTD Revenue": total("line_amount"), "YTD Order Count": orders,
              "YTD Average Order Value": revenue_per_order},
             where="time_dim.calendar_date BETWEEN time_dim.fiscal_year_start_date "
                   f"AND DATE'{as_of}'"),
@@ -179,7 +186,7 @@ def metric_views(tables: Mapping[str, DataFrame], as_of: dt.date | str) -> dict[
             "fct_returns",
             {"Return Date": "time_dim.calendar_date", "Year Month": "time_dim.month_label",
              "Fiscal Year": "time_dim.fiscal_year", "Return Reason": "source.reason_code"},
-            {"Return Count": "COUNT(1)", "Return Amount": "SUM(credit_amount)",
-             "Average Return Amount": "AVG(credit_amount)",
+            {"Return Count": "COUNT(1)", "Return Amount": total("credit_amount"),
+             "Average Return Amount": average("credit_amount"),
              "Units Returned": "SUM(returned_qty_packs)"}),
     }

@@ -155,7 +155,8 @@ _GOLD = {
         SELECT round((SELECT sum(l_extendedprice) FROM ln), 2) AS total_revenue,
           count(DISTINCT o_orderkey) AS total_orders,
           (SELECT count(DISTINCT c_custkey) FROM customer) AS total_customers,
-          round(avg(o_totalprice), 4) AS avg_order_value FROM orders"""),
+          """ + _half_up("sum(CAST(round(o_totalprice * 100) AS BIGINT))", "count(*)", 4) + """
+          AS avg_order_value FROM orders"""),
     "monthly_revenue": sql("fso fol", f"""
         SELECT date_trunc('month', order_date) AS order_month, {_REVENUE} AS revenue,
           count(DISTINCT order_id) AS order_count
