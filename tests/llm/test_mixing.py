@@ -1,0 +1,84 @@
+import hashlib
+import math
+import re
+
+from llm_helpers import docs_frame, odd_rows, prose
+from pyspark.sql import functions as F
+
+from tradeloom.llm.mixing import mix, mixture
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def brute_force(rows):
+    sizes, order = {}, {}
+    for doc_id, text, _, source in rows:
+        sizes[source] = sizes.get(source, 0) + size(text)
+        key = hashlib.md5(f"mix:{'null' if doc_id is None else doc_id}".encode()).hexdigest()
+        order.setdefault(source, {}).setdefault(key, []).append((doc_id, size(text)))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), 1.5 * sum(sizes.values())
+    while True:
+        total = sum(weight[s] for s in open_)
+        over = {s for s in open_ if left * weight[s] / total >= 2 * sizes[s]}
+        if not over:
+            break
+        left -= sum(2 * sizes[s] for s in over)
+        target |= {s: float(2 * sizes[s]) for s in over}
+        open_ -= over
+        if not open_:
+            break
+    target |= {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+    out = []
+    for s in names:
+        epochs, rest = divmod(math.floor(target[s] + 1e-9), sizes[s]) if sizes[s] else (0, 0)
+        for key in sorted(order[s]):
+            group = order[s][key]
+            whole = sum(n for _, n in group)
+            due = min(rest, whole)
+            out += [(d, n, s, epochs * n + (due * n // whole if whole else 0)) for d, n in group]
+            rest -= due
+    return sorted(out, key=repr), target
+
+
+def test_against_brute_force(spark):
+    for rows in (odd_rows(), [(i, prose(i, 5 + i), "en", "hot" if i % 3 else f"s{i % 11}") for i in range(200)],
+                 [(i, prose(i, 9), "en", "only") for i in range(20)]):
+        got = mix(docs_frame(spark, rows)).collect()
+        want, target = brute_force(rows)
+        assert sorted(((r.doc_id, r["size"], r.source, r.taken) for r in got), key=repr) == want
+        assert all(abs(r.target - target[r.source]) < 1e-6 for r in got)
+        by_source = {}
+        for r in got:
+            assert 0 <= r.taken <= 2 * r["size"]
+            by_source[r.source] = by_source.get(r.source, 0) + r.taken
+        assert all(target[s] - 3 <= n <= target[s] for s, n in by_source.items())
+
+
+def test_mixture_has_the_words_taken(spark):
+    rows = [(i, prose(i, 5 + i), "en", "hot" if i % 3 else f"s{i % 11}") for i in range(120)]
+    docs = docs_frame(spark, rows)
+    taken = {r.doc_id: r.taken for r in mix(docs).collect()}
+    got, texts = {}, {r[0]: r[1] for r in rows}
+    out = mixture(docs)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + size(r.text)
+        assert texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
+    assert got == {k: v for k, v in taken.items() if v}
+
+
+def test_rerun_empty_and_clashing(spark):
+    docs = docs_frame(spark, odd_rows())
+    cols = ["doc_id", "size", "taken"]
+    again = docs_frame(spark, odd_rows()[::-1], 5)
+    assert sorted(map(repr, mix(docs).select(cols).collect())) == sorted(map(repr, mix(again).select(cols).collect()))
+    assert mix(docs.limit(0)).count() == 0
+    clash = docs.withColumn("key", F.lit("k")).withColumn("target", F.lit("t")).withColumn("range", F.lit("r"))
+    out = mix(clash)
+    assert out.columns.count("target") == 1 and out.schema["target"].dataType.simpleString() == "double"
+    assert {r.key for r in out.collect()} == {"k"}
+    assert mix(docs_frame(spark, [(1, None, "en", "a"), (2, "", "en", None)])).agg(F.sum("taken")).first()[0] == 0
