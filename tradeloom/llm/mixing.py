@@ -84,7 +84,8 @@ def cuts(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOS
             .filter("upto - size < left AND left <= upto")
             .select("source", F.col("key").alias("cut_key"), F.col("size").alias("cut_size"),
                     (F.col("left") - (F.col("upto") - F.col("size"))).alias("cut_words")))
-    return _on_source(plan.drop("rest"), ends, how="left")
+    # stored, so that Spark knows its size: a short list of sources is then no reason to shuffle documents
+    return saved(_on_source(plan.drop("rest"), ends, how="left"), "mix-cuts")
 
 
 def _on_source(left: DataFrame, right: DataFrame, *also: str, how: str = "inner") -> DataFrame:
