@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from tradeloom.llm.base import prepare_llm
+from tradeloom.llm.lm_scoring import lm_query
 from tradeloom.llm.mixing import MIXING_SQL, mixing_query
 from tradeloom.llm.pii import pii_query
 from tradeloom.llm.secret_scan import secrets_query
+from tradeloom.llm.sentencepiece_codec import codec_query
 from tradeloom.llm.simhash import simhash_query
 
 QUERIES = {
+    "op1_lm_scoring": lm_query,
     "op2_simhash": simhash_query,
+    "op3_sentencepiece": codec_query,
     "op4_pii": pii_query,
     "op9_secrets": secrets_query,
     "op10_mixing": mixing_query,
