@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tradeloom.llm.ann import ann_query
 from tradeloom.llm.base import prepare_llm
+from tradeloom.llm.embedding_dedup import EMBEDDING_SQL, embedding_query
+from tradeloom.llm.language_id import language_query
 from tradeloom.llm.lm_scoring import lm_query
 from tradeloom.llm.mixing import MIXING_SQL, mixing_query
 from tradeloom.llm.pii import pii_query
+from tradeloom.llm.quality import quality_query
 from tradeloom.llm.secret_scan import secrets_query
 from tradeloom.llm.sentencepiece_codec import codec_query
 from tradeloom.llm.simhash import simhash_query
@@ -15,6 +19,10 @@ QUERIES = {
     "op2_simhash": simhash_query,
     "op3_sentencepiece": codec_query,
     "op4_pii": pii_query,
+    "op5_language_id": language_query,
+    "op6_quality": quality_query,
+    "op7_embedding_dedup": embedding_query,
+    "op8_nearest_neighbours": ann_query,
     "op9_secrets": secrets_query,
     "op10_mixing": mixing_query,
 }
@@ -28,4 +36,4 @@ def llm_queries():
 
 
 def llm_oracles():
-    return {"op10_mixing": MIXING_SQL}
+    return {"op7_embedding_dedup": EMBEDDING_SQL, "op10_mixing": MIXING_SQL}
