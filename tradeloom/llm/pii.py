@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import SPACE, saved
-from tradeloom.llm.spans import (count_of, digits, found_where, joined, listed, luhn, marked,
-                                 no_spans)
+from tradeloom.llm.spans import (count_of, digits, found_between, found_where, joined, listed, luhn,
+                                 marked, no_spans)
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL, HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -28,6 +28,7 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+LEAD = r"^[^\p{L}\p{N}+]+"
 EDGE = r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$"
 
 ROUNDS = 3
@@ -72,32 +73,33 @@ def _plain(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"[^\p{L}]", ""))
 
 
-def instances(text: Column, base: Column) -> Column:
-    """Tokens with a digit or ``@``: place, bare value, the seed kind that covers it, and its patterns."""
-    near = found_where(text.rlike("[0-9@]"), text, TOKEN)
-    gaps = F.split(text, TOKEN, -1)
-    seeds = all_marked(base)
-
-    def each(x: Column, i: Column) -> Column:
-        left, right = F.get(gaps, i), F.get(gaps, i + 1)
-        before = F.filter(F.split(left, f"[{SPACE}]+"), lambda w: w != "")
-        after = F.filter(F.split(right, f"[{SPACE}]+"), lambda w: w != "")
-        one = _plain(F.coalesce(F.get(before, F.size(before) - 1), F.lit("#")))
-        two = _plain(F.coalesce(F.get(before, F.size(before) - 2), F.lit("#")))
-        then = _plain(F.coalesce(F.get(after, F.lit(0)), F.lit("#")))
-        lead = F.length(F.regexp_extract(x["m"], r"^[^\p{L}\p{N}+]+", 0))
-        value = F.regexp_replace(x["m"], EDGE, "")
-        s, e = x["s"] + lead, x["s"] + lead + F.length(value)
-        shape = _shape(value)
-        inside = F.filter(seeds, lambda k: (k["s"] <= s) & (k["e"] >= e))
-        touched = F.exists(seeds, lambda k: (k["s"] < e) & (k["e"] > s))
-        return F.struct(
-            s.alias("s"), e.alias("e"), F.lower(value).alias("value"),
-            F.get(inside, F.lit(0))["kind"].alias("seed"), touched.alias("touched"),
-            F.array(F.concat_ws(" ", F.lit("L"), two, one, shape),
-                    F.concat_ws(" ", F.lit("M"), one, shape, then)).alias("patterns"))
-
-    return F.filter(F.transform(near, each), lambda x: x["value"] != "")
+def instances(rows: DataFrame, text: Column) -> DataFrame:
+    """Tokens with a digit or ``@``: place, bare value, the seed kind that covers it, and its patterns.
+
+    ``rows`` has the strict spans as ``_found``; the tokens keep the ``key`` of their row.
+    """
+    tokens = (rows.filter(text.rlike("[0-9@]"))
+              .select("key", all_marked(F.col("_found")).alias("seeds"),
+                      F.explode(found_between(text, TOKEN)).alias("x"))
+              .select("key", "seeds", "x.*"))
+
+    def word(gap: str, place: Column) -> Column:
+        return _plain(F.coalesce(F.get(gap, place), F.lit("#")))
+
+    for side in ("left", "right"):
+        tokens = tokens.withColumn(side, F.array_remove(F.split(side, f"[{SPACE}]+"), ""))
+    tokens = (tokens.withColumn("value", F.regexp_replace("m", EDGE, "")).filter("value <> ''")
+              .withColumn("s", F.col("s") + F.length(F.regexp_extract("m", LEAD, 0)))
+              .withColumn("e", F.col("s") + F.length("value"))
+              .withColumns({"one": word("left", F.size("left") - 1), "two": word("left", F.size("left") - 2),
+                            "then": word("right", F.lit(0)), "shape": _shape(F.col("value"))}))
+    s, e = F.col("s"), F.col("e")
+    inside = F.filter("seeds", lambda k: (k["s"] <= s) & (k["e"] >= e))
+    return tokens.select(
+        "key", "s", "e", F.lower("value").alias("value"), F.get(inside, F.lit(0))["kind"].alias("seed"),
+        F.exists("seeds", lambda k: (k["s"] < e) & (k["e"] > s)).alias("touched"),
+        F.array(F.concat_ws(" ", F.lit("L"), "two", "one", "shape"),
+                F.concat_ws(" ", F.lit("M"), "one", "shape", "then")).alias("patterns"))
 
 
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE,
@@ -138,9 +140,7 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.drop("base", "spans", "_found", "_key").withColumn("_found", base_spans(text))
-    tokens = (rows.filter(text.rlike("[0-9@]")).select(key.alias("key"), instances(text, F.col("_found")).alias("xs"))
-              .select("key", F.explode("xs").alias("x")).select("key", "x.*"))
-    tokens = saved(tokens, "pii-tokens")
+    tokens = saved(instances(rows.select(key.alias("key"), "text", "_found"), text), "pii-tokens")
     edges = tokens.select("value", "seed", F.explode("patterns").alias("pattern"))
     trusted = score_patterns(edges, rounds, min_score, min_confident)
     rank = reduce(lambda acc, k: acc.when(F.col("kind") == k[1], k[0]), enumerate(KINDS[1:], 1),

@@ -37,6 +37,27 @@ def found(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
+def found_between(text: Column, pattern: str) -> Column:
+    """As `found`, with the text before and after each match up to its neighbours (``left``, ``right``)."""
+    gaps = F.split(text, pattern, -1)
+    pairs = F.zip_with(gaps, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                       lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string,gap:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        s = acc["at"] + F.length(x["gap"])
+        e = s + F.coalesce(F.length(x["m"]), F.lit(0))
+        more = F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), x["gap"].alias("gap")))
+        return F.struct(e.alias("at"), F.concat(acc["out"], more).alias("out"))
+
+    def pair(acc: Column) -> Column:
+        n = F.size(acc["out"]) - 1
+        return F.zip_with(F.slice(acc["out"], 1, n), F.slice(acc["out"], 2, n), lambda a, b: F.struct(
+            a["s"].alias("s"), a["e"].alias("e"), a["m"].alias("m"), a["gap"].alias("left"), b["gap"].alias("right")))
+
+    return F.aggregate(pairs, start, step, pair)
+
+
 def found_where(test: Column, text: Column, pattern: str) -> Column:
     """As `found`; texts that fail a cheap test every match must pass are not scanned."""
     return F.when(test, found(text, pattern)).otherwise(F.array().cast(FOUND))
