@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tradeloom.llm.pieces import MARK, MODEL, UNKNOWN_PENALTY, Vocabulary, automaton, built, load_vocabulary
 
-REMEMBERED, SHORT = 1 << 18, 64
+REMEMBERED, SHORT = 1 << 19, 64
 LITERAL = "￾"  # in place of a literal mark character while matching: no piece has it
 
 
@@ -34,7 +34,7 @@ class Codec:
         self.unknown = min(scores[i] for i in vocabulary.pieces.values()) - UNKNOWN_PENALTY
         self.splits = vocabulary.splits
         self.units = re.compile(" +[^ ]*|[^ ]+")
-        self.seen: dict[str, tuple[tuple[int, ...], float]] = {}
+        self.seen: dict[str, dict] = {"": {}, " ": {}}
 
     def best(self, unit: str) -> tuple[tuple[int, ...], float]:
         """Ids and score of the best segmentation; of equal ones, the longest piece at the end wins.
@@ -77,22 +77,29 @@ class Codec:
             at -= n
         return tuple(reversed(ids)), best[-1]
 
-    def unit(self, unit: str) -> tuple[tuple[int, ...], float]:
-        found = self.seen.get(unit)
-        if found is None:
-            found = self.best(unit)
-            if len(unit) <= SHORT:
-                if len(self.seen) >= REMEMBERED:
-                    self.seen.clear()
-                self.seen[unit] = found
+    def _units(self, units: list[str], space: str) -> list[tuple[tuple[int, ...], float]]:
+        """Ids and score of each unit, the space put before it; short ones are remembered."""
+        seen = self.seen[space]
+        if len(seen) >= REMEMBERED:
+            seen.clear()
+        new = set(units).difference(seen)
+        for unit in new:
+            seen[unit] = self.best(space + unit)
+        found = list(map(seen.__getitem__, units))
+        for unit in new:
+            if len(unit) > SHORT:
+                del seen[unit]
         return found
 
     def encode(self, text: str) -> list[tuple[tuple[int, ...], float]]:
         """Ids and score of each unit; a space is put before the text, unless it is empty."""
         if not text:
             return []
-        text = " " + text
-        return list(map(self.unit, self.units.findall(text))) if self.splits else [self.best(text)]
+        if not self.splits:
+            return [self.best(" " + text)]
+        if "  " in text or text[0] == " ":  # runs of spaces stay together
+            return self._units(self.units.findall(" " + text), "")
+        return self._units(text.split(" "), " ")
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids, without the space put before it."""
@@ -112,16 +119,19 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     def work(batches):
         codec = built(shared, Codec)
         for batch in batches:
-            coded = [None if t is None else codec.encode(t) for t in batch.column(place).to_pylist()]
-            sizes = [0 if c is None else sum(len(u[0]) for u in c) for c in coded]
+            parts, scores = [], []
+            for text in batch.column(place).to_pylist():
+                units = codec.encode(text) if text else []
+                pieces, worth = zip(*units) if units else ((), ())
+                parts.append(np.fromiter(chain.from_iterable(pieces), np.int32))
+                scores.append(None if text is None else float(sum(worth)))
+            none = np.array([s is None for s in scores], dtype=bool)
+            sizes = np.array([len(p) for p in parts], dtype=np.int64)
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            none = np.array([c is None for c in coded], dtype=bool)
-            values = np.fromiter(chain.from_iterable(u[0] for c in coded if c for u in c), np.int32, int(ends[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(none))
-            scores = [None if c is None else float(sum(u[1] for u in c)) for c in coded]
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])),
+                                           mask=pa.array(none))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, ids, pa.array([None if c is None else n for c, n in zip(coded, sizes)], pa.int64()),
-                 pa.array(scores, pa.float64())], names=[*batch.schema.names, "ids", "n_pieces", "piece_score"])
+                [*batch.columns, ids, pa.array(sizes, mask=none), pa.array(scores, pa.float64())], names=[*batch.schema.names, "ids", "n_pieces", "piece_score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("n_pieces", T.LongType()), T.StructField("piece_score", T.DoubleType())])
@@ -135,9 +145,15 @@ def decode(coded: DataFrame, path: str = MODEL) -> DataFrame:
     place = coded.columns.index("ids")
 
     def work(batches):
-        codec = built(shared, Codec)
+        surface = pa.array(shared.value.surface, pa.large_binary())
         for batch in batches:
-            texts = [None if ids is None else codec.decode(ids) for ids in batch.column(place).to_pylist()]
+            ids = batch.column(place)
+            spelled = surface.take(ids.flatten())  # its bytes lie one after the other
+            at = np.frombuffer(spelled.buffers()[1], np.int64) if len(spelled) else np.zeros(1, np.int64)
+            data = spelled.buffers()[2].to_pybytes() if len(spelled) else b""
+            ends = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in ids])])
+            texts = [data[at[a]:at[b]].decode(errors="replace")[1:] if x.is_valid else None
+                     for x, a, b in zip(ids, ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, "decoded"])
 
