@@ -57,8 +57,8 @@ def test_range_from_data(spark):
     assert calendar_spanning(dates.limit(0), "d").count() == 0
 
 
-def test_size_is_bounded(spark):
-    with pytest.raises(ValueError):
-        calendar_dim(spark, "0001-01-01", "9999-12-31")
+def test_long_ranges_are_split_over_tasks(spark):
+    days = calendar_dim(spark, "1601-01-01", "2400-12-31")
+    assert days.count() == 292194 and days.rdd.getNumPartitions() > 1
     with pytest.raises(ValueError):
         calendar_dim(spark, "2020-01-02", "2020-01-01")

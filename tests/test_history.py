@@ -37,27 +37,24 @@ def hot_log(seed, n=400):
     return records
 
 
-HOT = (0, 100, 10**6)  # all keys hot, one key hot, none of them
-
-
 def test_history_equals_brute_force(spark):
-    for seed, hot in zip((1, 2, 3), HOT):
+    for seed in (1, 2, 3):
         records = hot_log(seed)
-        assert collected(history(spark, records, hot=hot)) == expected_history(records)
+        assert collected(history(spark, records)) == expected_history(records)
 
 
 def test_bucket_width_does_not_matter(spark):
     records = hot_log(3)
     want = expected_history(records)
     for bucket in (lambda c: F.date_trunc("hour", c), lambda c: F.date_trunc("year", c)):
-        assert collected(history(spark, records, bucket=bucket, hot=0)) == want
+        assert collected(history(spark, records, bucket=bucket)) == want
 
 
 def test_runs_cross_empty_and_unchanged_buckets(spark):
     days = [("k", T0 + dt.timedelta(days=d), a, None)
             for d, a in [(0, "x"), (1, "x"), (5, "x"), (6, "y"), (6.5, "y"), (9, "y"), (12, "x")]]
-    by_bucket = collected(history(spark, days, hot=0))
-    assert by_bucket == collected(history(spark, days, hot=None)) == [
+    by_bucket = collected(history(spark, days))
+    assert by_bucket == [
         ("k", "x", None, T0, T0 + dt.timedelta(days=6)),
         ("k", "x", None, T0 + dt.timedelta(days=12), None),
         ("k", "y", None, T0 + dt.timedelta(days=6), T0 + dt.timedelta(days=12))]
@@ -71,7 +68,7 @@ def test_history_ignores_order_and_copies(spark, rows, rng):
     records = [(k, T0 + dt.timedelta(hours=3 * h), a, None) for k, h, a in rows]
     shuffled = records + rng.sample(records, len(records) // 2)
     rng.shuffle(shuffled)
-    assert collected(history(spark, shuffled, hot=rng.choice(HOT))) == expected_history(records)
+    assert collected(history(spark, shuffled)) == expected_history(records)
 
 
 def test_windows_over_a_whole_hot_key_see_one_row_per_bucket(spark):
@@ -102,16 +99,15 @@ def test_as_of_equals_brute_force(spark):
              for i in range(300)]
     df = spark.createDataFrame(facts, "id INT, k STRING, ts TIMESTAMP")
     stored = history(spark, records)
-    for hot in HOT:
-        found = scd2_as_of(df, stored, ["k"], "ts", ["a", "zones", "__START_AT"], hot=hot)
-        got = {r.id: (r.a, r.zones, r["__START_AT"]) for r in found.collect()}
-        assert len(got) == 300
-        for i, key, ts in facts:
-            match = [(a, z, s) for k, a, z, s, e in versions
-                     if k == key and s <= ts and (e is None or ts < e)]
-            assert got[i] == (match[0] if match else (None, None, None))
-        kept = scd2_as_of(df, stored, ["k"], "ts", ["a"], how="inner", hot=hot).count()
-        assert kept == sum(1 for v in got.values() if v[2] is not None)
+    found = scd2_as_of(df, stored, ["k"], "ts", ["a", "zones", "__START_AT"])
+    got = {r.id: (r.a, r.zones, r["__START_AT"]) for r in found.collect()}
+    assert len(got) == 300
+    for i, key, ts in facts:
+        match = [(a, z, s) for k, a, z, s, e in versions
+                 if k == key and s <= ts and (e is None or ts < e)]
+        assert got[i] == (match[0] if match else (None, None, None))
+    kept = scd2_as_of(df, stored, ["k"], "ts", ["a"], how="inner").count()
+    assert kept == sum(1 for v in got.values() if v[2] is not None)
 
 
 def test_as_of_respects_closed_versions(spark):
@@ -122,3 +118,11 @@ def test_as_of_respects_closed_versions(spark):
                                    (3, "k", T0 + dt.timedelta(days=2))], "id INT, k STRING, ts TIMESTAMP")
     found = scd2_as_of(facts, versions, ["k"], "ts", ["a"])
     assert {r.id: r.a for r in found.collect()} == {1: "x", 2: "x", 3: None}
+
+
+def test_version_without_a_start_is_never_found(spark):
+    stored = spark.createDataFrame([("k", "old", None, T0), ("k", "new", T0, None)],
+                                   "k STRING, a STRING, __START_AT TIMESTAMP, __END_AT TIMESTAMP")
+    facts = spark.createDataFrame([(1, "k", T0 - dt.timedelta(days=1)), (2, "k", T0)], "id INT, k STRING, ts TIMESTAMP")
+    found = scd2_as_of(facts, stored, ["k"], "ts", ["a"]).orderBy("id").collect()
+    assert [r.a for r in found] == [None, "new"]

@@ -12,19 +12,17 @@ from tradeloom.functions import as_date, date_key
 # The default range and fiscal start.
 DEFAULT_START, DEFAULT_END, DEFAULT_FISCAL_START = "2015-01-01", "2035-12-31", 1
 
-# A calendar is broadcast to every task, so its size is bounded here: 400 years are 146,097 rows.
-MAX_YEARS = 400
-
 
 def calendar_dim(spark: SparkSession, start: dt.date | str = DEFAULT_START,
                  end: dt.date | str = DEFAULT_END,
                  fiscal_start_month: int = DEFAULT_FISCAL_START) -> DataFrame:
     """Every day from ``start`` to ``end`` with the attributes of :func:`calendar_attributes`."""
     first, last = (dt.date.fromisoformat(str(d)) for d in (start, end))
-    if last < first or last.year - first.year >= MAX_YEARS:
+    if last < first:
         raise ValueError(f"calendar from {first} to {last}")
-    bounds = spark.range(1).select(as_date(first).alias("first"), as_date(last).alias("last"))
-    return _days(bounds, fiscal_start_month)
+    days = spark.range((last - first).days + 1).select(  # split over tasks, whatever its length
+        F.date_add(as_date(first), F.col("id").cast("int")).alias("calendar_date"))
+    return days.select(*calendar_attributes(F.col("calendar_date"), fiscal_start_month))
 
 
 def calendar_spanning(df: DataFrame, moment: Column | str,

@@ -1,9 +1,9 @@
 """Type-2 history from a change log, its current rows, and point-in-time lookups.
 
-Both operators order the records of a key in time. One window per key does that, as long as no key has
-more records than one task should sort. Keys above that size are found by a count first and worked per
-(key, time bucket) instead, with one row per bucket carried across the buckets of a key: a key that
-holds a large part of the log is spread over as many tasks as it has buckets.
+Both operators order the records of a key in time, per (key, time bucket), with one row per bucket carried
+across the buckets of a key: a key that holds a large part of the log is spread over as many tasks as it
+has buckets. The plan is the same for every key and size. The bucket's width is the caller's choice: it has to
+be narrow enough for the busiest bucket of a key to be sorted by one task.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tradeloom.schemas import LINEAGE
 
 START, END = "__START_AT", "__END_AT"
-HOT_KEY = 1_000_000  # records of one key that one task may sort
 Bucket = Callable[[Column], Column]
 
 
@@ -31,28 +30,14 @@ def _present(columns: Sequence[str]) -> Column:
     return reduce(and_, (F.col(c).isNotNull() for c in columns))
 
 
-def _hot(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows.
-
-    There are at most rows / limit of them (a million in 10^12 rows), so they are broadcast: without
-    the hint Spark would not know and shuffle the whole log to find them.
-    """
-    return F.broadcast(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                       .filter(F.col("_n") > limit).select(*keys))
-
-
 def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
-                 tracked: Sequence[str] | None = None, bucket: Bucket = daily,
-                 hot: int | None = HOT_KEY) -> DataFrame:
+                 tracked: Sequence[str] | None = None, bucket: Bucket = daily) -> DataFrame:
     """Versions of each key: the tracked columns with ``__START_AT`` and ``__END_AT``.
 
     Consecutive records with equal tracked columns are one version. Of several records with the same
     key and sequence the smallest by the tracked columns counts, so the history is a function of the
     set of records, whatever their order or batches. A record without key or sequence has no place in
     it and is left out; check for such records with expectations first.
-
-    The log is read three times (counting keys, small keys, hot keys); store it if it is costly.
-    ``hot=None`` reads it once, for a caller who knows that no key has too many records.
     """
     keys = list(keys)
     if tracked is None:
@@ -61,16 +46,9 @@ def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
     log = log.select(*keys, F.col(sequence).alias(START), F.struct(*tracked).alias("_state"))
     log = log.filter(_present([*keys, START]))
 
-    def moments(records: DataFrame) -> DataFrame:
-        """One record per key and moment; copies collapse before the shuffle."""
-        return records.groupBy(*keys, START).agg(F.min("_state").alias("_state"))
-
-    if hot is None:
-        versions = _versions(moments(log), keys)
-    else:
-        large = _hot(log, keys, hot)
-        versions = _versions(moments(log.join(large, keys, "left_anti")), keys).unionByName(
-            _versions_by_bucket(moments(log.join(large, keys, "left_semi")), keys, bucket))
+    # one record per key and moment; copies collapse before the shuffle
+    moments = log.groupBy(*keys, START).agg(F.min("_state").alias("_state"))
+    versions = _versions_by_bucket(moments, keys, bucket)
     return (versions
             .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in tracked), START, END))
 
@@ -86,10 +64,6 @@ def _changes(records: DataFrame, partition: Sequence[str]) -> DataFrame:
             .drop("_before").withColumn("_next", F.lead(START).over(window)))
 
 
-def _versions(records: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _changes(records, keys).select(*keys, "_state", START, F.col("_next").alias(END))
-
-
 def _versions_by_bucket(records: DataFrame, keys: Sequence[str], bucket: Bucket) -> DataFrame:
     # The join below implies this NULL check for one of its sides. With it on both, the sides are
     # planned alike and share their shuffles.
@@ -126,16 +100,15 @@ def current_dimension(history: DataFrame, columns: Sequence[str] | None = None)
 
 
 def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment: str,
-               attributes: Sequence[str], how: str = "left", bucket: Bucket = daily,
-               hot: int = HOT_KEY) -> DataFrame:
+               attributes: Sequence[str], how: str = "left", bucket: Bucket = daily) -> DataFrame:
     """Facts with the attributes of the version valid at ``moment`` (start inclusive, end exclusive).
 
     ``how="left"`` keeps facts without a valid version with NULL attributes, ``"inner"`` drops them.
     Versions and facts are merged in time order instead of joined on the key, which would compare
-    every fact of a key with every version of it. Store both if they are costly to compute.
+    every fact of a key with every version of it. A version without a start is never valid. Store both if they are costly to compute.
     """
     keys, attributes = list(keys), list(attributes)
-    versions = history.filter(_present(keys)).select(
+    versions = history.filter(_present([*keys, START])).select(
         *keys, F.col(START).alias("_at"), F.lit(0).alias("_kind"),
         F.struct(F.col(START).alias("_from"), F.col(END).alias("_to"),
                  F.struct(*attributes).alias("_values")).alias("_version"))
@@ -144,10 +117,7 @@ def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment
         *keys, F.col(moment).alias("_at"), F.lit(1).alias("_kind"),
         F.struct(*facts.columns).alias("_fact"))
     merged = versions.unionByName(probes, allowMissingColumns=True)
-    large = _hot(merged, keys, hot)
-
-    found = (_latest(merged.join(large, keys, "left_anti"), keys)
-             .unionByName(_latest_by_bucket(merged.join(large, keys, "left_semi"), keys, bucket)))
+    found = _latest_by_bucket(merged, keys, bucket)
     valid = F.col("_version").isNotNull() & (F.col("_version._to").isNull()
                                              | (F.col("_at") < F.col("_version._to")))
     found = found.withColumn("_valid", valid)
@@ -165,14 +135,6 @@ def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment
     return result.unionAll(lost)
 
 
-def _latest(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Facts with the newest version of their key not after them; versions come first at a tie."""
-    running = (Window.partitionBy(*keys).orderBy("_at", "_kind")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = merged.withColumn("_version", F.last("_version", ignorenulls=True).over(running))
-    return seen.filter("_kind = 1").select("_at", "_fact", "_version")
-
-
 def _latest_by_bucket(merged: DataFrame, keys: Sequence[str], bucket: Bucket) -> DataFrame:
     merged = merged.withColumn("_bucket", bucket(F.col("_at")))
     inside = [*keys, "_bucket"]

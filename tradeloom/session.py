@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 # Settings every run needs for right results or bounded memory.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # a document that repeats a field must not stop the stream that reads it
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
@@ -47,7 +49,7 @@ def build_session(app_name: str = "tradeloom", master: str | None = None, cluste
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on in a session somebody else built."""
     for key, value in BASE_CONF.items():
-        if key.startswith(("spark.sql.session.", "spark.sql.streaming.")):
+        if key.startswith(("spark.sql.session.", "spark.sql.streaming.", "spark.sql.mapKey")):
             spark.conf.set(key, value)
     return spark
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradeloom.operators.scd2 import END, HOT_KEY, START, scd2_history
+from tradeloom.operators.scd2 import END, START, scd2_history
 
 PARTS = 64  # choose so that the open versions of one part are some hundred MB
 _SEEN = "_last_seen"
@@ -34,7 +34,9 @@ def _stored(spark: SparkSession, path: str, before: int | None = None) -> DataFr
     """A table written batch by batch, up to a batch; None if nothing was written yet."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # any other error is no sign of an empty table
+            raise
         return None
     return df if before is None else df.filter(F.col("batch_id") < before)
 
@@ -77,14 +79,11 @@ def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked:
         spark = batch.sparkSession
         fresh = written(spark, batch.select(*keys, sequence, *tracked), "log", batch_id)
         news = fresh.groupBy(*keys, _part(keys, parts)).agg(
-            F.min(sequence).alias("_first"), F.max(sequence).alias("_newest"),
-            F.count(F.lit(1)).alias("_n"))
-        largest = news.groupBy("_part").agg(F.max("_n")).collect()  # at most ``parts`` rows
-        if not largest:
+            F.min(sequence).alias("_first"), F.max(sequence).alias("_newest"))
+        touched = [r._part for r in news.select("_part").distinct().collect()]  # at most ``parts`` rows
+        if not touched:
             return
-        touched = [r._part for r in largest]
         # A key's records are the new ones and its open version, unless the log is needed below.
-        hot = HOT_KEY if max(r[1] for r in largest) >= HOT_KEY else None
         slots = _slots(spark, root, before=batch_id)
         before = _open_rows(spark, root, {p: s for p, s in slots.items() if p in touched})
 
@@ -97,12 +96,11 @@ def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked:
             if late.isEmpty():
                 records = continued.unionByName(fresh)
             else:
-                hot = HOT_KEY
                 log = _stored(spark, f"{root}/log", before=batch_id + 1).drop("batch_id")
                 records = (continued.unionByName(fresh).join(late, keys, "left_anti")
                            .unionByName(log.join(late, keys, "left_semi").select(*fresh.columns)))
             records = written(spark, records, "work", batch_id)
-        versions = written(spark, scd2_history(records, keys, sequence, tracked, hot=hot),
+        versions = written(spark, scd2_history(records, keys, sequence, tracked),
                            "versions", batch_id)
 
         rows = (versions.filter(F.col(END).isNull()).drop(END)

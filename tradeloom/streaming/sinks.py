@@ -15,7 +15,9 @@ def create_table(spark: SparkSession, path: str, table: Table) -> None:
     """Make sure the folder exists as an empty table, so that readers may start before writers."""
     try:
         spark.read.schema(table.ddl).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         spark.createDataFrame([], table.ddl).write.mode("ignore").parquet(path)
 
 
@@ -68,9 +70,15 @@ def read_flows(spark: SparkSession, path: str, table: Table) -> DataFrame:
 
 
 def finish(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for queries that run at the same time; a failed one raises."""
-    for query in list(queries):
-        query.awaitTermination()
+    """Wait for queries that run at the same time; if one fails, the others are stopped and it raises."""
+    started = list(queries)
+    try:
+        for query in started:
+            query.awaitTermination()
+    except BaseException:
+        for query in started:
+            query.stop()
+        raise
 
 
 def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
