@@ -72,6 +72,45 @@ def test_landing_without_rescue_reads_arrays_and_lines(spark, folder):
         assert sorted(r.value.sales_orders[0].order_id for r in got.collect()) == ["o0", "o1", "o2"]
 
 
+def test_rescue_reads_every_shape_and_stops_at_none(spark, folder):
+    documents = [{"key": str(n), "value": {"sales_orders": [order(f"o{n}")], "new": n}} for n in range(3)]
+    rows = [json.dumps(d) for d in documents]
+    shapes = {"array": json.dumps(documents, indent=1), "lines": "\n".join(rows) + "\n\n",
+              "pretty": "\n".join(json.dumps(d, indent=2) for d in documents)}
+    for name, text in shapes.items():
+        land(f"{folder}/{name}", "all", text)
+        store = Store(f"{folder}/store-{name}")
+        got = sorted(ingest(spark, f"{folder}/{name}", store).collect(), key=lambda r: r.key)
+        assert [(r.key, r.value.sales_orders[0].order_id, r._rescued_data) for r in got] == [
+            (str(n), f"o{n}", f'{{"value.new":"{n}"}}') for n in range(3)], name
+    got = ingest(spark, f"{folder}/lines", Store(f"{folder}/by-line"), multi_line=False).collect()
+    assert sorted(r.key for r in got) == ["0", "1", "2"]
+
+
+def test_poison_documents_are_kept_and_the_stream_goes_on(spark, folder):
+    landing, store = f"{folder}/in", Store(f"{folder}/store")
+    land(landing, "twice", '{"z": 1, "z": 2, "value": {"y": 1, "y": 2, "customers": [{"x": 1, "x": 2}]}}')
+    land(landing, "rest", '{"key": "a"} and more')
+    land(landing, "bracket", '{"key": "a"}] and more')
+    land(landing, "brace", json.dumps({"key": "}\n{ [", "more": "}\r\n{"}))
+    land(landing, "text", '["abc", {"key": "in array"}]')
+    land(landing, "empty", "")
+    ingest(spark, landing, store)
+    land(landing, "later", {"key": "later"})  # a restart
+    rows = {}
+    for r in ingest(spark, landing, store).collect():
+        rows.setdefault(Path(r._source_file).stem, []).append(r)
+    assert rows["twice"][0]._rescued_data == (
+        '{"z":"1","z":"2","value.y":"1","value.y":"2","value.customers":"[{\\"x\\":\\"1\\",\\"x\\":\\"2\\"}]"}')
+    for name in ("rest", "bracket"):
+        text = Path(landing, f"{name}.json").read_text()
+        assert [json.loads(r._rescued_data) for r in rows[name]] == [{"_corrupt_record": text}], name
+    assert [(r.key, json.loads(r._rescued_data)) for r in rows["brace"]] == [("}\n{ [", {"more": "}\r\n{"})]
+    assert sorted(str(r.key) for r in rows["text"]) == ["None", "in array"]
+    assert "abc" in str([r._rescued_data for r in rows["text"]])
+    assert [r.key for r in rows["later"]] == ["later"] and "empty" not in rows
+
+
 def run_dedup(spark, folder, batches, **options):
     """De-duplicate rows (key, value, arrival) given batch by batch, one file each."""
     table = Table({"k": "STRING", "v": "STRING", "_ingested_at": "TIMESTAMP"})

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tradeloom.schemas import LANDING_ENTITIES, document_ddl
 
 _CORRUPT = "_corrupt_record"
+_MARK = "end of documents"
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -40,12 +41,23 @@ def _without(known: list[str]) -> Callable[[Column], Column]:
     return lambda row: F.map_filter(row, lambda k, _: _unknown(k, known))
 
 
+def _member(name: Column, text: Column) -> Column:
+    """A JSON object's member as text; a map could not hold a name twice."""
+    whole = F.to_json(F.create_map(name, text))
+    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+
+def _members(fields: str, known: list[str], prefix: str = "") -> Column:
+    unknown = F.filter(F.map_entries(fields), lambda e: _unknown(e["key"], known))
+    return F.transform(unknown, lambda e: _member(F.concat(F.lit(prefix), e["key"]), e["value"]))
+
+
 def with_rescued_data(texts: DataFrame, text: str, corrupt: Column) -> DataFrame:
     """Add ``_rescued_data``: what the schema does not name, as a JSON object of path to JSON text.
 
     Covers unknown fields of the document, of the payload and of the entities' rows; a document that
-    is not JSON is kept whole. NULL when nothing is unknown. The document is taken apart one level
-    per step, so each piece of text is parsed once.
+    is not JSON is kept whole. NULL when nothing is unknown. A name that a document repeats is repeated
+    in the result. The document is taken apart one level per step, so each piece of text is parsed once.
     """
     names, maps = list(LANDING_ENTITIES), "map<string,string>"
     empty = F.create_map().cast(maps)
@@ -56,9 +68,7 @@ def with_rescued_data(texts: DataFrame, text: str, corrupt: Column) -> DataFrame
     df = texts.withColumn("_top", F.coalesce(F.from_json(text, maps), empty))
     df = df.withColumn("_payload", F.coalesce(F.from_json(part("_top", "value"), maps), empty))
 
-    found = [F.map_filter("_top", lambda k, _: _unknown(k, ["key", "value", *names])),
-             F.transform_keys(F.map_filter("_payload", lambda k, _: _unknown(k, names)),
-                              lambda k, _: F.concat(F.lit("value."), k))]
+    found = [_members("_top", ["key", "value", *names]), _members("_payload", names, "value.")]
     for entity, fields in LANDING_ENTITIES.items():
         rows = F.from_json(F.coalesce(part("_payload", entity), part("_top", entity)),
                            f"array<{maps}>")
@@ -66,39 +76,65 @@ def with_rescued_data(texts: DataFrame, text: str, corrupt: Column) -> DataFrame
         column = f"_extra_{entity}"
         df = df.withColumn(column, F.filter(extra, lambda m: F.size(m) > 0))
         path = F.when(part("_payload", entity).isNotNull(), f"value.{entity}").otherwise(entity)
-        found.append(F.when(F.size(column) > 0, F.create_map(path, F.to_json(column)))
-                     .otherwise(empty))
-    df = df.withColumn("_found", F.map_concat(*found))
+        found.append(F.when(F.size(column) > 0, F.array(_member(path, F.to_json(column))))
+                     .otherwise(F.array().cast("array<string>")))
+    df = df.withColumn("_found", F.concat(*found))
     whole = F.when(corrupt.isNotNull(), F.to_json(F.create_map(F.lit(_CORRUPT), corrupt)))
-    rescued = F.coalesce(whole, F.when(F.size("_found") > 0, F.to_json("_found")))
+    some = F.when(F.size("_found") > 0, F.concat(F.lit("{"), F.array_join("_found", ","), F.lit("}")))
+    rescued = F.coalesce(whole, some)
     return df.withColumn("_rescued_data", rescued).drop(
         "_top", "_payload", "_found", *(f"_extra_{e}" for e in names))
 
 
 def parse_documents(texts: DataFrame) -> DataFrame:
-    """Documents held as text in ``value``, one per row, with their rescued data."""
+    """Documents held as text in ``value``, as `split_documents` gives them, with their rescued data."""
     parsed = F.from_json("value", document_ddl() + f", {_CORRUPT} STRING",
                          {"columnNameOfCorruptRecord": _CORRUPT})
-    rows = with_rescued_data(texts.withColumn("_doc", parsed), "value", F.col(f"_doc.{_CORRUPT}"))
-    kept = [c for c in texts.columns if c != "value"]
+    rows = with_rescued_data(texts.withColumn("_doc", parsed), "value",
+                             F.coalesce(F.col(f"_doc.{_CORRUPT}"), F.col("_unfit")))
+    kept = [c for c in texts.columns if c not in ("value", "_unfit")]
     documents = rows.select("_doc.*", *kept, "_rescued_data").drop(_CORRUPT)
     return unwrap(documents, tuple(LANDING_ENTITIES))
 
 
+def split_documents(texts: DataFrame) -> DataFrame:
+    """One row per document of each text in ``value``: a document, an array of them, or several in a row.
+
+    Documents in a row are separated by line ends or commas. The text is read as the inside of an array that
+    ends in a mark: if the mark is not read last, something in the text does not fit, and the text stays
+    one row and is repeated in ``_unfit``, for the rescued data to keep. A line end between braces cannot be inside a JSON string.
+    Blank texts leave no row.
+    """
+    def elements(text: Column) -> Column:
+        joined = F.regexp_replace(text, r"\}\s*[\r\n]\s*\{", "},{")
+        return F.from_json(F.concat(F.lit("["), joined, F.lit(f',"{_MARK}"]')), "array<string>")
+
+    def fitting(found: Column) -> Column:
+        return F.when(F.element_at(found, -1) == _MARK, F.slice(found, F.lit(1), F.size(found) - 1))
+
+    df = texts.filter(F.col("value").rlike(r"\S"))
+    df = df.withColumn("_docs", fitting(elements(F.col("value"))))
+    array = (F.size("_docs") == 1) & F.col("_docs")[0].startswith("[")
+    df = df.withColumn("_unfit", F.when(F.col("_docs").isNull(), F.col("value")))
+    df = df.withColumn("_docs", F.when(array, F.from_json(F.col("_docs")[0], "array<string>"))
+                       .otherwise(F.coalesce("_docs", F.array("value"))))
+    return df.withColumn("value", F.explode("_docs")).drop("_docs")
+
+
 def landing_stream(spark: SparkSession, folder: str, rescue: bool = True, multi_line: bool = True,
                    files_per_batch: int | None = None) -> DataFrame:
     """New documents of the landing folder with ingest metadata.
 
-    ``rescue`` keeps unknown fields and needs one document per file. Without it a file may also hold
-    an array of documents or, with ``multi_line=False``, one document per line, which Spark can
-    split over tasks.
+    A file may hold a document, an array of documents or several in a row; with ``multi_line=False`` it
+    holds one or an array per line, and Spark can split it over tasks. ``rescue`` keeps unknown fields and
+    what is not JSON; an empty array gives no document.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if rescue:
-        texts = with_ingest_metadata(reader.text(folder, wholetext=True))
-        return parse_documents(texts)
+        texts = with_ingest_metadata(reader.text(folder, wholetext=multi_line))
+        return parse_documents(split_documents(texts))
     documents = reader.schema(document_ddl()).option("multiLine", multi_line).json(folder)
     return (unwrap(with_ingest_metadata(documents), tuple(LANDING_ENTITIES))
             .withColumn("_rescued_data", F.lit(None).cast("string")))
