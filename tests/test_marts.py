@@ -214,3 +214,21 @@ def test_hot_order_is_summed_before_the_join(spark, sales):
 def test_dimension_columns_are_declared():
     assert DIMENSIONS["customers"].current == "dim_customers_current"
     assert DIMENSIONS["products"].current == "dim_products_current"
+
+
+def test_no_amount_is_cut_or_left_out(spark):
+    from tradeloom.functions import money_add, money_parts, money_sum, money_value
+
+    def totals(*amounts):
+        df = spark.createDataFrame([(a,) for a in amounts], "a DOUBLE")
+        twice = df.groupBy("a").agg(money_add(money_parts("a")).alias("s"))  # sums of sums
+        row = df.agg(money_sum("a", None)).first()[0], twice.agg(money_value(money_add("s"), None)).first()[0]
+        assert str(row[0]) == str(row[1])
+        return row[0]
+
+    assert totals(0.1, 0.2) == 0.3
+    assert totals(1.0, float("nan")) != totals(1.0, float("nan"))
+    assert totals(1.0, float("inf")) == float("inf")
+    assert totals(1e15, 1.5) == 1e15 + 1.5
+    assert abs(totals(0.00001, 0.00002, 1.0) - 1.00003) < 1e-12
+    assert totals(None, 2.5) == 2.5 and totals(None) is None

@@ -80,6 +80,8 @@ def test_current_month_reaches_the_scan(tables):
     assert text.count("GreaterThanOrEqual(date_key,20010701),LessThanOrEqual(date_key,20010731)"
                       .replace(",LessThan", ", LessThan")) >= 2
     assert "GreaterThanOrEqual(ship_date_key,20010701)" in text
+    lines = next(line for line in text.splitlines() if "FileScan" in line and "line_amount" in line)
+    assert "GreaterThanOrEqual(date_key,20010701)" in lines
 
 
 def test_period_becomes_a_key_range_on_the_fact(tables):

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.functions import as_date, exact, money_sum, per_unit, rate
+from tradeloom.functions import as_date, money_add, money_parts, money_value, rate
 from tradeloom.plans.gold import order_totals
 
 _MONTH = ["year_num", "month_num", "month_label", "month_name"]
@@ -25,8 +25,8 @@ def daily_order_facts(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """
     return (order_totals(lines).join(orders.select("order_id", "date_key"), "order_id")
             .groupBy("date_key")
-            .agg(F.count("order_id").alias("orders"),
-                 *(F.sum(c).alias(c) for c in ("amount", "line_count", "priced_lines",
+            .agg(F.count("order_id").alias("orders"), money_add("amount").alias("amount"),
+                 *(F.sum(c).alias(c) for c in ("line_count", "priced_lines",
                                                "packs_ordered", "packs_confirmed"))))
 
 
@@ -35,10 +35,10 @@ def daily_revenue(orders: DataFrame, lines: DataFrame, calendar: DataFrame) -> D
     names = ["calendar_date", "day_name", "month_num", "month_name", "year_num", "fiscal_year",
              "is_weekend"]
     return (daily_order_facts(orders, lines).join(calendar.select("date_key", *names), "date_key")
-            .select(*names, F.round("amount", 2).cast("double").alias("total_revenue"),
+            .select(*names, money_value("amount").alias("total_revenue"),
                     F.col("orders").alias("order_count"),
                     F.col("line_count").alias("line_item_count"),
-                    per_unit(F.col("amount"), F.col("priced_lines")).alias("avg_line_amount")))
+                    money_value("amount", count=F.col("priced_lines")).alias("avg_line_amount")))
 
 
 def monthly_revenue_fiscal(orders: DataFrame, lines: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -48,8 +48,8 @@ def monthly_revenue_fiscal(orders: DataFrame, lines: DataFrame, calendar: DataFr
               .join(calendar.select("date_key", *names), "date_key").groupBy(*names))
     ordered, confirmed = F.sum("packs_ordered"), F.sum("packs_confirmed")
     return months.agg(
-        money_sum("amount").alias("total_revenue"), F.sum("orders").alias("order_count"),
-        per_unit(F.sum("amount"), F.sum("orders")).alias("avg_order_value"),
+        money_value(money_add("amount")).alias("total_revenue"), F.sum("orders").alias("order_count"),
+        money_value(money_add("amount"), count=F.sum("orders")).alias("avg_order_value"),
         ordered.alias("units_ordered"), confirmed.alias("units_confirmed"),
         rate(confirmed, ordered).alias("fulfillment_rate"))
 
@@ -60,12 +60,12 @@ def _fiscal_months(orders: DataFrame, lines: DataFrame, calendar: DataFrame,
     past = calendar.filter(F.col("calendar_date").between(F.col("fiscal_year_start_date"),
                                                           as_date(as_of)))
     return (daily_order_facts(orders, lines).join(past.select("date_key", *keys), "date_key")
-            .groupBy(*keys).agg(F.sum("amount").alias("amount"), F.sum("orders").alias("orders")))
+            .groupBy(*keys).agg(money_add("amount").alias("amount"), F.sum("orders").alias("orders")))
 
 
 def _ytd(amount: Column, orders: Column) -> list[Column]:
-    return [F.round(amount, 2).cast("double").alias("ytd_revenue"), orders.alias("ytd_order_count"),
-            per_unit(amount, orders).alias("ytd_avg_order_value")]
+    return [money_value(amount).alias("ytd_revenue"), orders.alias("ytd_order_count"),
+            money_value(amount, count=orders).alias("ytd_avg_order_value")]
 
 
 def _quarter_label() -> Column:
@@ -87,7 +87,7 @@ def fiscal_ytd_running(orders: DataFrame, lines: DataFrame, calendar: DataFrame,
     year = (Window.partitionBy("fiscal_year").orderBy("fiscal_month_num")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     months = _fiscal_months(orders, lines, calendar, as_of)
-    totals = months.withColumns({c: F.sum(c).over(year) for c in ("amount", "orders")})
+    totals = months.withColumns({"amount": money_add("amount", over=year), "orders": F.sum("orders").over(year)})
     return totals.select("fiscal_year", "fiscal_year_label", "fiscal_month_num",
                          "fiscal_quarter_num", *_ytd(F.col("amount"), F.col("orders")),
                          _quarter_label())
@@ -122,11 +122,11 @@ def inventory_monthly(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def returns_monthly(returns: DataFrame, calendar: DataFrame) -> DataFrame:
     """Returns, credits and average credit per month and reason."""
-    credit = exact("credit_amount")
+    credits = money_add(money_parts("credit_amount"))
     return _by_month(returns, "date_key", calendar, [
         F.count(F.lit(1)).alias("return_count"),
-        money_sum(credit, None).alias("total_credits"),
-        per_unit(F.sum(credit), F.count("credit_amount")).alias("avg_credit")], "reason_code")
+        money_value(credits, None).alias("total_credits"),
+        money_value(credits, count=F.count("credit_amount")).alias("avg_credit")], "reason_code")
 
 
 def shipment_trends(shipments: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -143,7 +143,8 @@ def current_month_kpis(orders: DataFrame, lines: DataFrame, shipments: DataFrame
     """Five rows (name, value, unit) for the month of ``as_of``.
 
     The month is applied to each fact twice: as a range on its stored date key, which reaches the
-    scan, and through the calendar, which decides.
+    scan, and through the calendar, which decides. A line has the date key of its order, so lines
+    are cut by the same range before they are summed.
     """
     today = dt.date.fromisoformat(str(as_of))
     first = today.year * 10000 + today.month * 100
@@ -160,14 +161,14 @@ def current_month_kpis(orders: DataFrame, lines: DataFrame, shipments: DataFrame
 
     # The names and units of the five figures.
     current = this_month(orders.select("order_id", "date_key"))
-    sales = (current.join(order_totals(lines).select("order_id", "amount", "line_count"),
-                          "order_id", "left")
-             .agg(F.sum("amount").alias("amount"), F.count("order_id").alias("orders"),
+    billed = order_totals(lines.filter(F.col("date_key").between(first + 1, first + 31)))
+    sales = (current.join(billed.select("order_id", "amount", "line_count"), "order_id", "left")
+             .agg(money_add("amount").alias("amount"), F.count("order_id").alias("orders"),
                   F.count("line_count").alias("billed")))
     sales = sales.select(F.inline(F.array(
-        entry("Revenue", F.round("amount", 2), "USD"),
+        entry("Revenue", money_value("amount"), "USD"),
         entry("Orders", F.col("orders"), "Count"),
-        entry("Avg Order Value", per_unit(F.col("amount"), F.col("billed")), "USD"))))
+        entry("Avg Order Value", money_value("amount", count=F.col("billed")), "USD"))))
     shipped = this_month(shipments.select("ship_date_key"), "ship_date_key").agg(
         F.count(F.lit(1)).alias("n"))
     returned = this_month(returns.select("date_key")).agg(F.count(F.lit(1)).alias("n"))

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.functions import exact, money_sum, rate
+from tradeloom.functions import money_add, money_parts, money_sum, money_value, rate
 
 
 def order_totals(lines: DataFrame) -> DataFrame:
     """One row per order: amount, number of lines, lines with an amount, packs."""
     return lines.groupBy("order_id").agg(
-        F.sum(exact("line_amount")).alias("amount"),
+        money_add(money_parts("line_amount")).alias("amount"),
         F.count(F.lit(1)).alias("line_count"),
         F.count("line_amount").alias("priced_lines"),
         F.sum("ordered_qty_packs").alias("packs_ordered"),
@@ -26,10 +26,10 @@ def order_totals(lines: DataFrame) -> DataFrame:
 
 def kpi_summary(orders: DataFrame, lines: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: revenue, orders, customers and the plain average of order totals."""
-    revenue = lines.agg(money_sum(exact("line_amount"), None))
+    revenue = lines.agg(money_sum("line_amount", None))
     buyers = customers.agg(F.count_distinct("customer_id"))
     overall = orders.agg(F.count_distinct("order_id").alias("total_orders"),
-                         F.try_divide(money_sum(exact("order_total_amount"), None),
+                         F.try_divide(money_sum("order_total_amount", None),
                                       F.count("order_total_amount")).alias("avg_order_value"))
     return overall.select(revenue.scalar().alias("total_revenue"), "total_orders",
                           buyers.scalar().alias("total_customers"), "avg_order_value")
@@ -40,15 +40,15 @@ def monthly_revenue(orders: DataFrame, lines: DataFrame) -> DataFrame:
     month = F.date_trunc("month", "order_date").alias("order_month")
     return (order_totals(lines).join(orders.select("order_id", month), "order_id")
             .groupBy("order_month")
-            .agg(money_sum("amount").alias("revenue"), F.count("order_id").alias("order_count")))
+            .agg(money_value(money_add("amount")).alias("revenue"), F.count("order_id").alias("order_count")))
 
 
 def revenue_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue and orders per therapeutic area; an order counts in every area it touches."""
-    return (lines.select("product_id", "order_id", exact("line_amount").alias("amount"))
+    return (lines.select("product_id", "order_id", money_parts("line_amount").alias("amount"))
             .join(products.select("product_id", "therapeutic_area"), "product_id")
             .groupBy("therapeutic_area")
-            .agg(money_sum("amount").alias("revenue"),
+            .agg(money_value(money_add("amount")).alias("revenue"),
                  F.count_distinct("order_id").alias("order_count")))
 
 
@@ -56,18 +56,18 @@ def revenue_by_customer_type(orders: DataFrame, lines: DataFrame, customers: Dat
     """Revenue and orders per customer type and region, by the customer's current attributes."""
     per_customer = (order_totals(lines).join(orders.select("order_id", "customer_id"), "order_id")
                     .groupBy("customer_id")
-                    .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("orders")))
+                    .agg(money_add("amount").alias("amount"), F.count(F.lit(1)).alias("orders")))
     return (per_customer.join(customers.select("customer_id", "customer_type", "region"),
                               "customer_id")
             .groupBy("customer_type", "region")
-            .agg(money_sum("amount").alias("revenue"), F.sum("orders").alias("order_count")))
+            .agg(money_value(money_add("amount")).alias("revenue"), F.sum("orders").alias("order_count")))
 
 
 def orders_by_status(orders: DataFrame) -> DataFrame:
     """Orders, revenue and share of all orders per status; the share is a fraction."""
     groups = orders.groupBy("order_status").agg(
         F.count("order_id").alias("order_count"), F.count(F.lit(1)).alias("_rows"),
-        money_sum(exact("order_total_amount")).alias("revenue"))
+        money_sum("order_total_amount").alias("revenue"))
     # the total runs over the few group rows, not over the orders again
     everything = F.sum("_rows").over(Window.partitionBy())
     return (groups.withColumn("pct_of_total", rate(F.col("order_count"), everything)).drop("_rows"))
@@ -95,14 +95,14 @@ def returns_by_reason(returns: DataFrame, lines: DataFrame) -> DataFrame:
     return (returns.groupBy("reason_code")
             .agg(F.count("return_id").alias("return_count"),
                  F.sum("returned_qty_packs").alias("returned_packs"),
-                 money_sum(exact("credit_amount")).alias("total_credit"))
+                 money_sum("credit_amount").alias("total_credit"))
             .withColumn("return_rate", rate(F.col("returned_packs"), sold.scalar())))
 
 
 def product_revenue(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, units and orders of every product sold."""
     per_product = lines.groupBy("product_id").agg(
-        money_sum(exact("line_amount")).alias("revenue"),
+        money_sum("line_amount").alias("revenue"),
         F.sum("ordered_qty_packs").alias("units_sold"),
         F.count_distinct("order_id").alias("order_count"))
     attributes = ["product_name", "therapeutic_area", "dosage_form", "manufacturer_id"]

@@ -127,8 +127,12 @@ def metric_views(tables: Mapping[str, DataFrame], as_of: dt.date | str) -> dict[
         return MetricView(tables[fact], dimensions, measures, [lookup], where)
 
     def total(amount: str) -> str:
-        # summed as decimals: the same digits whatever the order of the rows
-        return f"CAST(SUM(CAST({amount} AS DECIMAL(18,4))) AS DOUBLE)"
+        # as functions.money_sum: decimals where these hold the amount, whatever the order of the rows
+        decimal = f"TRY_CAST({amount} AS DECIMAL(18,4))"
+        fits = f"CAST({decimal} AS DOUBLE) <=> {amount}"
+        exact = f"CAST(SUM(CASE WHEN {fits} THEN {decimal} END) AS DOUBLE)"
+        rest = f"SUM(CASE WHEN NOT ({fits}) THEN {amount} END)"
+        return f"COALESCE({exact} + {rest}, {exact}, {rest})"
 
     def average(amount: str) -> str:
         return f"TRY_DIVIDE({total(amount)}, COUNT({amount}))"

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions import date_key
+from tradeloom.functions import date_key, money_add, money_parts, money_sum, money_value
 from tradeloom.operators import quality
 from tradeloom.operators.calendar_dim import calendar_spanning
 from tradeloom.operators.dedup import dedup_first
@@ -64,6 +64,24 @@ def _patchy_lines(s: Star) -> DataFrame:
         .alias("line_id"))
 
 
+def _unusual_money(s: Star) -> DataFrame:
+    """Totals and averages of amounts that no decimal of four digits holds, by line number: plain ones, very
+    large ones, ones with many decimals, and plain ones among which some are NaN or infinite."""
+    number, price = F.col("l_linenumber"), F.col("l_extendedprice")
+    some = F.col("l_orderkey") % 100 == 0
+    amount = (F.when(number == 2, 1e15).when(number == 3, 2.0 ** -17)
+              .when((number == 4) & some, float("nan")).when((number == 5) & some, float("inf"))
+              .otherwise(price))
+    sums = s.raw("lineitem").select(number, amount.alias("amount")).groupBy("l_linenumber").agg(
+        F.count("amount").alias("amounts"), money_sum("amount", None).alias("total"),
+        money_value(money_add(money_parts("amount")), None, F.count("amount")).alias("mean"))
+    finite = ~F.isnan("total") & (F.abs("total") != float("inf"))
+    small = ~number.isin(2, 3)
+    shown = [F.when(finite, F.when(small, F.round(c, 2)).otherwise(F.col(c))).alias(c) for c in ("total", "mean")]
+    return sums.select("l_linenumber", "amounts", F.isnan("total").alias("is_nan"),
+                       (F.col("total") == float("inf")).alias("is_infinite"), *shown)
+
+
 def _date_key(s: Star) -> DataFrame:
     return s.raw("lineitem").groupBy(date_key("l_shipdate").alias("date_key")).agg(
         F.count(F.lit(1)).alias("line_count"))
@@ -136,7 +154,9 @@ class DateFromOrders(dict):
 
 def _mart_query(name: str) -> Callable[[Star], DataFrame]:
     def build(star: Star) -> DataFrame:
-        result = present(name, mart(name, DateFromOrders(star), AS_OF))
+        # the current month cuts lines by their own date key; the others take the date from the order
+        tables = star if name == "current_month_kpis" else DateFromOrders(star)
+        result = present(name, mart(name, tables, AS_OF))
         if name == "kpi_summary":
             return _rounded(result, total_revenue=2, avg_order_value=4)
         return result
@@ -168,6 +188,7 @@ def batch_queries() -> dict[str, Query]:
         "dedup_first": _dedup_first,
         "require_keys": lambda s: quality.require_keys(_patchy_orders(s), ["order_id"]),
         "date_key": _date_key,
+        "unusual_money": _unusual_money,
         "calendar_dim": lambda s: _calendar(s, 1),
         "calendar_dim_fiscal_july": lambda s: _calendar(s, 7),
         # quality

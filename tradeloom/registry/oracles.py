@@ -313,6 +313,19 @@ _KEYS = {
     "dedup_first": sql("ln", """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM ln"""),
     "require_keys": sql("patchy", "SELECT * FROM patchy WHERE order_id IS NOT NULL AND order_id <> ''"),
+    "unusual_money": """
+        SELECT l_linenumber, count(*) AS amounts,
+          l_linenumber = 4 AND bool_or(l_orderkey % 100 = 0) AS is_nan,
+          l_linenumber = 5 AND bool_or(l_orderkey % 100 = 0) AS is_infinite,
+          CASE WHEN l_linenumber IN (4, 5) AND bool_or(l_orderkey % 100 = 0) THEN NULL
+            WHEN l_linenumber = 2 THEN count(*) * CAST(1e15 AS DOUBLE)
+            WHEN l_linenumber = 3 THEN count(*) / CAST(131072 AS DOUBLE)
+            ELSE round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE), 2) END AS total,
+          CASE WHEN l_linenumber IN (4, 5) AND bool_or(l_orderkey % 100 = 0) THEN NULL
+            WHEN l_linenumber = 2 THEN CAST(1e15 AS DOUBLE)
+            WHEN l_linenumber = 3 THEN 1 / CAST(131072 AS DOUBLE)
+            ELSE round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) / count(*), 2) END AS mean
+        FROM lineitem GROUP BY l_linenumber""",
     "date_key": """
         SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_key, count(*) AS line_count
         FROM lineitem GROUP BY 1""",
@@ -444,8 +457,7 @@ _NO_ADDRESS = ", ".join(f"CAST(NULL AS VARCHAR) AS address_{c}"
                         for c in ("street", "city", "state", "postal_code"))
 _RAW_ORDERS = """SELECT {flow} AS flow, order_id, order_date, dc_id, customer_id, order_status,
     order_total_amount, CAST(coalesce(n, 0) AS INTEGER) AS line_count
-    FROM fso LEFT JOIN (SELECT order_id AS oid, count(*) AS n FROM fol GROUP BY 1) ON order_id = oid
-    {where}"""
+    FROM fso LEFT JOIN (SELECT order_id AS oid, count(*) AS n FROM fol GROUP BY 1) ON order_id = oid"""
 
 
 def _key(entity: str, column: str) -> str:
@@ -500,10 +512,9 @@ _STREAMS = {
     "flatten_returns": sql("frt", f"""
         SELECT * EXCLUDE (cents), {_key("returns", "original_order_id")} AS bronze_record_key
         FROM frt"""),
-    "ingest_order_backfill": sql("fso fol", _RAW_ORDERS.format(
-        flow="'historical'", where="WHERE order_status = 'F'")),
-    "orders_fan_in": sql("fso fol", _RAW_ORDERS.format(flow="'live'", where="") + " UNION ALL "
-                         + _RAW_ORDERS.format(flow="'historical'", where="WHERE order_status = 'F'")),
+    "ingest_order_backfill": sql("fso fol", _RAW_ORDERS.format(flow="'historical'")),
+    "orders_fan_in": sql("fso fol", _RAW_ORDERS.format(flow="'live'") + " UNION ALL "
+                         + _RAW_ORDERS.format(flow="'historical'")),
     "flatten_orders": sql("fso", f"""
         SELECT *, 'FOB' AS incoterm, 'USD' AS currency,
           {_key("sales_orders", "order_id")} AS bronze_record_key FROM fso"""),

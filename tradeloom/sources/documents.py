@@ -104,9 +104,8 @@ def write_landing(star: Star, folder: str) -> None:
 
 
 def write_backfill(star: Star, folder: str) -> None:
-    """The finished orders as backfill documents."""
-    finished = _rows(star, "sales_orders").filter("row.order_status = 'F'")
-    _write(_documents(finished, "sales_orders"), folder)
+    """All orders as backfill documents."""
+    _write(_documents(_rows(star, "sales_orders"), "sales_orders"), folder)
 
 
 def _write(documents: DataFrame, folder: str) -> None:
