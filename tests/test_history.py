@@ -83,11 +83,11 @@ def test_windows_over_a_whole_hot_key_see_one_row_per_bucket(spark):
 def test_current_rows(spark):
     versions = spark.createDataFrame(
         [("CUST-1", "NORTH", 1.0, T0, T0 + dt.timedelta(hours=1)),
-         ("CUST-1", "MIDWEST", 15000.0, T0 + dt.timedelta(hours=1), None)],
+         ("CUST-1", "INLAND", 720.25, T0 + dt.timedelta(hours=1), None)],
         "customer_id STRING, region STRING, credit_limit DOUBLE, __START_AT TIMESTAMP, "
         "__END_AT TIMESTAMP")
     assert [tuple(r) for r in current_dimension(versions).collect()] == [
-        ("CUST-1", "MIDWEST", 15000.0)]
+        ("CUST-1", "INLAND", 720.25)]
 
 
 def test_as_of_equals_brute_force(spark):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 from pathlib import Path
 
@@ -212,7 +213,7 @@ def test_pipeline_in_two_runs(spark, folder):
         "inventory_snapshots": [{"snapshot_id": "i1", "snapshot_ts": "2026-04-07", "on_hand_packs": 4}]}})
     pipeline.run_pipeline(spark, landing, None, store, parts=2)
     land(landing, "2", {"key": "2", "value": {
-        "customers": [{**customer, "region": "MIDWEST", "credit_limit": 15000.0}],
+        "customers": [{**customer, "region": "INLAND", "credit_limit": 720.25}],
         "sales_orders": [order("o1", 99.0, 1, "SHIPPED"), order("o2", 5.0)]}})
     tables = pipeline.run_pipeline(spark, landing, None, store, parts=2, files_per_batch=1)
     assert {t: df.count() for t, df in tables.items()} == {
@@ -225,9 +226,9 @@ def test_pipeline_in_two_runs(spark, folder):
     assert status == {"o1": "CREATED", "o2": "CREATED"}  # the first arrival stays
     assert tables["fct_returns"].first().return_date is None
     old, new = sorted(tables["dim_customers_hist"].collect(), key=lambda r: r["__START_AT"])
-    assert (old.region, new.region) == ("NORTH", "MIDWEST")
+    assert (old.region, new.region) == ("NORTH", "INLAND")
     assert old["__END_AT"] == new["__START_AT"] and new["__END_AT"] is None
-    assert tables["dim_customers_current"].first().credit_limit == 15000.0
+    assert tables["dim_customers_current"].first().credit_limit == 720.25
 
 
 @pytest.mark.parametrize("cluster", [(), ("d", "k")])
@@ -249,3 +250,23 @@ def test_tables_in_buckets_join_without_a_shuffle(spark):
         assert joined.count() == 200
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_newest_of_one_arrival_is_current(spark, folder):
+    """Two files between two runs, two documents in a file, two rows in a document: the last one counts."""
+    landing, store = f"{folder}/in", Store(f"{folder}/store")
+
+    def customers(*regions):
+        return {"value": {"customers": [{"customer_id": c, "region": r} for c, r in regions]}}
+
+    land(landing, "z-older", customers(("a", "NORTH"), ("b", "WEST"), ("b", "EAST")))
+    land(landing, "a-newer", [customers(("a", "WEST"), ("c", "WEST")), customers(("a", "EAST"), ("c", "EAST"))])
+    os.utime(f"{landing}/z-older.json", (1_700_000_000, 1_700_000_000))
+    for _ in range(2):
+        ingest(spark, landing, store)
+        sinks.finish([pipeline.load_dimension(spark, store, "customers", parts=2)])
+        current = read_current(spark, store.table("dim_customers_hist"))
+        got = {r.customer_id: r.region for r in current.collect()}
+        assert got == ({"a": "EAST", "b": "EAST", "c": "EAST"} if _ == 0 else
+                       {"a": "SOUTH", "b": "EAST", "c": "EAST"})
+        land(landing, "last", customers(("a", "WEST"), ("a", "SOUTH")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions import date_key, parse_timestamp
 from tradeloom.operators.quality import require_keys
-from tradeloom.schemas import (ADDRESS_FIELDS, DIMENSIONS, FACTS, FLAT_FACTS, LINEAGE, ORDERS_RAW,
+from tradeloom.schemas import (ADDRESS_FIELDS, ARRIVAL, DIMENSIONS, FACTS, FLAT_FACTS, LINEAGE, ORDERS_RAW,
                                Dimension)
 
 
@@ -28,10 +28,15 @@ def _dimension_column(name: str, spec: Dimension) -> Column:
 
 
 def flatten_dimension(documents: DataFrame, entity: str) -> DataFrame:
-    """Source rows of a type-2 dimension: trimmed, flat, with a key, still carrying lineage."""
+    """Source rows of a type-2 dimension: trimmed, flat, with a key, still carrying lineage and, where the
+    documents have it, the order of arrival."""
     spec = DIMENSIONS[entity]
-    rows = explode_entity(documents, entity)
-    flat = rows.select(*(_dimension_column(c, spec) for c in spec.columns), *LINEAGE)
+    known = [c for c in ARRIVAL if c in documents.columns and c not in LINEAGE]
+    rows = documents.select(F.col("key").alias("bronze_record_key"), *LINEAGE[1:], *known,
+                            F.posexplode(f"value.{entity}").alias("_position", "_row"))
+    rows = rows.select(*LINEAGE, *known, "_position", "_row.*")
+    order = [*known, "_position"] if known else []
+    flat = rows.select(*(_dimension_column(c, spec) for c in spec.columns), *LINEAGE, *order)
     return require_keys(flat, spec.required)
 
 

@@ -31,23 +31,27 @@ def _present(columns: Sequence[str]) -> Column:
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
-                 tracked: Sequence[str] | None = None, bucket: Bucket = daily) -> DataFrame:
+                 tracked: Sequence[str] | None = None, bucket: Bucket = daily,
+                 then: Sequence[str] = ()) -> DataFrame:
     """Versions of each key: the tracked columns with ``__START_AT`` and ``__END_AT``.
 
     Consecutive records with equal tracked columns are one version. Of several records with the same
-    key and sequence the smallest by the tracked columns counts, so the history is a function of the
-    set of records, whatever their order or batches. A record without key or sequence has no place in
+    key and sequence the last by the columns ``then`` counts, and of those the largest by the tracked
+    columns; without ``then`` the smallest. So the history is a function of the set of records, whatever
+    their order or batches. A record without key or sequence has no place in
     it and is left out; check for such records with expectations first.
     """
     keys = list(keys)
     if tracked is None:
-        tracked = [c for c in log.columns if c not in {*keys, sequence, *LINEAGE}]
+        tracked = [c for c in log.columns if c not in {*keys, sequence, *then, *LINEAGE}]
     tracked = list(tracked)
-    log = log.select(*keys, F.col(sequence).alias(START), F.struct(*tracked).alias("_state"))
+    log = log.select(*keys, F.col(sequence).alias(START), F.struct(*then).alias("_then") if then
+                     else F.lit(None).alias("_then"), F.struct(*tracked).alias("_state"))
     log = log.filter(_present([*keys, START]))
 
     # one record per key and moment; copies collapse before the shuffle
-    moments = log.groupBy(*keys, START).agg(F.min("_state").alias("_state"))
+    last = F.max(F.struct("_then", "_state"))["_state"] if then else F.min("_state")
+    moments = log.groupBy(*keys, START).agg(last.alias("_state"))
     versions = _versions_by_bucket(moments, keys, bucket)
     return (versions
             .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in tracked), START, END))

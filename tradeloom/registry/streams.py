@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators.flatten import flatten_dimension
-from tradeloom.schemas import (BRONZE, DIMENSIONS, FACTS, LANDING_ENTITIES, LINEAGE, ORDERS_RAW,
+from tradeloom.schemas import (ARRIVAL, BRONZE, DIMENSIONS, FACTS, LANDING_ENTITIES, LINEAGE, ORDERS_RAW,
                                Table)
 from tradeloom.session import state_partitions, work_dir
 from tradeloom.sources.documents import write_backfill, write_landing
@@ -63,7 +63,7 @@ def _orders_raw(spark: SparkSession, folder: str) -> Store:
 
 
 def _business(df: DataFrame) -> DataFrame:
-    return df.drop(*LINEAGE[1:])
+    return df.drop(*LINEAGE[1:], *ARRIVAL)
 
 
 def _dimension(entity: str) -> Query:

@@ -76,6 +76,9 @@ _INGEST = {"_ingested_at": "TIMESTAMP", "_ingest_date": "DATE", "_source_file":
 _LINEAGE = {"bronze_record_key": "STRING", **_INGEST}
 LINEAGE = tuple(_LINEAGE)
 
+# Where a record stood among those that arrived at one moment: file, document in it, row in that.
+ARRIVAL = ("_file_time", "_source_file", "_document", "_position")
+
 
 def payload_ddl(*entities: str) -> str:
     """DDL type of a document's payload holding the given entity arrays (all by default)."""
@@ -90,7 +93,8 @@ def document_ddl(*entities: str) -> str:
     return f"key STRING, value {payload_ddl(*names)}, {flat}"
 
 
-BRONZE = Table({"key": "STRING", "value": payload_ddl(), **_INGEST, "_rescued_data": "STRING"})
+BRONZE = Table({"key": "STRING", "value": payload_ddl(), **_INGEST, "_file_time": "TIMESTAMP",
+                "_document": "INT", "_rescued_data": "STRING"})
 
 # Column names, types and order of the order staging table and the silver facts.
 ORDERS_RAW = Table({

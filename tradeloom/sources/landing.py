@@ -20,10 +20,11 @@ _MARK = "end of documents"
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
-    """Add the processing time, its day and the source file."""
+    """Add the processing time, its day, the source file and the time it was last written."""
     return df.withColumns({"_ingested_at": F.current_timestamp(),
                            "_ingest_date": F.to_date(F.current_timestamp()),
-                           "_source_file": F.col("_metadata.file_path")})
+                           "_source_file": F.col("_metadata.file_path"),
+                           "_file_time": F.col("_metadata.file_modification_time")})
 
 
 def unwrap(documents: DataFrame, entities: tuple[str, ...]) -> DataFrame:
@@ -98,7 +99,8 @@ def parse_documents(texts: DataFrame) -> DataFrame:
 
 
 def split_documents(texts: DataFrame) -> DataFrame:
-    """One row per document of each text in ``value``: a document, an array of them, or several in a row.
+    """One row per document of each text in ``value``: a document, an array of them, or several in a row;
+    ``_document`` is its position in the text.
 
     Documents in a row are separated by line ends or commas. The text is read as the inside of an array that
     ends in a mark: if the mark is not read last, something in the text does not fit, and the text stays
@@ -118,7 +120,8 @@ def split_documents(texts: DataFrame) -> DataFrame:
     df = df.withColumn("_unfit", F.when(F.col("_docs").isNull(), F.col("value")))
     df = df.withColumn("_docs", F.when(array, F.from_json(F.col("_docs")[0], "array<string>"))
                        .otherwise(F.coalesce("_docs", F.array("value"))))
-    return df.withColumn("value", F.explode("_docs")).drop("_docs")
+    others = [c for c in df.columns if c not in ("value", "_docs")]
+    return df.select(*others, F.posexplode("_docs").alias("_document", "value"))
 
 
 def landing_stream(spark: SparkSession, folder: str, rescue: bool = True, multi_line: bool = True,
@@ -137,7 +140,7 @@ def landing_stream(spark: SparkSession, folder: str, rescue: bool = True, multi_
         return parse_documents(split_documents(texts))
     documents = reader.schema(document_ddl()).option("multiLine", multi_line).json(folder)
     return (unwrap(with_ingest_metadata(documents), tuple(LANDING_ENTITIES))
-            .withColumn("_rescued_data", F.lit(None).cast("string")))
+            .withColumns({"_rescued_data": F.lit(None).cast("string"), "_document": F.lit(None).cast("int")}))
 
 
 def backfill_stream(spark: SparkSession, folder: str, multi_line: bool = True,

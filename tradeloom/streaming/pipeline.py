@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.operators.flatten import (flatten_dimension, flatten_fact, flatten_order_lines,
                                          flatten_orders, flatten_orders_raw)
 from tradeloom.operators.quality import expect_or_drop
-from tradeloom.schemas import (BRONZE, DIMENSIONS, FACT_KEYS, FACT_RULES, FACTS, FLAT_FACTS,
+from tradeloom.schemas import (ARRIVAL, BRONZE, DIMENSIONS, FACT_KEYS, FACT_RULES, FACTS, FLAT_FACTS,
                                ORDERS_RAW)
 from tradeloom.sources.landing import backfill_stream, landing_stream
 from tradeloom.streaming import sinks
@@ -91,7 +91,7 @@ def load_dimension(spark: SparkSession, store: Store, entity: str, parts: int =
     bronze = sinks.stream_table(spark, store.table("landing"), BRONZE)
     tracked = [c for c in spec.columns if c != spec.key]
     return scd2_apply(flatten_dimension(bronze, entity), [spec.key], "_ingested_at", tracked,
-                      store.table(spec.history), store.checkpoint(spec.history), parts)
+                      store.table(spec.history), store.checkpoint(spec.history), parts, ARRIVAL)
 
 
 def run_pipeline(spark: SparkSession, landing: str, backfill: str | None, store: Store,

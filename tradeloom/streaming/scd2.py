@@ -66,9 +66,12 @@ def _part(keys: Sequence[str], parts: int) -> Column:
 
 
 def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked: Sequence[str],
-               root: str, checkpoint: str, parts: int = PARTS) -> StreamingQuery:
-    """Start applying all available changes to the history under ``root``."""
-    keys, tracked = list(keys), list(tracked)
+               root: str, checkpoint: str, parts: int = PARTS, then: Sequence[str] = ()) -> StreamingQuery:
+    """Start applying all available changes to the history under ``root``.
+
+    Of records of a key with one ``sequence``, the last by the columns ``then`` counts; see `scd2_history`.
+    """
+    keys, tracked, then = list(keys), list(tracked), list(then)
 
     def written(spark: SparkSession, df: DataFrame, table: str, batch_id: int) -> DataFrame:
         path = f"{root}/{table}/batch_id={batch_id}"
@@ -77,7 +80,7 @@ def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked:
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = written(spark, batch.select(*keys, sequence, *tracked), "log", batch_id)
+        fresh = written(spark, batch.select(*keys, sequence, *tracked, *then), "log", batch_id)
         news = fresh.groupBy(*keys, _part(keys, parts)).agg(
             F.min(sequence).alias("_first"), F.max(sequence).alias("_newest"))
         touched = [r._part for r in news.select("_part").distinct().collect()]  # at most ``parts`` rows
@@ -94,13 +97,13 @@ def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked:
             continued = (before.join(news.select(*keys), keys, "left_semi")
                          .select(*keys, F.col(START).alias(sequence), *tracked))
             if late.isEmpty():
-                records = continued.unionByName(fresh)
+                records = fresh.unionByName(continued, allowMissingColumns=True)
             else:
                 log = _stored(spark, f"{root}/log", before=batch_id + 1).drop("batch_id")
-                records = (continued.unionByName(fresh).join(late, keys, "left_anti")
+                records = (fresh.unionByName(continued, allowMissingColumns=True).join(late, keys, "left_anti")
                            .unionByName(log.join(late, keys, "left_semi").select(*fresh.columns)))
             records = written(spark, records, "work", batch_id)
-        versions = written(spark, scd2_history(records, keys, sequence, tracked),
+        versions = written(spark, scd2_history(records, keys, sequence, tracked, then=then),
                            "versions", batch_id)
 
         rows = (versions.filter(F.col(END).isNull()).drop(END)
