@@ -267,6 +267,11 @@ def test_the_newest_of_one_arrival_is_current(spark, folder):
         sinks.finish([pipeline.load_dimension(spark, store, "customers", parts=2)])
         current = read_current(spark, store.table("dim_customers_hist"))
         got = {r.customer_id: r.region for r in current.collect()}
+        versions = store.table("dim_customers_hist") + "/versions"  # a batch that is not written to its end
+        spark.read.parquet(f"{versions}/batch_id={_}").withColumn("__END_AT", F.col("__START_AT")).write.parquet(
+            f"{versions}/batch_id={_ + 7}")
+        history = read_history(spark, store.table("dim_customers_hist"), ["customer_id"])
+        assert history.filter("__END_AT IS NULL").count() == 3 and history.count() == 3 + _
         assert got == ({"a": "EAST", "b": "EAST", "c": "EAST"} if _ == 0 else
                        {"a": "SOUTH", "b": "EAST", "c": "EAST"})
         land(landing, "last", customers(("a", "WEST"), ("a", "SOUTH")))

@@ -129,9 +129,9 @@ def scd2_apply(changes: DataFrame, keys: Sequence[str], sequence: str, tracked:
             .trigger(availableNow=True).start())
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
+def read_current(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """The open version of every key, with its start but without an end."""
-    rows = _open_rows(spark, root, _slots(spark, root))
+    rows = _open_rows(spark, root, _slots(spark, root, before))
     if rows is None:
         raise ValueError(f"no history under {root}")
     rows = rows.drop("_part", _SEEN)
@@ -139,10 +139,14 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """All versions of every key."""
-    current = read_current(spark, root)
-    closed = _stored(spark, f"{root}/versions").filter(F.col(END).isNotNull())
-    late = _stored(spark, f"{root}/late")
+    """All versions of every key, as of the last batch that was written to its end."""
+    parts = _stored(spark, f"{root}/parts")
+    if parts is None:
+        raise ValueError(f"no history under {root}")
+    end = parts.agg(F.max("batch_id")).first()[0] + 1
+    current = read_current(spark, root, end)
+    closed = _stored(spark, f"{root}/versions", end).filter(F.col(END).isNotNull())
+    late = _stored(spark, f"{root}/late", end)
     if late is not None:
         voids = late.groupBy(*keys).agg(F.max("batch_id").alias("_void_before"))
         closed = (closed.join(voids, list(keys), "left")
