@@ -108,10 +108,12 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS, min_score: float = MI
 
     ``edges``: different (pattern, value) with ``seed``, the kind of a value seen in a seed, or NULL.
     """
-    edges = edges.groupBy("pattern", "value").agg(F.min("seed").alias("seed"))
-    seeded = edges.filter("seed IS NOT NULL").groupBy("value").agg(F.min("seed").alias("kind"))
-    trust = seeded.withColumn("trust", F.lit(1.0))
-    links = saved(edges.select("pattern", "value"), "pii-links")
+    # links and seeds are stored: joins on a frequent value then read plain shuffles, which AQE can split
+    edges = saved(edges.groupBy("pattern", "value").agg(F.min("seed").alias("seed")), "pii-links")
+    links = edges.select("pattern", "value")
+    seeded = saved(edges.filter("seed IS NOT NULL").groupBy("value").agg(F.min("seed").alias("kind"))
+                   .withColumn("trust", F.lit(1.0)), "pii-seeds")
+    trust = seeded
     sizes = links.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
     for round_ in range(rounds):
         good = (links.join(trust, "value").groupBy("pattern", "kind")
@@ -124,7 +126,7 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS, min_score: float = MI
         induced = (links.join(scored, "pattern").groupBy("value", "kind")
                    .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("trust")))
         best = induced.groupBy("value").agg(F.max_by(F.struct("kind", "trust"), F.struct("trust", "kind")).alias("b"))
-        trust = saved(seeded.withColumn("trust", F.lit(1.0)).unionByName(
+        trust = saved(seeded.unionByName(
             best.select("value", "b.kind", "b.trust").join(seeded, "value", "left_anti")), "pii-trust")
     raise ValueError("rounds must be positive")
 
