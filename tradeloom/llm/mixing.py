@@ -3,9 +3,10 @@
 Every document has a pseudo-random key. Within a source the documents are taken in key order, whole
 epochs first, and the last epoch ends at the word that meets the budget. The order is never sorted in
 one place: keys are uniform, so equal ranges of keys are equal shares of a source. Word counts are summed
-per (source, key range), the sums are accumulated over the ranges, and only the one range of each source
-in which the budget ends is ordered key by key. What comes out is one row per source (epochs, cut key,
-words before it), and each document's share follows from comparing its key with the cut.
+per (source, key range), the sums are accumulated over wide ranges, then over the ranges of the one wide
+range in which a source's budget ends, and only the one range in which it ends is ordered key by key. What
+comes out is one row per source (epochs, cut key, words before it), and each document's share follows from
+comparing its key with the cut.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
 SEED = "mix"
 RANGE_DIGITS = 4  # key ranges of a source: 16 ** 4
+WIDE_DIGITS = 2  # ranges of a source that are accumulated first: 16 ** 2
 
 
 def size_of(text: Column) -> Column:
@@ -66,28 +68,32 @@ def cuts(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOS
     keyed = docs.select("source", key_of(F.col("doc_id"), seed).alias("key"),
                         size_of(F.col("text")).alias("size"))
     keys = saved(keyed.groupBy("source", "key").agg(F.sum("size").alias("size")), "mix-keys")
-    plan = targets(keys.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    ranges = saved(keys.groupBy("source", F.substring("key", 1, RANGE_DIGITS).alias("range"))
+                   .agg(F.sum("size").alias("words")), "mix-ranges")
+    plan = targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     budget, whole = F.floor("target").cast("long"), F.col("source_size")
     plan = (plan.withColumn("epochs", F.when(whole > 0, F.expr("floor(target) div source_size"))
                             .otherwise(0).cast("long"))
             .withColumn("rest", budget - F.col("epochs") * whole))
-    ranges = keys.groupBy("source", F.substring("key", 1, RANGE_DIGITS).alias("range")).agg(
-        F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = ranges.withColumn("upto", F.sum("words").over(upto))
-    ends = (_on_source(ranges, plan.select("source", "rest"))
-            .filter("upto - words < rest AND rest <= upto")
-            .select("source", "range", (F.col("rest") - (F.col("upto") - F.col("words"))).alias("left")))
-    inside = _on_source(keys.withColumn("range", F.substring("key", 1, RANGE_DIGITS)), ends, "range")
-    along = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (inside.withColumn("upto", F.sum("size").over(along))
-            .filter("upto - size < left AND left <= upto")
-            .select("source", F.col("key").alias("cut_key"), F.col("size").alias("cut_size"),
-                    (F.col("left") - (F.col("upto") - F.col("size"))).alias("cut_words")))
+    ranges = ranges.withColumn("wide", F.substring("range", 1, WIDE_DIGITS))
+    wide = ranges.groupBy("source", "wide").agg(F.sum("words").alias("words"))
+    ends = _end_part(_on_source(wide, plan.select("source", F.col("rest").alias("left"))), "wide")
+    ends = _end_part(_on_source(ranges, ends.drop("words"), "wide"), "range")
+    inside = _on_source(keys.withColumn("range", F.substring("key", 1, RANGE_DIGITS)), ends.drop("words"), "range")
+    ends = _end_part(inside.withColumnRenamed("size", "words"), "key").select(
+        "source", F.col("key").alias("cut_key"), F.col("words").alias("cut_size"), F.col("left").alias("cut_words"))
     # stored, so that Spark knows its size: a short list of sources is then no reason to shuffle documents
     return saved(_on_source(plan.drop("rest"), ends, how="left"), "mix-cuts")
 
 
+def _end_part(parts: DataFrame, name: str) -> DataFrame:
+    """Of each source's parts in order of ``name``, the one in which its ``left`` words end, and what is left there."""
+    along = Window.partitionBy("source").orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
+    return (parts.withColumn("upto", F.sum("words").over(along))
+            .filter("upto - words < left AND left <= upto")
+            .select("source", name, "words", (F.col("left") - (F.col("upto") - F.col("words"))).alias("left")))
+
+
 def _on_source(left: DataFrame, right: DataFrame, *also: str, how: str = "inner") -> DataFrame:
     """Join on source (NULL equals NULL) and more columns."""
     other = right.select(*[F.col(c).alias(f"_{c}" if c in ("source", *also) else c) for c in right.columns])
