@@ -94,6 +94,20 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     assert hits >= 0.97 * total and set(got) == {i for i in data if i % 10 == 0}
 
 
+@pytest.mark.parametrize("size", [64, 128])
+@pytest.mark.parametrize("asked", [1, 7])
+def test_scan_keeps_exact_copies(size, asked):
+    """A limit of exactly zero meets partial distances of rotated vectors that differ in the last bits."""
+    rng = np.random.default_rng(size + asked)
+    turn = ann.orthonormal(size, size, ann.SEED)
+    for _ in range(100):
+        queries = rng.standard_normal((asked, size)).astype(np.float32).astype(float)
+        vectors = np.concatenate([np.repeat(queries[:1], 30, axis=0), rng.standard_normal((200, size))])
+        ids = rng.permutation(len(vectors))
+        got = [f for f in ann.scan(queries, np.arange(1000, 1000 + asked), vectors, ids, turn) if f[0] == 1000]
+        assert got == [(1000, int(i), 0.0) for i in sorted(ids[:30])[:10]]
+
+
 def test_neighbours_of_small_and_empty_tables(spark):
     table = frame(spark, [(100, [1.0, 0.0]), (200, [0.0, 1.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0])]).withColumn("list", F.lit(1))
     got = [(r.query_id, r["rank"], r.vec_id) for r in nearest_neighbours(table, table.filter("vec_id % 100 = 0"))

@@ -26,6 +26,7 @@ PROBED = 0.55  # share of the lists a query probes; vectors without clusters nee
 COLUMNS = 16  # of a block
 CONFIDENCE = 2.1  # standard errors a partial distance may be off before the candidate is abandoned
 VECTORS, QUERIES = 4096, 512  # of a block of a list
+ROUNDING = 1e-9  # of the squared norms: far above what rounding adds to a partial distance
 SEED = 20
 
 
@@ -54,6 +55,7 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
     """(query id, vector id, distance) of the nearest vectors to each query that the tests leave."""
     size = vectors.shape[1]
     turned_q, turned_v = queries @ turn.T, vectors @ turn.T
+    norms_q, norms_v = (queries ** 2).sum(axis=1), (vectors ** 2).sum(axis=1)
     out = []
     for q, query_id in enumerate(query_ids):
         alive = np.flatnonzero(ids != query_id)
@@ -65,9 +67,12 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
             if end == size or len(alive) <= nearest:
                 break
             # the exact distances of the candidates that look best bound the k-th distance
-            best = alive[np.argpartition(partial, nearest - 1)[:nearest]]
-            limit = min(limit, ((vectors[best] - queries[q]) ** 2).sum(axis=1).max())
-            stays = partial * (size / end) <= limit * (1 + confidence / np.sqrt(end)) ** 2
+            best = np.argpartition(partial, nearest - 1)[:nearest]
+            limit = min(limit, ((vectors[alive[best]] - queries[q]) ** 2).sum(axis=1).max())
+            # rotated and original vectors round differently, so a limit of 0 must leave the exact copies
+            slack = ROUNDING * (norms_q[q] + norms_v[alive])
+            stays = partial * (size / end) <= limit * (1 + confidence / np.sqrt(end)) ** 2 + slack
+            stays[best] = True
             alive, partial = alive[stays], partial[stays]
         distance = np.sqrt(((vectors[alive] - queries[q]) ** 2).sum(axis=1))
         order = np.lexsort((ids[alive], distance))[:nearest]
