@@ -85,6 +85,20 @@ def test_language_of_odd_rows(spark):
     assert {(r.lang_pred, r.rejected) for r in identify(docs, None).collect()} == {("und", True)}
 
 
+def test_rare_languages_keep_their_clean_documents(spark):
+    """One row, a few rows and copies of one row tell no quantile; a language with many rows still has one."""
+    rows = [(i, prose(i, 30), "en", "a") for i in range(1200)] + [(3000 + i, prose(5000, 30, "de"), "de", "a") for i in range(50)]
+    rows += [(4000 + i, prose(6000 + i, 30, "de").translate(str.maketrans("aeiou", "áéíóú")), "xx", "a") for i in range(3)]
+    model = fit_languages(docs_frame(spark, rows))
+    assert set(model.limits) == {"en"}
+    new = [(i, prose(7000 + i, 30, "de"), None, "a") for i in range(300)]
+    new += [(300 + i, r[1].translate(str.maketrans("aeiou", "áéíóú")), None, "a") for i, r in enumerate(new)]
+    new += [(900 + i, prose(9000 + i, 30), None, "a") for i in range(300)]
+    got = identify(docs_frame(spark, new), model).collect()
+    assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == ["de"] * 300 + ["xx"] * 300 + ["en"] * 300
+    assert sum(r.rejected for r in got if r.lang_pred != "en") == 0 and sum(r.rejected for r in got) <= 1
+
+
 def test_quality_held_out(spark):
     got = {r.doc_id: r for r in quality_query(spark, FOLDER).collect()}
     labels = [r for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect() if got[r.doc_id].held_out]

@@ -7,8 +7,8 @@ probabilities per language; a lookup is a binary search, and n-grams that are no
 the weight of their context. The language with the lowest cross-entropy per character is chosen.
 
 Counting runs over all training texts in Spark; the driver gets the most frequent n-grams only, so that
-the model has at most `CELLS` (n-gram, language) cells whatever the input. Calibration uses a bounded
-sample of training rows, of which only cross-entropies reach the driver.
+the model has at most `CELLS` (n-gram, language) cells whatever the input. Calibration reads the
+cross-entropies of all different training texts in Spark; a few numbers per language reach the driver.
 """
 
 from __future__ import annotations
@@ -19,16 +19,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.base import held_out
+from tradeloom.llm.base import held_out, saved
 from tradeloom.llm.pieces import built
 
 ORDER = 4
 CELLS, MAX_LANGUAGES = 1 << 21, 256
-CALIBRATION_ROWS = 4096  # about so many training rows, chosen by hash
+SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
 FALSE_REJECTS = 0.001
+RANKS = 20_000  # a quantile's rank is off by at most one in so many
 MARGIN = 2.5  # the rejection limit is this much beyond the calibrated quantile
 FLUSH, REMEMBERED, SHORT = 200_000, 1 << 18, 40
 UNDETERMINED = "und"
@@ -129,7 +130,7 @@ def train_model(rows: list[tuple[str, str, int]]) -> CharModel:
             counts = np.add.reduceat((counts > 0)[order].astype(float), starts)
             codes = shorter[order][starts]
     letters = len(levels[-1][0])
-    model.floor = -np.log(letters + 1)
+    model.floor = -float(np.log(letters + 1))
     for codes, counts in reversed(levels):
         k = codes.shape[1]
         n1, n2 = (counts == 1).sum(0), (counts == 2).sum(0)
@@ -191,10 +192,11 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return each.mapInArrow(grams, kind).groupBy("lang", "part").agg(F.sum("n").alias("n"))
 
 
-def with_entropies(docs: DataFrame, model: CharModel) -> DataFrame:
+def with_entropies(docs: DataFrame, model: CharModel, keep_text: bool = True) -> DataFrame:
     """The rows with ``_nats`` (per language, per character; NULL without letters) and ``_chars``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != place]
 
     def work(batches):
         model = shared.value
@@ -222,14 +224,14 @@ def with_entropies(docs: DataFrame, model: CharModel) -> DataFrame:
                 nats.append((-total / size).tolist())
                 chars.append(size)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(nats, pa.list_(pa.float64())), pa.array(chars, pa.int64())],
-                names=[*batch.schema.names, "_nats", "_chars"])
+                [*(batch.column(i) for i in kept), pa.array(nats, pa.list_(pa.float64())), pa.array(chars, pa.int64())],
+                names=[*(batch.schema.names[i] for i in kept), "_nats", "_chars"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    fields = ", ".join(f"`{docs.schema[i].name}` {docs.schema[i].dataType.simpleString()}" for i in kept)
     return docs.mapInArrow(work, f"{fields}, _nats array<double>, _chars bigint")
 
 
-def fit_languages(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> CharModel | None:
+def fit_languages(docs: DataFrame) -> CharModel | None:
     """The calibrated model learned from all rows of ``docs`` with text and lang; None without any.
 
     At most `MAX_LANGUAGES` languages, those with most n-grams, are learned.
@@ -244,62 +246,68 @@ def fit_languages(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) ->
              .limit(CELLS // len(top)).collect())
     counted.unpersist()
     model = train_model([tuple(r) for r in grams])
-    usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    total = usable.count()
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(min(1.0, calibration_rows / total) * (1 << 20)) + 1
-    sample = (with_entropies(usable.filter(part), model).filter("_nats IS NOT NULL")
-              .select("lang", "_nats", "_chars").limit(2 * calibration_rows).collect())
-    calibrate(model, [(r.lang, r._nats, r._chars) for r in sample])
+    usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("_text"), "text")
+    scored = (with_entropies(usable, model, keep_text=False).filter("_nats IS NOT NULL")
+              .dropDuplicates(["lang", "_text"]).drop("_text"))
+    calibrate(model, saved(scored, "language-entropies"))
     return model
 
 
-def calibrate(model: CharModel, sample: list[tuple[str, list[float], int]]) -> None:
+def calibrate(model: CharModel, scored: DataFrame) -> None:
     """Set how sharply scores fall with cross-entropy, and the limit beyond which a language is rejected.
 
-    Sharpness maximises the likelihood of the sample's languages. The limit of a language is the
-    quantile of its rightly recognised texts' cross-entropies at the rate of false rejections, moved `MARGIN` times as far
-    from their median; texts of few characters vary more, so their limit widens with 1 / sqrt(length).
+    ``scored``: lang, ``_nats`` and ``_chars`` of all different training texts. Sharpness maximises the
+    likelihood of their languages. The limit of a language is the quantile of its rightly recognised texts'
+    cross-entropies at the rate of false rejections, moved `MARGIN` times as far from their median; texts
+    of few characters vary more, so their limit widens with 1 / sqrt(length). A language with fewer such texts
+    than it takes to see that rate once gets no limit of its own.
     """
     column = {lang: i for i, lang in enumerate(model.languages)}
-    sample = [s for s in sample if s[0] in column]
-    if not sample:
-        return
-    nats = np.array([s[1] for s in sample])
-    own = np.array([column[s[0]] for s in sample])
-    chars = np.array([s[2] for s in sample], dtype=float)
+    names = F.array(*[F.lit(lang) for lang in model.languages])
+    low = F.array_min("_nats")
+    scored = (scored.withColumns({"own": F.array_position(names, F.col("lang")).cast("int"), "low": low})
+              .filter("own > 0"))
 
-    def likelihood(sharp: float) -> float:
-        logits = -sharp * nats
-        logits -= logits.max(axis=1, keepdims=True)
-        return float((logits[np.arange(len(own)), own] - np.log(np.exp(logits).sum(axis=1))).mean())
+    def likelihood(sharp: float) -> Column:
+        weigh = F.aggregate("_nats", F.lit(0.0), lambda acc, x: acc + F.exp(-F.lit(sharp) * (x - F.col("low"))))
+        return F.avg(-F.lit(sharp) * (F.element_at("_nats", F.col("own")) - F.col("low")) - F.log(weigh))
 
-    model.sharpness = max((1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=likelihood)
-    mine, right = nats.min(axis=1), nats.argmin(axis=1) == own
-    for lang, i in column.items():
-        values, sizes = mine[right & (own == i)], chars[right & (own == i)]
-        if len(values):
-            middle = float(np.median(values))
-            wide = (values - middle) / (1 + 10 / np.sqrt(sizes))
-            model.limits[lang] = (middle, MARGIN * float(np.quantile(wide, 1 - FALSE_REJECTS)) + 0.05)
+    means = scored.agg(*[likelihood(s) for s in SHARPNESS]).first()
+    if means[0] is None:
+        return
+    model.sharpness = max(zip(means, SHARPNESS), key=lambda m: m[0])[1]
+    right = scored.filter(F.array_position("_nats", F.col("low")) == F.col("own"))
+    middles = {r.lang: r.middle for r in right.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("low", 0.5, RANKS).alias("middle")).collect()
+        if r.n * FALSE_REJECTS >= 1}
+    if not middles:
+        return
+    middle = F.element_at(F.array(*[F.lit(middles.get(lang, 0.0)) for lang in column]), F.col("own"))
+    wide = (F.col("low") - middle) / (1 + 10 / F.sqrt(F.col("_chars").cast("double")))
+    for r in (right.filter(F.col("lang").isin(list(middles))).groupBy("lang")
+              .agg(F.percentile_approx(wide, 1 - FALSE_REJECTS, RANKS).alias("reach")).collect()):
+        model.limits[r.lang] = (middles[r.lang], MARGIN * r.reach + 0.05)
 
 
 def identify(docs: DataFrame, model: CharModel | None) -> DataFrame:
     """The rows with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; columns with these names are replaced.
 
     ``lang_pred`` is ``und`` with score 0 if the text is NULL or has no letter, or nothing was learned; such rows
-    are rejected. Of equal cross-entropies the first language by name is taken. Very long texts are read whole.
+    are rejected. A language without a limit of its own rejects only what it explains worse than equally likely
+    characters do. Of equal cross-entropies the first language by name is taken. Very long texts are read whole.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0), "rejected": F.lit(True)})
     out = with_entropies(docs, model)
     low = F.array_min("_nats")
-    middle = F.array(*[F.lit(float(model.limits.get(lang, (0.0, 0.0))[0])) for lang in model.languages])
-    reach = F.array(*[F.lit(float(model.limits.get(lang, (0.0, 1e9))[1])) for lang in model.languages])
+    middle, reach = (F.array(*[F.lit(model.limits.get(lang, (None, None))[i]).cast("double") for lang in model.languages])
+                     for i in (0, 1))
     best = F.array_position("_nats", low).cast("int")
     names = F.array(*[F.lit(lang) for lang in model.languages])
     weigh = F.aggregate("_nats", F.lit(0.0), lambda acc, x: acc + F.exp(-F.lit(model.sharpness) * (x - low)))
     far = (low - F.element_at(middle, best)) / (1 + 10 / F.sqrt(F.col("_chars").cast("double"))) > F.element_at(reach, best)
+    far = F.coalesce(far, low > -model.floor)
     known = F.col("_nats").isNotNull()
     return out.withColumns({
         "lang_pred": F.when(known, F.element_at(names, best)).otherwise(UNDETERMINED),
