@@ -8,6 +8,7 @@ import pytest
 from llm_helpers import docs_frame, odd_rows, prose
 from pyspark.sql import functions as F
 
+from tradeloom.llm import language_id
 from tradeloom.llm.language_id import ORDER, fit_languages, identify, language_query, train_model
 from tradeloom.llm.quality import fit_quality, leading, quality_query, score_quality, shape
 
@@ -99,6 +100,24 @@ def test_rare_languages_keep_their_clean_documents(spark):
     assert sum(r.rejected for r in got if r.lang_pred != "en") == 0 and sum(r.rejected for r in got) <= 1
 
 
+def test_no_language_is_crowded_out(spark, monkeypatch):
+    """However few cells a model may have, every language keeps all its n-grams; results do not depend on it."""
+    swap = {f"l{i:02d}": str.maketrans("aeiou", "".join(chr(0x430 + 5 * i + j) for j in range(5))) for i in range(6)}
+    rows = [(i, prose(i, 60), "en", "a") for i in range(60)]
+    rows += [(100 + i, prose(i, 60, "de").translate(t), lang, "a") for i, (lang, t) in enumerate(swap.items())]
+    docs = docs_frame(spark, rows)
+    got = []
+    for cells in (1 << 21, 2000, 1):
+        monkeypatch.setattr(language_id, "CELLS", cells)
+        model = fit_languages(docs)
+        assert model.languages == ["en", *swap]
+        got.append({r.doc_id: (r.lang_pred, round(r.score, 9), r.rejected) for r in identify(docs, model).collect()})
+    grams = {(r[2], f"   {w} "[j:j + ORDER]) for r in rows for w in r[1].split() for j in range(len(w) + 1)}
+    assert len(model.models) == 7 and sum(len(m.keys[-1]) for m in model.models) == len(grams)
+    assert got[0] == got[1] == got[2]
+    assert all(got[0][r[0]][0] == r[2] for r in rows)
+
+
 def test_quality_held_out(spark):
     got = {r.doc_id: r for r in quality_query(spark, FOLDER).collect()}
     labels = [r for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect() if got[r.doc_id].held_out]

@@ -1,13 +1,15 @@
 """Language identification by interpolated Kneser-Ney character models held in sorted hash arrays.
 
 Each language has a character model of order `ORDER` over its words, padded with spaces, so that a
-text's log probability is the sum over its words and a word that repeats is scored once in a worker. All
-languages share one sorted array of n-gram hashes per order with one column of interpolated log
+text's log probability is the sum over its words and a word that repeats is scored once in a worker. The
+languages of a model share one sorted array of n-gram hashes per order with one column of interpolated log
 probabilities per language; a lookup is a binary search, and n-grams that are not there back off by
 the weight of their context. The language with the lowest cross-entropy per character is chosen.
 
-Counting runs over all training texts in Spark; the driver gets the most frequent n-grams only, so that
-the model has at most `CELLS` (n-gram, language) cells whatever the input. Calibration reads the
+Counting runs over all training texts in Spark, and all n-grams of all languages are kept, singletons too.
+Languages are independent but for the number of letters, so they are divided into models of at most
+`CELLS` (n-gram, language) cells, or of one language, and texts are scored by one model after the other:
+a broadcast grows with the n-grams of one language at most, not with the languages. Calibration reads the
 cross-entropies of all different training texts in Spark; a few numbers per language reach the driver.
 """
 
@@ -22,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.base import held_out, saved
+from tradeloom.llm.base import held_out, remove, saved, saved_at
 from tradeloom.llm.pieces import built
 
 ORDER = 4
-CELLS, MAX_LANGUAGES = 1 << 21, 256
+CELLS = 1 << 21
 SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
 FALSE_REJECTS = 0.001
 RANKS = 20_000  # a quantile's rank is off by at most one in so many
@@ -69,8 +71,6 @@ class CharModel:
     contexts: list = field(default_factory=list)
     backoffs: list = field(default_factory=list)
     floor: float = 0.0
-    sharpness: float = 10.0
-    limits: dict = field(default_factory=dict)
 
     def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
         """Log probability of the last character of each window, per language."""
@@ -101,6 +101,23 @@ class CharModel:
         return out
 
 
+@dataclass
+class Languages:
+    """Models over all languages, in the order of their names, and what calibration found."""
+
+    models: list[CharModel]
+    sharpness: float = 10.0
+    limits: dict = field(default_factory=dict)
+
+    @property
+    def languages(self) -> list[str]:
+        return [lang for model in self.models for lang in model.languages]
+
+    @property
+    def floor(self) -> float:
+        return self.models[0].floor
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray):
     if not len(keys):
         return np.zeros(len(wanted), int), np.zeros(len(wanted), bool)
@@ -108,8 +125,11 @@ def _find(keys: np.ndarray, wanted: np.ndarray):
     return at, keys[at] == wanted
 
 
-def train_model(rows: list[tuple[str, str, int]]) -> CharModel:
-    """The model from (language, n-gram of `ORDER` characters, count)."""
+def train_model(rows: list[tuple[str, str, int]], letters: int | None = None) -> CharModel:
+    """The model from (language, n-gram of `ORDER` characters, count).
+
+    ``letters``: how many different characters all languages have, if ``rows`` are some of the languages only.
+    """
     languages = sorted({r[0] for r in rows})
     model = CharModel(languages)
     grams = sorted({r[1] for r in rows})
@@ -129,7 +149,7 @@ def train_model(rows: list[tuple[str, str, int]]) -> CharModel:
             starts, _ = _runs(packed)
             counts = np.add.reduceat((counts > 0)[order].astype(float), starts)
             codes = shorter[order][starts]
-    letters = len(levels[-1][0])
+    letters = letters or len(levels[-1][0])
     model.floor = -float(np.log(letters + 1))
     for codes, counts in reversed(levels):
         k = codes.shape[1]
@@ -192,8 +212,24 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return each.mapInArrow(grams, kind).groupBy("lang", "part").agg(F.sum("n").alias("n"))
 
 
-def with_entropies(docs: DataFrame, model: CharModel, keep_text: bool = True) -> DataFrame:
-    """The rows with ``_nats`` (per language, per character; NULL without letters) and ``_chars``."""
+def with_entropies(docs: DataFrame, model: Languages, keep_text: bool = True) -> DataFrame:
+    """The rows with ``_nats`` (per language, per character; NULL without letters) and ``_chars``.
+
+    Each of several models is a pass, whose result is stored for the next one.
+    """
+    names, path, last = docs.columns, None, len(model.models) - 1
+    nats = F.col("_nats")
+    for part in model.models[:last]:
+        scored = _with_entropies(docs, part, True).select(*names, nats.alias("_before"))
+        old, (docs, path) = path, saved_at(scored, "language-pass")
+        if old:
+            remove(docs.sparkSession, old)
+        nats = F.concat("_before", "_nats")
+    out = _with_entropies(docs, model.models[last], keep_text)
+    return out.withColumn("_nats", nats).drop("_before") if last else out
+
+
+def _with_entropies(docs: DataFrame, model: CharModel, keep_text: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
     kept = [i for i in range(len(docs.columns)) if keep_text or i != place]
@@ -231,21 +267,30 @@ def with_entropies(docs: DataFrame, model: CharModel, keep_text: bool = True) ->
     return docs.mapInArrow(work, f"{fields}, _nats array<double>, _chars bigint")
 
 
-def fit_languages(docs: DataFrame) -> CharModel | None:
-    """The calibrated model learned from all rows of ``docs`` with text and lang; None without any.
-
-    At most `MAX_LANGUAGES` languages, those with most n-grams, are learned.
-    """
-    counted = count_grams(docs).persist()
-    top = [r.lang for r in counted.groupBy("lang").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not top:
-        counted.unpersist()
+def grouped(sizes: list[tuple[str, int]], cells: int) -> list[list[str]]:
+    """Languages, given with their numbers of n-grams, in groups whose models have at most so many cells or one language."""
+    groups, grams = [], 0
+    for lang, n in sorted(sizes):
+        if groups and (grams + n) * (len(groups[-1]) + 1) <= cells:
+            groups[-1].append(lang)
+            grams += n
+        else:
+            groups.append([lang])
+            grams = n
+    return groups
+
+
+def fit_languages(docs: DataFrame) -> Languages | None:
+    """The calibrated models learned from all rows of ``docs`` with text and lang; None without any letters."""
+    counted = saved(count_grams(docs), "language-grams")
+    sizes = [(r.lang, r.n) for r in counted.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
+    if not sizes:
         return None
-    grams = (counted.filter(F.col("lang").isin(top)).orderBy(F.desc("n"), "lang", "part")
-             .limit(CELLS // len(top)).collect())
-    counted.unpersist()
-    model = train_model([tuple(r) for r in grams])
+    letters = counted.select(F.substring("part", ORDER, 1)).distinct().count()
+    model = Languages([])
+    for langs in grouped(sizes, CELLS):
+        table = counted.filter(F.col("lang").isin(langs)).toArrow()
+        model.models.append(train_model(list(zip(*(c.to_pylist() for c in table.columns))), letters))
     usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("_text"), "text")
     scored = (with_entropies(usable, model, keep_text=False).filter("_nats IS NOT NULL")
               .dropDuplicates(["lang", "_text"]).drop("_text"))
@@ -253,7 +298,7 @@ def fit_languages(docs: DataFrame) -> CharModel | None:
     return model
 
 
-def calibrate(model: CharModel, scored: DataFrame) -> None:
+def calibrate(model: Languages, scored: DataFrame) -> None:
     """Set how sharply scores fall with cross-entropy, and the limit beyond which a language is rejected.
 
     ``scored``: lang, ``_nats`` and ``_chars`` of all different training texts. Sharpness maximises the
@@ -289,7 +334,7 @@ def calibrate(model: CharModel, scored: DataFrame) -> None:
         model.limits[r.lang] = (middles[r.lang], MARGIN * r.reach + 0.05)
 
 
-def identify(docs: DataFrame, model: CharModel | None) -> DataFrame:
+def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
     """The rows with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; columns with these names are replaced.
 
     ``lang_pred`` is ``und`` with score 0 if the text is NULL or has no letter, or nothing was learned; such rows
