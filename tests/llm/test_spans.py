@@ -121,6 +121,24 @@ def test_random_strings_and_only_they(spark):
         assert got[i] in ("", f"random:{at}:{at + len(k)}")
 
 
+def test_random_values_of_assignments_and_short_ones(spark):
+    """A name and ``=`` are not part of the value; padding is; 18 symbols give evidence, numbers do not."""
+    pick = random.Random(4)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, f"{prose(i)} {''.join(prose(i + 50, 6).split())} on 20260101120000 or 4000{i:06d}", "en", "a") for i in range(100)]
+    want = {}
+    for i in range(40):
+        size, name, end = (44, "auth=", "") if i < 20 else (42, "sig=", "==") if i < 30 else (18, "pwd=", "")
+        value = ("".join(pick.choice(symbols) for _ in range(size)) if size > 18 else "".join(pick.sample(symbols, size))) + end
+        rows.append((1000 + i, f"{prose(i)} {name}{value} {prose(i)}", "en", "a"))
+        at = len(prose(i)) + 1 + len(name)
+        want[1000 + i] = f"random:{at}:{at + len(value)}"
+    got = {r.doc_id: r.s for r in find_secrets(docs_frame(spark, rows)).select("doc_id", joined(F.col("spans")).alias("s")).collect()}
+    assert sum(got[i] == w for i, w in want.items() if i < 1030) >= 27
+    assert sum(got[i] == w for i, w in want.items() if i >= 1030) >= 5
+    assert all(got[i] in ("", w) for i, w in want.items()) and not any(got[i] for i in range(100))
+
+
 def test_empty_tables_and_clashing_columns(spark):
     docs = docs_frame(spark, odd_rows())
     for find in (find_pii, find_secrets):

@@ -1,18 +1,23 @@
 """Secrets by a battery of randomness tests, with DataFrame functions only.
 
-Besides the strict patterns, every long run of key characters is a candidate. Its encoding is inferred
+Besides the strict patterns, every run of key characters that is long enough to give evidence is a candidate;
+an `=` ends a run unless it is padding, so the value of an assignment stands alone. Its encoding is inferred
 from the characters it uses (hexadecimal, base 32, lower or upper case with digits, base 62, base 64), and
 three tests ask whether it looks like uniform draws from that alphabet: chi-squared on the symbol
 counts, Wald-Wolfowitz runs about the middle of the alphabet, and lag-1 serial correlation. A candidate that
 fails one of them (Bonferroni over the three) is not random. For the others the chi-squared statistic is
 held against what ordinary text of the same length would give; the letter frequencies for that come
 from all ordinary long words of the corpus, and the exact mean and variance of the statistic depend on
-the length, so short strings need more evidence. Those p-values pass a Benjamini-Hochberg step over all
+the length, so short strings need more evidence, and a run of which even different symbols throughout
+could not be a discovery is not tested. Runs of digits only are tested from `LONG` characters on: shorter ones
+are dates and numbers of all kinds, of which letter frequencies tell nothing. Those p-values pass a Benjamini-Hochberg step over all
 candidates, on a fixed grid of p-values rounded up, so it needs one count per grid cell.
 """
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +28,10 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)""")
 ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+LONG = 20  # of the ordinary words whose letters are counted
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+(?:=++(?![A-Za-z0-9+/_-]))?"
 ORDINARY = r"^[-_/+=]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/+=]+(?:[A-Z]?[a-z]+|[A-Z]+))*[-_/+=]*$"
+SHORT_NUMBER = "^[0-9]{1,%d}=*$" % (LONG - 1)
 LETTERS, NUMERALS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 # Name, pattern and alphabet in code order; the first that fits is the encoding.
 ENCODINGS = (
@@ -122,11 +129,10 @@ def letter_counts(words: DataFrame) -> DataFrame:
                        for c in LETTERS])
 
 
-def text_p(tokens: DataFrame, letters) -> DataFrame:
-    """Adds ``p``: how likely ordinary text has symbols spread as evenly as the token's, or more.
+def letter_moments(letters) -> list[tuple[float, float]]:
+    """Sums of squares and cubes of the shares of the corpus's letters in each encoding's alphabet.
 
-    ``letters``: the one row of `letter_counts`. Exact mean and variance of the sum of squared counts
-    for draws of the corpus's letters, restricted to the token's alphabet.
+    ``letters``: the one row of `letter_counts`.
     """
     moments = []
     for _, _, alphabet in ENCODINGS:
@@ -134,6 +140,29 @@ def text_p(tokens: DataFrame, letters) -> DataFrame:
         total = sum(counts)
         share = [c / total for c in counts] if total else [1 / len(alphabet)] * len(alphabet)
         moments.append((sum(p ** 2 for p in share), sum(p ** 3 for p in share)))
+    return moments
+
+
+def shortest(moments: list[tuple[float, float]], alpha: float) -> list[int]:
+    """The least length, for each encoding, at which the most even symbols have a p-value of ``alpha`` or less; at most `LONG`."""
+    out = []
+    for (q2, q3), (_, _, alphabet) in zip(moments, ENCODINGS):
+        for n in range(2, LONG + 1):
+            each, more = divmod(n, len(alphabet))
+            least = (len(alphabet) - more) * each ** 2 + more * (each + 1) ** 2
+            spread = 2 * n * (n - 1) * (q2 - q2 * q2) + 4 * n * (n - 1) * (n - 2) * (q3 - q2 * q2)
+            if n == LONG or NormalDist().cdf((least - n - n * (n - 1) * q2) / max(spread, 1e-9) ** 0.5) <= alpha:
+                break
+        out.append(n)
+    return out
+
+
+def text_p(tokens: DataFrame, moments: list[tuple[float, float]]) -> DataFrame:
+    """Adds ``p``: how likely ordinary text has symbols spread as evenly as the token's, or more.
+
+    ``moments``: of `letter_moments`. Exact mean and variance of the sum of squared counts for draws of
+    the corpus's letters, restricted to the token's alphabet.
+    """
     n = F.col("n")
     q2 = _of_encoding(F.col("enc"), [m[0] for m in moments])
     q3 = _of_encoding(F.col("enc"), [m[1] for m in moments])
@@ -172,12 +201,17 @@ def find_secrets(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.drop("base", "spans", "_found", "_key").withColumn("_found", base_spans(text))
-    near = found_where(F.length(text) >= 20, text, CANDIDATE)
+    words = rows.select(F.explode(found_where(F.length(text) >= LONG, text, CANDIDATE % LONG)["m"]).alias("m"))
+    moments = letter_moments(letter_counts(words.filter(F.col("m").rlike(ORDINARY))).first())
+    lengths = shortest(moments, alpha)
+    least = min(lengths)
+    near = F.filter(found_where(F.length(text) >= least, text, CANDIDATE % least),
+                    lambda x: ~x["m"].rlike(ORDINARY) & ~x["m"].rlike(SHORT_NUMBER))
     strict = all_marked(F.col("_found"))
     free = F.filter(near, lambda x: ~F.exists(strict, lambda k: (k["s"] < x["e"]) & (k["e"] > x["s"])))
-    tokens = saved(rows.select(key.alias("key"), F.explode(free).alias("x")).select("key", "x.*"), "secret-tokens")
-    letters = letter_counts(tokens.filter(F.col("m").rlike(ORDINARY))).first()
-    tested = saved(text_p(statistics(tokens.filter(~F.col("m").rlike(ORDINARY))), letters)
+    tokens = rows.select(key.alias("key"), F.explode(free).alias("x")).select("key", "x.*")
+    enough = F.col("n") >= _of_encoding(F.col("enc"), lengths)
+    tested = saved(text_p(statistics(tokens).filter(enough), moments)
                    .select("key", "s", "e", "p", "z_chi", "z_runs", "z_serial"), "secret-tests")
     added = (discoveries(tested, alpha).groupBy("key").agg(F.collect_set(F.struct(
         "s", F.lit(3).alias("r"), "e", F.lit(KINDS[3]).alias("kind"))).alias("_added")))
