@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from functools import cache
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.base import held_out
 from tradeloom.llm.lm_scoring import fit, count_words, lm_scores
-from tradeloom.llm.pieces import MARK, Lattice, load_vocabulary
+from tradeloom.llm.pieces import MARK, Lattice, built, load_vocabulary, share
 from tradeloom.llm.sentencepiece_codec import Codec, decode, encode
 
 
@@ -140,3 +141,17 @@ def test_learning_raises_held_out_scores(spark, vocabulary):
     docs = docs_frame(spark, rows).withColumn("train", F.col("doc_id") % 2 == 0)
     scores = [lm_scores(docs, rounds=n).filter("held_out").agg(F.sum("score")).first()[0] for n in (0, 1, 3)]
     assert scores[0] < scores[1] < scores[2]
+
+
+def test_workers_follow_the_broadcast(spark):
+    """A worker must not answer from an object it built of an earlier broadcast."""
+    for i in range(30):
+        shared = share(spark, i)
+
+        def work(batches, shared=shared):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([built(shared, str)] * batch.num_rows)], names=["made"])
+
+        made = spark.range(8, numPartitions=2).mapInArrow(work, "made string").collect()
+        assert {r.made for r in made} == {str(i)}
+        shared.destroy()

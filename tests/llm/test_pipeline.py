@@ -68,6 +68,32 @@ def test_whole_pipeline(spark, tmp_path):
     assert len(pipeline.STAGES) == 5
 
 
+def test_one_document_of_each_group_stays(spark):
+    """A doc_id may stand for texts of several groups; the smallest of a group stays, whatever its other texts do."""
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(7, a, "en", "x"), (3, a, "en", "x"), (7, b, "en", "x"), (9, b, "en", "x"), (9, c, "en", "x"), (9, c, "en", "x"),
+            (None, a, "en", "x"), (None, None, None, None), (4, "", None, None)]
+    for _ in range(2):
+        got = pipeline.near_duplicates(spark, docs_frame(spark, rows), "").collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted([(3, a), (7, b), (9, c), (4, "")])
+
+
+def test_own_columns_stay(spark):
+    docs = docs_frame(spark, rows())
+    own = ["score", "spans", "size", "_nats", "_text", "_key", "fp", "a.b", "epochs", "rejected", "seed"]
+    extra = docs
+    for name in own:
+        extra = extra.withColumn(name, F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, extra, "")
+        assert out.columns == extra.columns
+        got = out.collect()
+        assert all(r[name] == f"{name} {'none' if r.doc_id is None else r.doc_id}" for r in got for name in own)
+        assert sorted(map(repr, (tuple(r)[:5] for r in got))) == sorted(map(repr, (tuple(r) for r in stage(spark, docs, "").collect())))
+    few = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
+    assert pipeline.near_duplicates(spark, few, "").columns == ["doc_id", "text"]
+
+
 def test_empty_table(spark):
     docs = docs_frame(spark, rows()).limit(0)
     for _, stage in pipeline.STAGES:

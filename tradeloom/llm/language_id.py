@@ -6,7 +6,7 @@ languages of a model share one sorted array of n-gram hashes per order with one
 probabilities per language; a lookup is a binary search, and n-grams that are not there back off by
 the weight of their context. The language with the lowest cross-entropy per character is chosen.
 
-Counting runs over all training texts in Spark, and all n-grams of all languages are kept, singletons too.
+Each text is scored once: calibration and decisions read the stored cross-entropies. Counting runs over all training texts in Spark, and all n-grams of all languages are kept, singletons too.
 Languages are independent but for the number of letters, so they are divided into models of at most
 `CELLS` (n-gram, language) cells, or of one language, and texts are scored by one model after the other:
 a broadcast grows with the n-grams of one language at most, not with the languages. Calibration reads the
@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.llm.base import held_out, remove, saved, saved_at
-from tradeloom.llm.pieces import built
 
 ORDER = 4
 CELLS = 1 << 21
@@ -263,8 +263,8 @@ def _with_entropies(docs: DataFrame, model: CharModel, keep_text: bool) -> DataF
                 [*(batch.column(i) for i in kept), pa.array(nats, pa.list_(pa.float64())), pa.array(chars, pa.int64())],
                 names=[*(batch.schema.names[i] for i in kept), "_nats", "_chars"])
 
-    fields = ", ".join(f"`{docs.schema[i].name}` {docs.schema[i].dataType.simpleString()}" for i in kept)
-    return docs.mapInArrow(work, f"{fields}, _nats array<double>, _chars bigint")
+    return docs.mapInArrow(work, T.StructType([
+        *(docs.schema[i] for i in kept), T.StructField("_nats", T.ArrayType(T.DoubleType())), T.StructField("_chars", T.LongType())]))
 
 
 def grouped(sizes: list[tuple[str, int]], cells: int) -> list[list[str]]:
@@ -280,8 +280,8 @@ def grouped(sizes: list[tuple[str, int]], cells: int) -> list[list[str]]:
     return groups
 
 
-def fit_languages(docs: DataFrame) -> Languages | None:
-    """The calibrated models learned from all rows of ``docs`` with text and lang; None without any letters."""
+def learn_languages(docs: DataFrame) -> Languages | None:
+    """The models learned from all rows of ``docs`` with text and lang, not calibrated; None without any letters."""
     counted = saved(count_grams(docs), "language-grams")
     sizes = [(r.lang, r.n) for r in counted.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
     if not sizes:
@@ -291,13 +291,42 @@ def fit_languages(docs: DataFrame) -> Languages | None:
     for langs in grouped(sizes, CELLS):
         table = counted.filter(F.col("lang").isin(langs)).toArrow()
         model.models.append(train_model(list(zip(*(c.to_pylist() for c in table.columns))), letters))
-    usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("_text"), "text")
-    scored = (with_entropies(usable, model, keep_text=False).filter("_nats IS NOT NULL")
-              .dropDuplicates(["lang", "_text"]).drop("_text"))
-    calibrate(model, saved(scored, "language-entropies"))
     return model
 
 
+def fit_languages(docs: DataFrame) -> Languages | None:
+    """The calibrated models learned from all rows of ``docs`` with text and lang; None without any letters."""
+    model = learn_languages(docs)
+    if model is not None:
+        usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("_text"), "text")
+        scored = saved(with_entropies(usable, model, keep_text=False), "language-entropies")
+        calibrate(model, different(scored))
+    return model
+
+
+def different(scored: DataFrame) -> DataFrame:
+    """The scored texts (lang, ``_text``, ``_nats``, ``_chars``) that have letters, once per language."""
+    return scored.filter("_nats IS NOT NULL").select("lang", "_text", "_nats", "_chars").dropDuplicates(["lang", "_text"])
+
+
+def learn_and_identify(docs: DataFrame, learns: Column, keep_text: bool = True) -> DataFrame:
+    """The rows with ``_language`` (lang_pred, score, rejected), learned from those rows where ``learns`` holds.
+
+    Equal to `identify` with the model of `fit_languages`, but each text is scored once: the cross-entropies
+    are stored, calibration reads those of the training texts, and the decisions all of them. Without
+    ``keep_text`` the result has no text.
+    """
+    usable = learns & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    model = learn_languages(docs.filter(usable))
+    names = [c for c in docs.columns if keep_text or c != "text"]
+    if model is None:
+        return docs.select(*names).withColumn("_language", undetermined())
+    rows = docs.withColumns({"_learns": F.coalesce(usable, F.lit(False)), "_text": F.xxhash64("text")})
+    scored = saved(with_entropies(rows, model, keep_text), "language-entropies")
+    calibrate(model, different(scored.filter("_learns")))
+    return scored.withColumn("_language", decision(model)).select(*names, "_language")
+
+
 def calibrate(model: Languages, scored: DataFrame) -> None:
     """Set how sharply scores fall with cross-entropy, and the limit beyond which a language is rejected.
 
@@ -334,17 +363,13 @@ def calibrate(model: Languages, scored: DataFrame) -> None:
         model.limits[r.lang] = (middles[r.lang], MARGIN * r.reach + 0.05)
 
 
-def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
-    """The rows with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; columns with these names are replaced.
+def undetermined() -> Column:
+    """What is decided without letters or without a model."""
+    return F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
 
-    ``lang_pred`` is ``und`` with score 0 if the text is NULL or has no letter, or nothing was learned; such rows
-    are rejected. A language without a limit of its own rejects only what it explains worse than equally likely
-    characters do. Of equal cross-entropies the first language by name is taken. Very long texts are read whole.
-    """
-    docs = docs.drop("lang_pred", "score", "rejected")
-    if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0), "rejected": F.lit(True)})
-    out = with_entropies(docs, model)
+
+def decision(model: Languages) -> Column:
+    """(lang_pred, score, rejected) from ``_nats`` and ``_chars``; see `identify`."""
     low = F.array_min("_nats")
     middle, reach = (F.array(*[F.lit(model.limits.get(lang, (None, None))[i]).cast("double") for lang in model.languages])
                      for i in (0, 1))
@@ -353,16 +378,24 @@ def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
     weigh = F.aggregate("_nats", F.lit(0.0), lambda acc, x: acc + F.exp(-F.lit(model.sharpness) * (x - low)))
     far = (low - F.element_at(middle, best)) / (1 + 10 / F.sqrt(F.col("_chars").cast("double"))) > F.element_at(reach, best)
     far = F.coalesce(far, low > -model.floor)
-    known = F.col("_nats").isNotNull()
-    return out.withColumns({
-        "lang_pred": F.when(known, F.element_at(names, best)).otherwise(UNDETERMINED),
-        "score": F.when(known, 1 / weigh).otherwise(0.0),
-        "rejected": F.when(known, far).otherwise(True)}).drop("_nats", "_chars")
+    return F.when(F.col("_nats").isNotNull(), F.struct(
+        F.element_at(names, best).alias("lang_pred"), (1 / weigh).alias("score"), far.alias("rejected"))).otherwise(undetermined())
+
+
+def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
+    """The rows with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; columns with these names are replaced.
+
+    ``lang_pred`` is ``und`` with score 0 if the text is NULL or has no letter, or nothing was learned; such rows
+    are rejected. A language without a limit of its own rejects only what it explains worse than equally likely
+    characters do. Of equal cross-entropies the first language by name is taken. Very long texts are read whole.
+    """
+    docs = docs.drop("lang_pred", "score", "rejected")
+    out = docs.withColumn("_language", undetermined()) if model is None else (
+        with_entropies(docs, model).withColumn("_language", decision(model)))
+    return out.select(*docs.columns, "_language.*")
 
 
 def language_query(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
-    out = held_out(F.col("doc_id"), 5, 0)
-    model = fit_languages(docs.filter(~out))
-    return identify(docs.select("doc_id", "text", out.alias("held_out")), model).select(
-        "doc_id", "held_out", "lang_pred", "score", "rejected")
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id"), 5, 0))
+    return learn_and_identify(docs, ~F.col("held_out"), keep_text=False).select("doc_id", "held_out", "_language.*")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import held_out, saved
-from tradeloom.llm.pieces import MARK, MODEL, Lattice, Vocabulary, built, load_vocabulary
+from tradeloom.llm.pieces import MARK, MODEL, Lattice, Vocabulary, built, load_vocabulary, share
 
 HEAVY = 1 << 16
 ROUNDS, SMOOTHING = 2, 0.1
@@ -91,7 +91,7 @@ def fit(words: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, smoothin
     weights = first_weights(vocabulary, 0.01)
     log_end = math.log(0.01)
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((vocabulary, weights))
+        shared = share(spark, (vocabulary, weights))
 
         def expect(batches, shared=shared):
             lattice = built(shared, Lattice)
@@ -116,7 +116,7 @@ def fit(words: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, smoothin
 
 def with_log_probability(words: DataFrame, vocabulary: Vocabulary, weights, log_end: float) -> DataFrame:
     """The words with ``lattice``, the log probability over all segmentations."""
-    shared = words.sparkSession.sparkContext.broadcast((vocabulary, weights))
+    shared = share(words.sparkSession, (vocabulary, weights))
 
     def work(batches):
         lattice = built(shared, Lattice)

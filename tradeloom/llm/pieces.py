@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from dataclasses import dataclass
 
 import ahocorasick
@@ -58,12 +59,21 @@ def automaton(values: dict[str, tuple]) -> ahocorasick.Automaton:
 _BUILT: dict = {}
 
 
-def built(broadcast, build):
-    """``build(broadcast.value)``, made once in a worker process and kept for its next tasks."""
-    key = (build.__qualname__, broadcast.id if hasattr(broadcast, "id") else id(broadcast))
+def share(spark, value):
+    """Broadcast a value for `built`, under a token of its own."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, value))
+
+
+def built(shared, build):
+    """``build`` of a value broadcast by `share`, made once in a worker process and kept for its next tasks.
+
+    It is known by the token sent along: a broadcast's address in the worker is used again by later ones.
+    """
+    token, value = shared.value
+    key = (build.__qualname__, token)
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = build(broadcast.value)
+        _BUILT[key] = build(value)
     return _BUILT[key]
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.pieces import MARK, MODEL, UNKNOWN_PENALTY, Vocabulary, automaton, built, load_vocabulary
+from tradeloom.llm.pieces import MARK, MODEL, UNKNOWN_PENALTY, Vocabulary, automaton, built, load_vocabulary, share
 
 REMEMBERED, SHORT = 1 << 19, 64
 LITERAL = "￾"  # in place of a literal mark character while matching: no piece has it
@@ -113,7 +113,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     ids. Every other text is restored by `decode` exactly, whatever characters it has.
     """
     docs = docs.drop("ids", "n_pieces", "piece_score")
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = share(docs.sparkSession, load_vocabulary(path))
     place = docs.columns.index("text")
 
     def work(batches):
