@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import prepare_llm, saved
-from tradeloom.llm.language_id import fit_languages, identify
+from tradeloom.llm.language_id import learn_and_identify
 from tradeloom.llm.mixing import mixture
 from tradeloom.llm.pii import redact
 from tradeloom.llm.sentencepiece_codec import encode
@@ -19,48 +19,52 @@ from tradeloom.llm.simhash import simhash_groups
 from tradeloom.session import prepare
 
 
+def carried(docs: DataFrame, *read: str) -> DataFrame:
+    """The columns an operator reads, and all others in ``_row``: names of one's own never meet the operator's."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in read]
+    return docs.select(*[c for c in read if c in docs.columns], F.struct(F.lit(0).alias("_"), *others).alias("_row"))
+
+
+def restored(rows: DataFrame, names: list[str], *read: str) -> DataFrame:
+    """The columns of a table that `carried` took apart."""
+    return rows.select(*[F.col(c) if c in read else F.col(f"_row.`{c}`") for c in names])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the model learns from the languages the documents claim."""
     prepare_llm(prepare(spark))
-    return identify(docs, fit_languages(docs)).filter("NOT rejected").select(*docs.columns)
+    found = learn_and_identify(carried(docs, "text", "lang"), F.lit(True))
+    return restored(found.filter("NOT _language.rejected"), docs.columns, "text", "lang")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one with the smallest doc_id.
 
-    A group without any doc_id keeps one of its rows; of repeated rows of the kept doc_id one stays, the
-    first by text.
+    Of several texts of that doc_id in the group the one with the smallest hash stays, of repeated rows the
+    first by their other columns. A NULL doc_id comes after all others. Groups are told apart by their
+    fingerprints, so a doc_id that stands for texts of several groups is kept in each of them.
     """
     prepare_llm(prepare(spark))
-    groups = simhash_groups(docs)
-    first = groups.filter("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi")
-    kept = kept.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(
-        *[F.col(c) for c in ("text", "lang", "source", "n_chars")]))).filter("_n = 1").select(*docs.columns)
-    nameless = docs.filter("doc_id IS NULL")
-    return kept.unionByName(nameless_representatives(nameless, groups).select(*docs.columns))
-
-
-def nameless_representatives(nameless: DataFrame, groups: DataFrame) -> DataFrame:
-    """A row for each group whose documents have no doc_id at all; groups with one have their row already."""
-    lone = groups.filter("component_id IS NULL").select("fp").distinct()
-    from tradeloom.llm.simhash import with_fingerprints
-    marked = with_fingerprints(nameless.withColumn("doc_id", F.xxhash64("text", "lang", "source", "n_chars"))).distinct()
-    own = marked.join(lone, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("_row"))
-    rows = nameless.withColumn("_row", F.xxhash64("text", "lang", "source", "n_chars")).dropDuplicates(["_row"])
-    return rows.join(own, "_row", "left_semi")
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    groups = simhash_groups(docs.select(key.alias("doc_id"), "text"))
+    first = groups.select(F.col("component_id").alias("_key")).distinct()
+    rows = carried(docs, "doc_id", "text").withColumn("_key", key).join(first, "_key", "left_semi")
+    others = F.to_json("_row")
+    kept = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_key").orderBy(others))).filter("_n = 1")
+    return restored(kept, docs.columns, "doc_id", "text")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
     prepare_llm(prepare(spark))
-    return redact(docs)
+    return restored(redact(carried(docs, "text", "n_chars")), docs.columns, "text", "n_chars")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: a row for each epoch of a document."""
     prepare_llm(prepare(spark))
-    return mixture(docs)
+    read = ("doc_id", "text", "source", "n_chars")
+    return restored(mixture(carried(docs, *read)), docs.columns, *read)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
