@@ -1,0 +1,112 @@
+"""Weak supervision: measures against plain Python, estimation against a plain version, the effect on junk."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from llm_helpers import docs_frame, odd_rows, prose
+from pyspark.sql import functions as F
+
+from tradeloom.llm import weak_rules as wr
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def plain_measures(text):
+    text = text or ""
+    words = re.findall(WORD, text)
+    places = defaultdict(list)
+    for i in range(len(words) - 4):
+        places[tuple(words[i:i + 5])].append(i)
+    covered = {j for at in places.values() if len(at) > 1 for i in at for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if re.search(WORD, x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def more_rows():
+    pick = random.Random(4)
+    loops = [" ".join(pick.choice("ab") for _ in range(pick.randrange(40))) for _ in range(60)]
+    lines = ["\n".join(pick.choice(["x y", "", " ", "z #", "x y\r"]) for _ in range(12)) for _ in range(20)]
+    texts = loops + lines + ["a b c d e " * 3000, "a b c d e", "a b c d e f a b c d e", "\x0b\x0c", "é😀 " * 20, "a" * 100_000]
+    return odd_rows() + [(100 + i, t, "en", "a") for i, t in enumerate(texts)]
+
+
+def test_base_measures(spark):
+    rows = more_rows()
+    docs = docs_frame(spark, rows).withColumn("n_words", F.lit("x")).withColumn("kept", F.lit(1)).withColumn("size", F.lit(1))
+    out = wr.weak_quality(docs)
+    got = [(r.doc_id, (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words), r.base_failed) for r in out.collect()]
+
+    def failed(m):
+        return m[0] < 10 or 100 * m[4] > 20 * m[0]
+
+    assert sorted(map(repr, got)) == sorted(repr((r[0], plain_measures(r[1]), failed(plain_measures(r[1])))) for r in rows)
+    assert {"doc_id", "text", "lang", "source", "size"} <= set(out.columns) and out.columns.count("n_words") == 1
+    assert not out.filter("base_failed AND kept").count()
+    assert "text" not in wr.weak_quality(docs, keep_text=False).columns
+    assert wr.weak_quality(docs.limit(0)).count() == 0
+
+
+def plain_em(counts, rules, rounds):
+    pi, good, bad = wr.COMMON, [wr.RIGHT_ON_GOOD] * rules, [wr.RIGHT_ON_BAD] * rules
+
+    def posterior(votes):
+        odds = pi / (1 - pi)
+        for v, g, b in zip(votes, good, bad):
+            odds *= {1: g / (1 - b), -1: (1 - g) / b, 0: 1}[v]
+        return odds / (1 + odds)
+
+    for _ in range(rounds):
+        p = {v: posterior(v) for v in counts}
+
+        def share(weight, right):
+            return [(sum(n * weight(p[v]) for v, n in counts.items() if v[i] == right[0]) + wr.PRIOR * right[1])
+                    / (sum(n * weight(p[v]) for v, n in counts.items() if v[i]) + wr.PRIOR) for i in range(rules)]
+
+        total = sum(counts.values())
+        new = (sum(n * p[v] for v, n in counts.items()) + wr.PRIOR * wr.COMMON) / (total + wr.PRIOR)
+        good, bad = share(lambda q: q, (1, wr.RIGHT_ON_GOOD)), share(lambda q: 1 - q, (-1, wr.RIGHT_ON_BAD))
+        pi = new
+    return pi, good, bad, posterior
+
+
+def test_estimation_against_a_plain_version(spark):
+    """Votes drawn from known accuracies: they are found again, and a rule that guesses is outvoted."""
+    pick = random.Random(5)
+    right = [(0.99, 0.6), (0.98, 0.5), (0.97, 0.7), (0.99, 0.4), (0.7, 0.35)]
+    counts, hidden = Counter(), defaultdict(Counter)
+    for _ in range(20_000):
+        good = pick.random() < 0.85
+        votes = tuple(0 if pick.random() < 0.1 else (1 if good else -1) * (1 if pick.random() < r[not good] else -1) for r in right)
+        counts[votes] += 1
+        hidden[votes][good] += 1
+    code = {v: sum((x + 1) * 3 ** i for i, x in enumerate(v)) for v in counts}
+    table = spark.createDataFrame([(code[v], n) for v, n in counts.items()], "votes long, n long")
+    model = wr.learn_accuracies(table, rules=5, rounds=40)
+    pi, good, bad, posterior = plain_em(counts, 5, 40)
+    assert model.common == pytest.approx(pi) and model.on_good == pytest.approx(good) and model.on_bad == pytest.approx(bad)
+    got = {r.votes: r.p for r in table.select("votes", model.posterior(F.col("votes")).alias("p")).collect()}
+    assert all(got[code[v]] == pytest.approx(posterior(v)) for v in counts)
+    assert model.common == pytest.approx(0.85, abs=0.03)
+    assert all(abs(g - r[0]) < 0.03 and abs(b - r[1]) < 0.08 for g, b, r in zip(model.on_good, model.on_bad, right))
+    assert got[code[(1, 1, 1, 1, -1)]] > 0.9  # the guessing rule alone removes nothing
+
+
+def test_junk_goes_and_prose_stays(spark):
+    prose_rows = [(i, prose(i, 60, "de" if i % 2 else "en"), "en", "a") for i in range(200)]
+    junk = [(1000 + i, t, "en", "a") for i in range(12) for t in (
+        " ".join(w + "***" for w in prose(i, 60).split()), " ".join(w.upper() + "!!" for w in prose(i, 60).split()),
+        " | ".join(prose(i, 60).split()), " ".join(f"{j}{i} #%" for j in range(60)))]
+    got = {r.doc_id: r for r in wr.weak_quality(docs_frame(spark, prose_rows + junk)).collect()}
+    assert all(got[r[0]].kept for r in prose_rows)
+    assert not any(got[r[0]].kept for r in junk)
+    assert all(math.isfinite(r.p_good) and 0 <= r.p_good <= 1 for r in got.values())
+
+
+def test_native(spark):
+    plan = wr.weak_quality(docs_frame(spark, odd_rows()))._jdf.queryExecution().toString()
+    measured = docs_frame(spark, odd_rows()).select(wr.measures(F.col("text")))._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas|RDD|CartesianProduct", plan.replace("ExistingRDD", "")
+                         + measured.replace("ExistingRDD", "").replace("LogicalRDD", ""))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from tradeloom.llm.ann import ann_query
 from tradeloom.llm.base import prepare_llm
 from tradeloom.llm.embedding_dedup import EMBEDDING_SQL, embedding_query
+from tradeloom.llm.fill_in_middle import FIM_SQL, fim_query
+from tradeloom.llm.hard_negatives import NEGATIVES_SQL, negatives_query
 from tradeloom.llm.language_id import language_query
 from tradeloom.llm.lm_scoring import lm_query
 from tradeloom.llm.mixing import MIXING_SQL, mixing_query
@@ -13,6 +15,7 @@ from tradeloom.llm.quality import quality_query
 from tradeloom.llm.secret_scan import secrets_query
 from tradeloom.llm.sentencepiece_codec import codec_query
 from tradeloom.llm.simhash import simhash_query
+from tradeloom.llm.weak_rules import rules_query
 
 QUERIES = {
     "op1_lm_scoring": lm_query,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_nearest_neighbours": ann_query,
     "op9_secrets": secrets_query,
     "op10_mixing": mixing_query,
+    "op11_fill_in_middle": fim_query,
+    "op12_hard_negatives": negatives_query,
+    "op13_quality_rules": rules_query,
 }
 
 
@@ -36,4 +42,5 @@ def llm_queries():
 
 
 def llm_oracles():
-    return {"op7_embedding_dedup": EMBEDDING_SQL, "op10_mixing": MIXING_SQL}
+    return {"op7_embedding_dedup": EMBEDDING_SQL, "op10_mixing": MIXING_SQL,
+            "op11_fill_in_middle": FIM_SQL, "op12_hard_negatives": NEGATIVES_SQL}
