@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from tests_helpers import expected_history
 from tradeloom.operators.quality import dropped_in_stream
 from tradeloom.schemas import BRONZE, FACTS, ORDERS_RAW, Table
-from tradeloom.streaming import pipeline, sinks
+from tradeloom.sources.admission import Admission
+from tradeloom.streaming import counts, pipeline, sinks
 from tradeloom.streaming.dedup import dedup_stream
+from tradeloom.streaming.key_index import KeyIndex, append_unique
 from tradeloom.streaming.pipeline import Store
 from tradeloom.streaming.scd2 import read_current, read_history, scd2_apply
+from tradeloom.streaming.segments import Segments
 
 T0 = dt.datetime(2026, 4, 1)
 
@@ -151,7 +154,7 @@ def test_fan_in_keeps_both_flows_and_silver_keeps_one(spark, folder):
     ingest(spark, landing, store)
     sinks.finish([pipeline.ingest_orders(spark, store),
                   pipeline.ingest_order_backfill(spark, backfill, store)])
-    raw = sinks.read_flows(spark, store.table("sales_orders_raw"), ORDERS_RAW)
+    raw = sinks.read_flows(spark, store.table("sales_orders_raw"), ORDERS_RAW, pipeline.FLOWS)
     assert sorted((r.flow, r.order_id) for r in raw.collect()) == [
         ("historical", "o1"), ("historical", "o9"), ("live", ""), ("live", "o1"), ("live", "o2")]
     queries = [pipeline.load_order_fact(spark, store, t)
@@ -175,7 +178,23 @@ def test_a_repeated_batch_of_a_flow_replaces_itself(spark, folder):
     for attempt in ("first", "again"):  # a lost checkpoint repeats batch 0
         stream = sinks.stream_table(spark, source, table)
         sinks.finish([sinks.append_flow(stream, out, table, "live", f"{folder}/check-{attempt}")])
-    assert sorted(r.k for r in sinks.read_flows(spark, out, table).collect()) == ["a", "b"]
+    assert sorted(r.k for r in sinks.read_flows(spark, out, table, ["live"]).collect()) == ["a", "b"]
+
+
+def test_readers_of_flows_see_committed_batches_once(spark, folder):
+    """Files of an attempt that failed lie in the flow's folder while a downstream stream reads."""
+    table = Table({"k": "STRING"})
+    source, flows, out = f"{folder}/in", f"{folder}/flows", f"{folder}/out"
+    for n, keys in enumerate((["a", "b"], ["c"])):
+        spark.createDataFrame([(k,) for k in keys], table.ddl).coalesce(1).write.mode("append").parquet(source)
+        sinks.finish([sinks.append_flow(sinks.stream_table(spark, source, table), flows, table, "live", f"{folder}/check")])
+        stray = Path(flows, "flow=live", f"part-0000{n}-stray.parquet")
+        stray.write_bytes(next(p for p in Path(source).glob("*.parquet")).read_bytes())
+        for _ in range(2):
+            both = sinks.stream_flows(spark, flows, table, ["live", "old"])
+            sinks.finish([sinks.append_stream(both, out, table, f"{folder}/down")])
+    assert sorted(r.k for r in sinks.read_table(spark, out, table).collect()) == ["a", "b", "c"]
+    assert sorted(r.k for r in sinks.read_flows(spark, flows, table, ["live", "old"]).collect()) == ["a", "b", "c"]
 
 
 def test_history_by_batches_equals_history_at_once(spark, folder):
@@ -215,7 +234,10 @@ def test_pipeline_in_two_runs(spark, folder):
     land(landing, "2", {"key": "2", "value": {
         "customers": [{**customer, "region": "INLAND", "credit_limit": 720.25}],
         "sales_orders": [order("o1", 99.0, 1, "SHIPPED"), order("o2", 5.0)]}})
-    tables = pipeline.run_pipeline(spark, landing, None, store, parts=2, files_per_batch=1)
+    tables = pipeline.run_pipeline(spark, landing, None, store, parts=2, admission=Admission(files=1))
+    counts = {(r.flow, r.rule): r.rows for r in tables.pop("drop_counts").collect()}
+    assert counts["fct_returns", "rows"] == counts["fct_returns", "malformed_return_date"] == 1
+    assert counts["sales_orders_raw_live", "copies"] == 1 and counts["fct_sales_orders", "rows"] == 2
     assert {t: df.count() for t, df in tables.items()} == {
         "fct_sales_orders": 2, "fct_sales_order_lines": 3, "fct_inventory_snapshots": 1,
         "fct_shipments": 1, "fct_returns": 1, "dim_customers_hist": 2, "dim_customers_current": 1,
@@ -268,10 +290,182 @@ def test_the_newest_of_one_arrival_is_current(spark, folder):
         current = read_current(spark, store.table("dim_customers_hist"))
         got = {r.customer_id: r.region for r in current.collect()}
         versions = store.table("dim_customers_hist") + "/versions"  # a batch that is not written to its end
-        spark.read.parquet(f"{versions}/batch_id={_}").withColumn("__END_AT", F.col("__START_AT")).write.parquet(
-            f"{versions}/batch_id={_ + 7}")
+        spark.read.parquet(f"{versions}/{_}-{_}").withColumn("__END_AT", F.col("__START_AT")).write.parquet(
+            f"{versions}/{_ + 7}-{_ + 7}")
         history = read_history(spark, store.table("dim_customers_hist"), ["customer_id"])
         assert history.filter("__END_AT IS NULL").count() == 3 and history.count() == 3 + _
         assert got == ({"a": "EAST", "b": "EAST", "c": "EAST"} if _ == 0 else
                        {"a": "SOUTH", "b": "EAST", "c": "EAST"})
         land(landing, "last", customers(("a", "WEST"), ("a", "SOUTH")))
+
+
+KEYED = Table({"k": "STRING", "v": "STRING", "_ingested_at": "TIMESTAMP"})
+
+
+def run_unique(spark, folder, batches, **options):
+    """As `run_dedup`, into a table with a key index; one stream per batch. Returns rows and the state's sizes."""
+    sinks.create_table(spark, f"{folder}/in", KEYED)
+    sizes = []
+    for rows in batches:
+        spark.createDataFrame(rows, KEYED.ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = dedup_stream(sinks.stream_table(spark, f"{folder}/in", KEYED), ["k"], bounded=True)
+        query = append_unique(stream, f"{folder}/out", KEYED, ["k"], f"{folder}/index", f"{folder}/check", **options)
+        sinks.finish([query])
+        sizes.append(query.lastProgress.stateOperators[0].numRowsTotal)
+    return sorted((r.k, r.v) for r in sinks.read_table(spark, f"{folder}/out", KEYED).collect()), sizes
+
+
+def test_bounded_state_and_a_copy_after_the_watermark(spark, folder):
+    """Twelve batches, ten days apart: the state does not grow, copies of every age are dropped, segments merge."""
+    day = dt.timedelta(days=1)
+    batches, want = [], {}
+    for n in range(12):
+        now = T0 + 10 * n * day
+        rows = [(f"k{n}-{i}", f"v{n}", now) for i in range(20)] + [("always", f"a{n}", now)]
+        rows += [(f"k{n - back}-{i}", "copy", now) for back in (1, 2, 5, 11) if back <= n for i in (3, 7)]
+        batches.append(rows)
+        for k, v, _ in rows:
+            want.setdefault(k, v)
+    got, sizes = run_unique(spark, folder, batches, buckets=16, fan=3)
+    assert got == sorted(want.items())
+    assert max(sizes) <= 2 * max(len(b) for b in batches)  # this batch and the one before it
+    version = Segments(spark, f"{folder}/index").version()
+    assert len(version.segments["keys"]) <= 6 and version.segments["keys"] == version.segments["filter"]
+    assert sum(1 for _ in Path(f"{folder}/index/keys").iterdir()) <= 6 + 3 * 3
+    index = KeyIndex(spark, f"{folder}/index", ["k"], 16, 3)
+    keys = index.store.read("keys", version)
+    assert keys.count() == len(want)
+    from tradeloom.streaming.key_index import _hashed
+    strange = _hashed(spark.range(5000).select(F.concat(F.lit("other"), "id").alias("k")), ["k"], 16)
+    assert index.perhaps_known(keys, version).count() == len(want)  # no key is ruled out
+    assert index.perhaps_known(strange, version).count() < 5000 * 0.05 * len(version.segments["filter"])
+
+
+def test_a_repeated_batch_of_the_key_index(spark, folder):
+    """A batch that failed after its rows were written, or after its keys were committed, writes the same rows again."""
+    index = KeyIndex(spark, f"{folder}/index", ["k"], 8)
+    written = []
+
+    def write(rows):
+        rows.write.mode("overwrite").parquet(f"{folder}/out")
+        written.append(sorted(str(r.k) for r in spark.read.parquet(f"{folder}/out").collect()))
+        return spark.read.parquet(f"{folder}/out")
+
+    def failing(rows):
+        write(rows)
+        raise RuntimeError("lost")
+
+    first, second, none = (spark.createDataFrame([(k,) for k in ks], "k STRING")
+                           for ks in (["a", "b", None], ["b", "c", None], []))
+    KeyIndex(spark, f"{folder}/empty", ["k"], 8).admit(none, 0, write)
+    KeyIndex(spark, f"{folder}/empty", ["k"], 8).admit(none, 1, write)
+    written.clear()
+    index.admit(first, 0, write)
+    with pytest.raises(RuntimeError):
+        index.admit(second, 1, failing)
+    index.admit(second, 1, write)
+    index.admit(second, 1, write)
+    index.admit(second, 2, write)
+    assert written[1:] == [["c"], ["c"], ["c"], []]
+    with pytest.raises(ValueError):
+        index.admit(second, 0, write)  # a lost checkpoint
+    with pytest.raises(ValueError):
+        KeyIndex(spark, f"{folder}/index", ["k"], 9).admit(second, 3, write)
+
+
+def test_counts_of_late_rows_and_copies(spark, folder):
+    day = dt.timedelta(days=1)
+    sinks.create_table(spark, f"{folder}/in", KEYED)
+    store = Store(f"{folder}/store")
+    for rows in ([("a", "1", T0), ("a", "2", T0)], [("b", "1", T0 + 30 * day)], [("late", "1", T0), ("b", "2", T0 + 30 * day)]):
+        spark.createDataFrame(rows, KEYED.ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        with pipeline.counting(spark, store) as run:
+            stream = sinks.stream_table(spark, f"{folder}/in", KEYED).observe("keyed", F.count(F.lit(1)).alias("rows"))
+            run([sinks.append_stream(dedup_stream(stream, ["k"]), f"{folder}/out", KEYED, f"{folder}/check")])
+    path = store.table("drop_counts")
+    got = {r.rule: r.rows for r in counts.drop_counts(spark, path).collect()}
+    assert got == {"rows": 5, "late": 1, "copies": 2}
+    # a report that comes again does not count twice
+    spark.read.parquet(path).write.mode("append").parquet(path)
+    assert {r.rule: r.rows for r in counts.drop_counts(spark, path).collect()} == got
+
+
+def test_a_failed_run_stores_its_counts(spark, folder):
+    store = Store(f"{folder}/store")
+    land(f"{folder}/in", "a", {"key": "k", "value": {"sales_orders": [order("o1"), order(None), order("o2", date="never")]}})
+    land(f"{folder}/in", "b", {"key": "none", "value": {"sales_orders": [], "returns": []}})
+    with pytest.raises(RuntimeError), pipeline.counting(spark, store) as run:
+        run([pipeline.ingest_landing(spark, f"{folder}/in", store)])
+        run([pipeline.ingest_orders(spark, store)])
+        raise RuntimeError("the driver goes on")
+    got = {(r.flow, r.rule): r.rows for r in counts.drop_counts(spark, store.table("drop_counts")).collect()}
+    assert got == {("sales_orders_raw_live", r): n for r, n in {
+        "rows": 3, "order_id_not_null": 1, "malformed_order_date": 1, "late": 0, "copies": 0}.items()}
+
+
+def test_every_hop_admits_by_files(spark, folder):
+    """A backlog of ten files: each hop takes several batches, the result is that of one batch."""
+    for n in range(10):
+        land(f"{folder}/in", f"{n}", {"key": f"{n}", "value": {
+            "sales_orders": [order(f"o{n}"), order(f"o{n // 2}")], "customers": [{"customer_id": f"c{n % 3}", "region": f"r{n}"}],
+            "returns": [{"return_id": f"r{n}"}], "manufacturers": [{"manufacturer_id": "m"}],
+            "products": [{"product_id": f"p{n}", "manufacturer_id": "m"}], "distribution_centers": [{"dc_id": "d"}]}})
+    got = {}
+    for name, options in {"whole": {}, "files": {"admission": Admission(files=2)}, "bytes": {"admission": Admission(size=1)},
+                          "bounded": {"admission": Admission(files=2), "bounded": True}}.items():
+        store = Store(f"{folder}/{name}")
+        tables = pipeline.run_pipeline(spark, f"{folder}/in", None, store, parts=2, **options)
+        got[name] = ({t: sorted(map(repr, (r[0] for r in tables[t].collect()))) for t in FACTS},
+                     sorted(r.customer_id for r in tables["dim_customers_current"].collect()))
+        batches = counts.counts_by_batch(spark, store.table("drop_counts")).filter("rule = 'rows' AND rows > 0")
+        per_flow = {r.flow: r.n for r in batches.groupBy("flow").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert set(per_flow) >= {"sales_orders_raw_live", "fct_sales_orders", "fct_sales_order_lines", "fct_returns"}
+        assert all(n == 1 if name == "whole" else n >= 4 for n in per_flow.values()), (name, per_flow)
+    assert got["whole"] == got["files"] == got["bytes"] == got["bounded"]
+    with pytest.raises(ValueError):
+        Admission(files=1, size=1).on(spark.readStream)
+
+
+def test_history_of_many_batches_has_few_files(spark, folder):
+    """Forty batches with late records, merged four by four: few folders, the same history; other parts are refused."""
+    rng = random.Random(3)
+    table = Table({"k": "STRING", "at": "TIMESTAMP", "a": "STRING", "zones": "ARRAY<STRING>"})
+    done = []
+    for n in range(40):
+        part = [(f"k{rng.randrange(6)}", T0 + dt.timedelta(hours=n + rng.choice([0, 0, -5])), rng.choice("xyz"), None)
+                for _ in range(3)]
+        done += part
+        spark.createDataFrame(part, table.ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def apply(**options):
+        changes = sinks.stream_table(spark, f"{folder}/in", table, Admission(files=1))
+        sinks.finish([scd2_apply(changes, ["k"], "at", ["a", "zones"], f"{folder}/out", f"{folder}/check", **options)])
+
+    apply(parts=2, fan=4)
+    got = sorted((tuple(r) for r in read_history(spark, f"{folder}/out", ["k"]).collect()), key=repr)
+    assert got == expected_history(done)
+    version = Segments(spark, f"{folder}/out").version()
+    assert version.number == 39 and all(len(s) <= 9 for s in version.segments.values())
+    for name in ("log", "versions", "late"):
+        assert sum(1 for _ in Path(f"{folder}/out/{name}").iterdir()) <= 9 + 4 * 4
+    assert sum(1 for _ in Path(f"{folder}/out/manifest").glob("version=*")) <= 6
+    spark.createDataFrame(done[:1], table.ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    with pytest.raises(Exception, match="parts=2"):
+        apply(parts=3)
+    apply(parts=2, fan=4)  # the batch that was refused is taken
+    assert sorted((tuple(r) for r in read_history(spark, f"{folder}/out", ["k"]).collect()), key=repr) == expected_history(done)
+
+
+def test_backfill_takes_every_shape(spark, folder):
+    documents = [{"key": str(n), "value": {"sales_orders": [order(f"o{n}")], "customers": [{"customer_id": "known"}]}} for n in range(4)]
+    land(f"{folder}/in", "array", documents[:2])
+    land(f"{folder}/in", "lines", "\n".join(json.dumps({**d, "new": 1}) for d in documents[2:]))
+    land(f"{folder}/in", "broken", '{"key": "b", "value": ')
+    store = Store(f"{folder}/store")
+    sinks.finish([pipeline.ingest_order_backfill(spark, f"{folder}/in", store),
+                  pipeline.ingest_backfill_rejects(spark, f"{folder}/in", store)])
+    raw = sinks.read_flows(spark, store.table("sales_orders_raw"), ORDERS_RAW, pipeline.FLOWS)
+    assert sorted((r.flow, r.order_id) for r in raw.collect()) == [("historical", f"o{n}") for n in range(4)]
+    rejects = sinks.read_table(spark, store.table("backfill_rejects"), pipeline.BACKFILL_REJECTS).collect()
+    assert sorted((r.key or "", r._rescued_data) for r in rejects) == [
+        ("", '{"_corrupt_record":"{\\"key\\": \\"b\\", \\"value\\": "}'), ("2", '{"new":"1"}'), ("3", '{"new":"1"}')]

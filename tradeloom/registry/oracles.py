@@ -522,7 +522,28 @@ _STREAMS = {
         SELECT * EXCLUDE (cents), confirmed_qty_packs < ordered_qty_packs AS backorder_flag,
           {_key("sales_orders", "order_id")} AS bronze_record_key FROM fol"""),
     "dedup_stream": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedup_bounded": """
+        SELECT DISTINCT l_orderkey, l_linenumber, CAST(CASE WHEN l_orderkey % 2 = 0 THEN 0 ELSE 30 END AS INTEGER) AS day
+        FROM lineitem""",
+    "drop_counts": sql("fso", """,
+        s AS (SELECT CAST(order_id AS BIGINT) % 5 = 0 AS missing, CAST(order_id AS BIGINT) % 7 = 0 AS blank,
+                CAST(order_id AS BIGINT) % 3 = 0 AS undated FROM fso),
+        n AS (SELECT count(*) AS orders, count_if(missing) AS missing, count_if(blank AND NOT missing) AS blank,
+                count_if(undated) AS undated FROM s)
+        SELECT flow, rule, CAST(rows AS BIGINT) AS rows FROM n, LATERAL (VALUES
+          ('sales_orders_raw_live', 'rows', orders), ('sales_orders_raw_live', 'order_id_not_null', missing),
+          ('sales_orders_raw_live', 'malformed_order_date', undated), ('sales_orders_raw_live', 'late', 0),
+          ('sales_orders_raw_live', 'copies', greatest(blank - 1, 0)),
+          ('fct_sales_orders', 'rows', orders - missing - greatest(blank - 1, 0)),
+          ('fct_sales_orders', 'valid_order_id_not_null', 0), ('fct_sales_orders', 'valid_order_id_not_empty', least(blank, 1)),
+          ('fct_sales_orders', 'late', 0), ('fct_sales_orders', 'copies', 0)) v(flow, rule, rows)""".lstrip()),
+    "ingest_backfill_shapes": sql("fso", f""",
+        k AS (SELECT DISTINCT {_key("sales_orders", "order_id")} AS key, CAST(order_id AS BIGINT) // 500 AS chunk FROM fso)
+        SELECT 'order' AS kind, order_id AS name FROM fso
+        UNION ALL SELECT '{{"sent":"by hand"}}', key || '-other' FROM k
+        UNION ALL SELECT 'broken', key FROM k WHERE chunk % 3 = 2""".lstrip()),
     "scd2_apply": sql("his", "SELECT * FROM his"),
+    "scd2_merged": sql("his", "SELECT * FROM his"),
     "run_pipeline": sql("fso fol inv fsh frt", " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, {total} AS total FROM {source}"
         for name, total, source in [
@@ -538,6 +559,9 @@ _STREAMS = {
 }
 
 
+_STREAMS["run_pipeline_bounded"] = _STREAMS["run_pipeline"]
+
+
 def oracles() -> dict[str, str]:
     """Query name to SQL."""
     return {**_KEYS, **_GOLD, **_DASHBOARD, **_QUALITY, **_HISTORY, **_METRICS, **_STREAMS}

@@ -15,10 +15,13 @@ from tradeloom.operators.flatten import flatten_dimension
 from tradeloom.schemas import (ARRIVAL, BRONZE, DIMENSIONS, FACTS, LANDING_ENTITIES, LINEAGE, ORDERS_RAW,
                                Table)
 from tradeloom.session import state_partitions, work_dir
-from tradeloom.sources.documents import write_backfill, write_landing
+from tradeloom.sources.admission import Admission
+from tradeloom.sources.documents import write_backfill, write_backfill_shapes, write_landing, write_spoiled_orders
 from tradeloom.sources.star import RAW, Star
 from tradeloom.streaming import pipeline, sinks
+from tradeloom.streaming.counts import drop_counts
 from tradeloom.streaming.dedup import dedup_stream
+from tradeloom.streaming.key_index import append_unique
 from tradeloom.streaming.pipeline import Store
 from tradeloom.streaming.scd2 import read_history, scd2_apply
 
@@ -118,7 +121,7 @@ def _rescued(spark: SparkSession, folder: str) -> DataFrame:
 def _raw_orders(flows: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         path = _orders_raw(spark, folder).table("sales_orders_raw")
-        return sinks.read_flows(spark, path, ORDERS_RAW).filter(flows).select(
+        return sinks.read_flows(spark, path, ORDERS_RAW, pipeline.FLOWS).filter(flows).select(
             "flow", "order_id", "order_date", "dc_id", "customer_id", "order_status",
             "order_total_amount", F.coalesce(F.size("lines"), F.lit(0)).alias("line_count"))
     return run
@@ -140,7 +143,7 @@ def _scd2_apply(spark: SparkSession, folder: str) -> DataFrame:
     log = _once(spark, folder, "change-log", lambda p: Star(spark, folder).change_log
                 .repartition(2).write.parquet(p))
     changes = sinks.stream_table(spark, log, Table({
-        "user_id": "BIGINT", "_ingested_at": "TIMESTAMP", "event_type": "STRING"}), 1)
+        "user_id": "BIGINT", "_ingested_at": "TIMESTAMP", "event_type": "STRING"}), Admission(files=1))
     out = Store(work_dir(spark, "scd2"))
     sinks.finish([scd2_apply(changes, ["user_id"], "_ingested_at", ["event_type"],
                              out.table("users"), out.checkpoint("users"), parts=4)])
@@ -148,10 +151,71 @@ def _scd2_apply(spark: SparkSession, folder: str) -> DataFrame:
         {"__START_AT": "start_at", "__END_AT": "end_at"})
 
 
+def _scd2_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The event log in nine batches, whose segments are merged three by three."""
+    log = _once(spark, folder, "change-log-9", lambda p: Star(spark, folder).change_log
+                .repartition(9).write.parquet(p))
+    changes = sinks.stream_table(spark, log, Table({
+        "user_id": "BIGINT", "_ingested_at": "TIMESTAMP", "event_type": "STRING"}), Admission(files=1))
+    out = Store(work_dir(spark, "scd2-merged"))
+    sinks.finish([scd2_apply(changes, ["user_id"], "_ingested_at", ["event_type"],
+                             out.table("users"), out.checkpoint("users"), parts=4, fan=3)])
+    return read_history(spark, out.table("users"), ["user_id"]).withColumnsRenamed(
+        {"__START_AT": "start_at", "__END_AT": "end_at"})
+
+
+def _dedup_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Even orders' lines on day 0, odd ones on day 30, all of them again on day 60: the day each key came first."""
+    keys = Table({"l_orderkey": "BIGINT", "l_linenumber": "INT", "day": "INT", "_ingested_at": "TIMESTAMP"})
+    lines = spark.read.schema(RAW["lineitem"]).parquet(f"{folder}/lineitem.parquet")
+    out = Store(work_dir(spark, "dedup-bounded"))
+    for day, some in ((0, "l_orderkey % 2 = 0"), (30, "l_orderkey % 2 = 1"), (60, "true")):
+        arrived = F.timestamp_add("DAY", F.lit(day), F.lit("2026-01-01").cast("timestamp"))
+        rows = lines.filter(some).select("l_orderkey", "l_linenumber", F.lit(day).alias("day"), arrived.alias("_ingested_at"))
+        rows.write.mode("append").parquet(out.table("lines"))
+        once = dedup_stream(sinks.stream_table(spark, out.table("lines"), keys), keys.names[:2], bounded=True)
+        sinks.finish([append_unique(once, out.table("keys"), keys, keys.names[:2], out.table("index"), out.checkpoint("keys"))])
+    return sinks.read_table(spark, out.table("keys"), keys).select("l_orderkey", "l_linenumber", "day")
+
+
+def _drop_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What is counted on the way of spoiled orders to their fact."""
+    landing = _once(spark, folder, "spoiled", lambda p: write_spoiled_orders(Star(spark, folder), p))
+    store = Store(work_dir(spark, "drop-counts"))
+    with pipeline.counting(spark, store) as run:
+        run([pipeline.ingest_landing(spark, landing, store)])
+        run([pipeline.ingest_orders(spark, store)])
+        run([pipeline.load_order_fact(spark, store, "fct_sales_orders")])
+    return drop_counts(spark, store.table("drop_counts"))
+
+
+def _backfill_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders read from backfill files of every shape, and what was set aside of them."""
+    backfill = _once(spark, folder, "shapes", lambda p: write_backfill_shapes(Star(spark, folder), p))
+    store = Store(work_dir(spark, "backfill-shapes"))
+    sinks.finish([pipeline.ingest_order_backfill(spark, backfill, store),
+                  pipeline.ingest_backfill_rejects(spark, backfill, store)])
+    orders = sinks.read_flows(spark, store.table("sales_orders_raw"), ORDERS_RAW, pipeline.FLOWS)
+    rejects = sinks.read_table(spark, store.table("backfill_rejects"), pipeline.BACKFILL_REJECTS)
+    broken = F.get_json_object("_rescued_data", "$._corrupt_record")
+    aside = rejects.select(F.when(broken.isNull(), F.col("_rescued_data")).otherwise("broken").alias("kind"),
+                           F.coalesce("key", F.substring_index(F.substring_index(broken, '"', 4), '"', -1)).alias("name"))
+    return orders.select(F.lit("order").alias("kind"), F.col("order_id").alias("name")).unionAll(aside)
+
+
 def _run_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and a money total of every silver table after a full run."""
-    tables = pipeline.run_pipeline(spark, _landing(spark, folder), _backfill(spark, folder),
-                                   Store(work_dir(spark, "pipeline")), parts=4)
+    return _totals(pipeline.run_pipeline(spark, _landing(spark, folder), _backfill(spark, folder),
+                                         Store(work_dir(spark, "pipeline")), parts=4))
+
+
+def _run_pipeline_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with bounded micro-batches at every hop and bounded state."""
+    return _totals(pipeline.run_pipeline(spark, _landing(spark, folder), _backfill(spark, folder),
+                                         Store(work_dir(spark, "pipeline-bounded")), 4, Admission(files=24), bounded=True))
+
+
+def _totals(tables: dict[str, DataFrame]) -> DataFrame:
     money = {"fct_sales_orders": "order_total_amount", "fct_sales_order_lines": "line_amount",
              "fct_returns": "credit_amount", "dim_products_current": "list_price",
              "dim_customers_current": "credit_limit"}
@@ -188,7 +252,12 @@ def stream_queries() -> dict[str, Query]:
         "flatten_orders": _fact("fct_sales_orders"),
         "flatten_order_lines": _fact("fct_sales_order_lines"),
         "dedup_stream": _dedup_stream,
+        "dedup_bounded": _dedup_bounded,
+        "drop_counts": _drop_counts,
+        "ingest_backfill_shapes": _backfill_shapes,
         "scd2_apply": _scd2_apply,
+        "scd2_merged": _scd2_merged,
         "run_pipeline": _run_pipeline,
+        "run_pipeline_bounded": _run_pipeline_bounded,
     }
     return {name: _started_small(query) for name, query in queries.items()}

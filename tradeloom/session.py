@@ -85,3 +85,9 @@ def work_dir(spark: SparkSession, label: str) -> str:
             _LOCAL_WORK[context.applicationId] = tempfile.mkdtemp(prefix="tradeloom-")
         base = _LOCAL_WORK[context.applicationId]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored data that nothing refers to any more, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -108,5 +108,27 @@ def write_backfill(star: Star, folder: str) -> None:
     _write(_documents(_rows(star, "sales_orders"), "sales_orders"), folder)
 
 
+def write_spoiled_orders(star: Star, folder: str) -> None:
+    """Order documents in which every fifth id is missing, every seventh of the others blank, every third date no date."""
+    number = F.col("order_id").cast("bigint")
+    rows = _orders(star).withColumns({
+        "order_date": F.when(number % 3 == 0, "no date").otherwise(F.col("order_date")),
+        "order_id": F.when(number % 5 == 0, None).when(number % 7 == 0, " ").otherwise(F.col("order_id")),
+        "_chunk": _chunk("order_id")})
+    _write(_documents(rows.select(F.col("_chunk").alias("chunk"), _row("sales_orders")), "sales_orders"), folder)
+
+
+def write_backfill_shapes(star: Star, folder: str) -> None:
+    """All orders as backfill files of several documents: arrays, lines, and files that break off, with a field nobody knows."""
+    documents = _documents(_rows(star, "sales_orders"), "sales_orders")
+    key = F.get_json_object("value", "$.key")
+    other = F.to_json(F.struct(F.concat(key, F.lit("-other")).alias("key"), F.lit("by hand").alias("sent")))
+    shape = F.substring_index(key, "-", -1).cast("bigint") % 3
+    whole = F.when(shape == 0, F.concat(F.lit("["), "value", F.lit(","), other, F.lit("]"))).otherwise(
+        F.concat("value", F.lit("\n"), other))
+    broken = documents.filter(shape == 2).select(F.expr("substring(value, 1, length(value) - 9)").alias("value"))
+    _write(documents.select(whole.alias("value")).unionAll(broken), folder)
+
+
 def _write(documents: DataFrame, folder: str) -> None:
     documents.write.option("maxRecordsPerFile", 1).text(folder)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.schemas import LANDING_ENTITIES, document_ddl
+from tradeloom.sources.admission import EVERYTHING, Admission
 
 _CORRUPT = "_corrupt_record"
 _MARK = "end of documents"
@@ -53,10 +54,11 @@ def _members(fields: str, known: list[str], prefix: str = "") -> Column:
     return F.transform(unknown, lambda e: _member(F.concat(F.lit(prefix), e["key"]), e["value"]))
 
 
-def with_rescued_data(texts: DataFrame, text: str, corrupt: Column) -> DataFrame:
+def with_rescued_data(texts: DataFrame, text: str, corrupt: Column,
+                      entities: tuple[str, ...] = tuple(LANDING_ENTITIES)) -> DataFrame:
     """Add ``_rescued_data``: what the schema does not name, as a JSON object of path to JSON text.
 
-    Covers unknown fields of the document, of the payload and of the entities' rows; a document that
+    Covers unknown fields of the document, of the payload and of the given entities' rows; a document that
     is not JSON is kept whole. NULL when nothing is unknown. A name that a document repeats is repeated
     in the result. The document is taken apart one level per step, so each piece of text is parsed once.
     """
@@ -70,7 +72,8 @@ def with_rescued_data(texts: DataFrame, text: str, corrupt: Column) -> DataFrame
     df = df.withColumn("_payload", F.coalesce(F.from_json(part("_top", "value"), maps), empty))
 
     found = [_members("_top", ["key", "value", *names]), _members("_payload", names, "value.")]
-    for entity, fields in LANDING_ENTITIES.items():
+    for entity in entities:
+        fields = LANDING_ENTITIES[entity]
         rows = F.from_json(F.coalesce(part("_payload", entity), part("_top", entity)),
                            f"array<{maps}>")
         extra = F.transform(rows, _without(list(fields)))
@@ -84,18 +87,21 @@ def with_rescued_data(texts: DataFrame, text: str, corrupt: Column) -> DataFrame
     some = F.when(F.size("_found") > 0, F.concat(F.lit("{"), F.array_join("_found", ","), F.lit("}")))
     rescued = F.coalesce(whole, some)
     return df.withColumn("_rescued_data", rescued).drop(
-        "_top", "_payload", "_found", *(f"_extra_{e}" for e in names))
+        "_top", "_payload", "_found", *(f"_extra_{e}" for e in entities))
 
 
-def parse_documents(texts: DataFrame) -> DataFrame:
-    """Documents held as text in ``value``, as `split_documents` gives them, with their rescued data."""
-    parsed = F.from_json("value", document_ddl() + f", {_CORRUPT} STRING",
+def parse_documents(texts: DataFrame, entities: tuple[str, ...] = tuple(LANDING_ENTITIES)) -> DataFrame:
+    """Documents held as text in ``value``, as `split_documents` gives them, with their rescued data.
+
+    Only the given entities are parsed; the others are known, so they are no rescued data either.
+    """
+    parsed = F.from_json("value", document_ddl(*entities) + f", {_CORRUPT} STRING",
                          {"columnNameOfCorruptRecord": _CORRUPT})
     rows = with_rescued_data(texts.withColumn("_doc", parsed), "value",
-                             F.coalesce(F.col(f"_doc.{_CORRUPT}"), F.col("_unfit")))
+                             F.coalesce(F.col(f"_doc.{_CORRUPT}"), F.col("_unfit")), entities)
     kept = [c for c in texts.columns if c not in ("value", "_unfit")]
     documents = rows.select("_doc.*", *kept, "_rescued_data").drop(_CORRUPT)
-    return unwrap(documents, tuple(LANDING_ENTITIES))
+    return unwrap(documents, entities)
 
 
 def split_documents(texts: DataFrame) -> DataFrame:
@@ -124,29 +130,28 @@ def split_documents(texts: DataFrame) -> DataFrame:
     return df.select(*others, F.posexplode("_docs").alias("_document", "value"))
 
 
+def _texts(spark: SparkSession, folder: str, multi_line: bool, admission: Admission) -> DataFrame:
+    """New files of a folder, or their lines, as one row per document."""
+    reader = admission.on(spark.readStream)
+    return split_documents(with_ingest_metadata(reader.text(folder, wholetext=multi_line)))
+
+
 def landing_stream(spark: SparkSession, folder: str, rescue: bool = True, multi_line: bool = True,
-                   files_per_batch: int | None = None) -> DataFrame:
+                   admission: Admission = EVERYTHING) -> DataFrame:
     """New documents of the landing folder with ingest metadata.
 
     A file may hold a document, an array of documents or several in a row; with ``multi_line=False`` it
     holds one or an array per line, and Spark can split it over tasks. ``rescue`` keeps unknown fields and
-    what is not JSON; an empty array gives no document.
+    what is not JSON; without it such a text still is a row, of NULLs. An empty array gives no document.
     """
-    reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if rescue:
-        texts = with_ingest_metadata(reader.text(folder, wholetext=multi_line))
-        return parse_documents(split_documents(texts))
-    documents = reader.schema(document_ddl()).option("multiLine", multi_line).json(folder)
-    return (unwrap(with_ingest_metadata(documents), tuple(LANDING_ENTITIES))
-            .withColumns({"_rescued_data": F.lit(None).cast("string"), "_document": F.lit(None).cast("int")}))
+    documents = parse_documents(_texts(spark, folder, multi_line, admission))
+    return documents if rescue else documents.withColumn("_rescued_data", F.lit(None).cast("string"))
 
 
 def backfill_stream(spark: SparkSession, folder: str, multi_line: bool = True,
-                    files_per_batch: int | None = None) -> DataFrame:
-    """New documents of the backfill folder; only their sales orders are read."""
-    reader = spark.readStream.schema(document_ddl("sales_orders")).option("multiLine", multi_line)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return unwrap(with_ingest_metadata(reader.json(folder)), ("sales_orders",))
+                    admission: Admission = EVERYTHING) -> DataFrame:
+    """New documents of the backfill folder, in every shape that landing takes, with rescued data.
+
+    Only their sales orders are parsed. A text that is no JSON is one row, kept whole in the rescued data.
+    """
+    return parse_documents(_texts(spark, folder, multi_line, admission), ("sales_orders",))

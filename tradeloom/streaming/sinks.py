@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom.schemas import Table
+from tradeloom.sources.admission import EVERYTHING, Admission
 
 
 def create_table(spark: SparkSession, path: str, table: Table) -> None:
@@ -25,12 +28,9 @@ def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
     return spark.read.schema(table.ddl).parquet(path).select(*table.names)
 
 
-def stream_table(spark: SparkSession, path: str, table: Table,
-                 files_per_batch: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, table: Table, admission: Admission = EVERYTHING) -> DataFrame:
     """Rows appended to a stored table, as a stream."""
-    reader = spark.readStream.schema(table.ddl)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = admission.on(spark.readStream.schema(table.ddl))
     return reader.option("recursiveFileLookup", True).parquet(path)
 
 
@@ -45,28 +45,35 @@ def append_stream(df: DataFrame, path: str, table: Table, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
+def flow_path(path: str, flow: str) -> str:
+    return f"{path}/flow={flow}"
+
+
 def append_flow(df: DataFrame, path: str, table: Table, flow: str,
                 checkpoint: str) -> StreamingQuery:
     """Start one of several flows into one table.
 
     Two file sinks must not share a folder: each numbers its batches from zero in the folder's one
-    log, and the second loses data. Here a batch owns the folder ``flow=/batch_id=`` and replaces it
-    when it is repeated after a failure. A stream that already read the first attempt sees its rows
-    again; the facts' de-duplication removes them.
+    log, and the second loses data. So each flow has a folder and a log of its own. Readers follow the log:
+    a batch counts once it is in there, and the files of an attempt that failed are never read.
     """
-    create_table(df.sparkSession, path, table)
+    return append_stream(df, flow_path(path, flow), table, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/flow={flow}/batch_id={batch_id}")
 
-    return (df.select(*table.names).writeStream.foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def stream_flows(spark: SparkSession, path: str, table: Table, flows: Sequence[str],
+                 admission: Admission = EVERYTHING) -> DataFrame:
+    """Rows appended to a table by its flows, as one stream; each row is seen exactly once."""
+    for flow in flows:
+        create_table(spark, flow_path(path, flow), table)
+    return reduce(DataFrame.unionByName, (stream_table(spark, flow_path(path, f), table, admission) for f in flows))
 
 
-def read_flows(spark: SparkSession, path: str, table: Table) -> DataFrame:
+def read_flows(spark: SparkSession, path: str, table: Table, flows: Sequence[str]) -> DataFrame:
     """A table fed by flows, with the flow of each row."""
-    partitions = table.ddl + ", flow STRING, batch_id BIGINT"
-    return spark.read.schema(partitions).parquet(path).filter("flow IS NOT NULL")
+    for flow in flows:
+        create_table(spark, flow_path(path, flow), table)
+    return reduce(DataFrame.unionByName, (read_table(spark, flow_path(path, f), table).withColumn("flow", F.lit(f))
+                                          for f in flows))
 
 
 def finish(queries: Iterable[StreamingQuery]) -> None:
