@@ -115,12 +115,27 @@ class Lattice:
         return total
 
     def log_probability(self, word: str) -> float:
-        return self.forward(word)[-1]
+        if not self.single.issuperset(word):
+            return self.forward(word)[-1]
+        # every character is a piece, so each prefix has a segmentation once its last character is reached
+        exp, log1p, low = math.exp, math.log1p, -math.inf
+        total = [low] * (len(word) + 1)
+        total[0] = 0.0
+        for end, (n, _, w) in self.find.iter(word):
+            new, old = total[end + 1 - n] + w, total[end + 1]
+            if old == low:
+                total[end + 1] = new
+            elif old > new:
+                total[end + 1] = old + log1p(exp(new - old))
+            else:
+                total[end + 1] = new + log1p(exp(old - new))
+        return total[-1]
 
     def expected(self, word: str, times: float, counts: list[float]) -> None:
         """Add the expected uses of each piece in so many occurrences of the word."""
         exp, log1p, low = math.exp, math.log1p, -math.inf
-        arcs = self.arcs(word)
+        spelled = not self.single.issuperset(word)
+        arcs = self.arcs(word) if spelled else [(end + 1 - n, end + 1, w, i) for end, (n, i, w) in self.find.iter(word)]
         ahead = self.forward(word, arcs)
         whole = ahead[-1]
         back = [low] * (len(word) + 1)
@@ -130,12 +145,17 @@ class Lattice:
             if tail == low:
                 continue
             new, old = w + tail, back[start]
+            use = ahead[start] + new - whole  # all arcs from its end on have been seen
+            if use > -40:
+                use = times * exp(use)
+                if spelled:
+                    for i in pieces:
+                        counts[i] += use
+                else:
+                    counts[pieces] += use
             if old == low:
                 back[start] = new
+            elif old > new:
+                back[start] = old + log1p(exp(new - old))
             else:
-                back[start] = old + log1p(exp(new - old)) if old > new else new + log1p(exp(old - new))
-        for start, end, w, pieces in arcs:
-            use = ahead[start] + w + back[end] - whole
-            if use > -40:
-                for i in pieces:
-                    counts[i] += times * exp(use)
+                back[start] = new + log1p(exp(old - new))
