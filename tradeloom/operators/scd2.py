@@ -2,8 +2,9 @@
 
 Both operators order the records of a key in time, per (key, time bucket), with one row per bucket carried
 across the buckets of a key: a key that holds a large part of the log is spread over as many tasks as it
-has buckets. The plan is the same for every key and size. The bucket's width is the caller's choice: it has to
-be narrow enough for the busiest bucket of a key to be sorted by one task.
+has buckets. By default buckets have a fixed width, the caller's choice. With ``rows_per_bucket`` keys that hold more rows
+than that, found by a sketch, get buckets of about equally many rows, whatever the time these span: their bounds
+are quantiles of the key's own moments. Only the records of one moment cannot be divided.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeloom.operators.skew import heavy_keys
 from tradeloom.schemas import LINEAGE
 
 START, END = "__START_AT", "__END_AT"
@@ -26,13 +28,37 @@ def daily(moment: Column) -> Column:
     return F.date_trunc("day", moment)
 
 
+BOUNDS = 255  # quantiles of a heavy key
+
+
+def _time_bounds(records: DataFrame, keys: Sequence[str], moment: str, rows_per_bucket: int) -> DataFrame:
+    """(hash, bounds) of the keys with more rows than a bucket should have; a bounded number of rows."""
+    heavy = F.broadcast(heavy_keys(records, keys, rows_per_bucket))
+    some = records.select(F.xxhash64(*keys).alias("_hash"), moment).join(heavy, F.col("_hash") == F.col("hash"))
+    parts = [i / (BOUNDS + 1) for i in range(1, BOUNDS + 1)]
+    return some.groupBy("hash").agg(F.percentile_approx(moment, parts).alias("bounds"))
+
+
+def _bucketed(records: DataFrame, keys: Sequence[str], moment: str, bucket: Bucket, rows_per_bucket: int | None) -> DataFrame:
+    """The records with ``_bucket``, which grows with the moment within each key."""
+    plain = bucket(F.col(moment))
+    if rows_per_bucket is None:
+        return records.withColumn("_bucket", plain)
+    bounds = F.broadcast(_time_bounds(records, keys, moment, rows_per_bucket))
+    below = F.array_max(F.filter("bounds", lambda bound: bound <= F.col(moment)))
+    own = F.coalesce(below, F.lit("0001-01-01").cast("timestamp"))
+    return (records.withColumn("_hash", F.xxhash64(*keys)).join(bounds, F.col("_hash") == F.col("hash"), "left")
+            .withColumn("_bucket", F.when(F.col("bounds").isNull(), plain.cast("timestamp")).otherwise(own))
+            .drop("_hash", "hash", "bounds"))
+
+
 def _present(columns: Sequence[str]) -> Column:
     return reduce(and_, (F.col(c).isNotNull() for c in columns))
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
                  tracked: Sequence[str] | None = None, bucket: Bucket = daily,
-                 then: Sequence[str] = ()) -> DataFrame:
+                 then: Sequence[str] = (), rows_per_bucket: int | None = None) -> DataFrame:
     """Versions of each key: the tracked columns with ``__START_AT`` and ``__END_AT``.
 
     Consecutive records with equal tracked columns are one version. Of several records with the same
@@ -52,7 +78,7 @@ def scd2_history(log: DataFrame, keys: Sequence[str], sequence: str,
     # one record per key and moment; copies collapse before the shuffle
     last = F.max(F.struct("_then", "_state"))["_state"] if then else F.min("_state")
     moments = log.groupBy(*keys, START).agg(last.alias("_state"))
-    versions = _versions_by_bucket(moments, keys, bucket)
+    versions = _versions_by_bucket(moments, keys, bucket, rows_per_bucket)
     return (versions
             .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in tracked), START, END))
 
@@ -68,10 +94,11 @@ def _changes(records: DataFrame, partition: Sequence[str]) -> DataFrame:
             .drop("_before").withColumn("_next", F.lead(START).over(window)))
 
 
-def _versions_by_bucket(records: DataFrame, keys: Sequence[str], bucket: Bucket) -> DataFrame:
+def _versions_by_bucket(records: DataFrame, keys: Sequence[str], bucket: Bucket,
+                        rows_per_bucket: int | None = None) -> DataFrame:
     # The join below implies this NULL check for one of its sides. With it on both, the sides are
     # planned alike and share their shuffles.
-    records = records.withColumn("_bucket", bucket(F.col(START))).filter("_bucket IS NOT NULL")
+    records = _bucketed(records, keys, START, bucket, rows_per_bucket).filter("_bucket IS NOT NULL")
     candidates = _changes(records, [*keys, "_bucket"])
 
     # Across buckets: does the first record continue the last version of an earlier bucket, and when
@@ -104,7 +131,8 @@ def current_dimension(history: DataFrame, columns: Sequence[str] | None = None)
 
 
 def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment: str,
-               attributes: Sequence[str], how: str = "left", bucket: Bucket = daily) -> DataFrame:
+               attributes: Sequence[str], how: str = "left", bucket: Bucket = daily,
+               rows_per_bucket: int | None = None) -> DataFrame:
     """Facts with the attributes of the version valid at ``moment`` (start inclusive, end exclusive).
 
     ``how="left"`` keeps facts without a valid version with NULL attributes, ``"inner"`` drops them.
@@ -121,7 +149,7 @@ def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment
         *keys, F.col(moment).alias("_at"), F.lit(1).alias("_kind"),
         F.struct(*facts.columns).alias("_fact"))
     merged = versions.unionByName(probes, allowMissingColumns=True)
-    found = _latest_by_bucket(merged, keys, bucket)
+    found = _latest_by_bucket(_bucketed(merged, keys, "_at", bucket, rows_per_bucket), keys)
     valid = F.col("_version").isNotNull() & (F.col("_version._to").isNull()
                                              | (F.col("_at") < F.col("_version._to")))
     found = found.withColumn("_valid", valid)
@@ -139,8 +167,7 @@ def scd2_as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], moment
     return result.unionAll(lost)
 
 
-def _latest_by_bucket(merged: DataFrame, keys: Sequence[str], bucket: Bucket) -> DataFrame:
-    merged = merged.withColumn("_bucket", bucket(F.col("_at")))
+def _latest_by_bucket(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
     inside = [*keys, "_bucket"]
     running = (Window.partitionBy(*inside).orderBy("_at", "_kind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

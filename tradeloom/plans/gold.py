@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions import money_add, money_parts, money_sum, money_value, rate
+from tradeloom.operators.skew import skew_join
 
 
 def order_totals(lines: DataFrame) -> DataFrame:
@@ -43,11 +44,17 @@ def monthly_revenue(orders: DataFrame, lines: DataFrame) -> DataFrame:
             .agg(money_value(money_add("amount")).alias("revenue"), F.count("order_id").alias("order_count")))
 
 
-def revenue_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue and orders per therapeutic area; an order counts in every area it touches."""
-    return (lines.select("product_id", "order_id", money_parts("line_amount").alias("amount"))
-            .join(products.select("product_id", "therapeutic_area"), "product_id")
-            .groupBy("therapeutic_area")
+def revenue_by_category(lines: DataFrame, products: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """Revenue and orders per therapeutic area; an order counts in every area it touches.
+
+    ``rows_per_task`` spreads products with more lines than that over several tasks, at the cost of one more
+    look at the lines' products; for products that are too many to be broadcast.
+    """
+    sold = lines.select("product_id", "order_id", money_parts("line_amount").alias("amount"))
+    areas = products.select("product_id", "therapeutic_area")
+    joined = (sold.join(areas, "product_id") if rows_per_task is None
+              else skew_join(sold, areas, ["product_id"], ["order_id"], rows_per_task))
+    return (joined.groupBy("therapeutic_area")
             .agg(money_value(money_add("amount")).alias("revenue"),
                  F.count_distinct("order_id").alias("order_count")))
 

@@ -54,26 +54,23 @@ class MetricView:
         dimension names or result names, descending with a leading ``-``; a dimension that is not
         selected is grouped by as well and removed after the sort.
         """
-        wanted = dict(dimensions) if isinstance(dimensions, Mapping) else {d: d for d in dimensions}
-        shown = {source: result for result, source in wanted.items()}
-        order = [(name.removeprefix("-"), name.startswith("-")) for name in order_by]
-        hidden = [name for name, _ in order
-                  if name in self.dimensions and name not in shown and name not in measures]
-
-        keys = [F.expr(self.dimensions[d]).alias(r) for r, d in wanted.items()]
-        keys += [F.expr(self.dimensions[d]).alias(f"_{d}") for d in hidden]
-        used = [*(self.dimensions[d] for d in [*wanted.values(), *hidden]),
+        asked = Asked.of(self.dimensions, dimensions, measures, order_by, limit)
+        keys = [F.expr(self.dimensions[d]).alias(column) for d, column in asked.keys.items()]
+        used = [*(self.dimensions[d] for d in asked.keys),
                 *(self.measures[m] for m in measures.values()), self.where or ""]
         rows = self._rows(used, where, period)
-        result = rows.groupBy(*keys).agg(*(F.expr(self.measures[m]).alias(r)
-                                           for r, m in measures.items()))
-        if order:
-            columns = [(F.col(f"`_{n}`") if n in hidden else F.col(f"`{shown.get(n, n)}`"), desc)
-                       for n, desc in order]
-            result = result.orderBy(*(c.desc() if desc else c.asc() for c, desc in columns))
-        if limit is not None:
-            result = result.limit(limit)
-        return result.drop(*(f"_{d}" for d in hidden)) if hidden else result
+        return asked.present(rows.groupBy(*keys).agg(*(F.expr(self.measures[m]).alias(r)
+                                                       for r, m in measures.items())))
+
+    def rows(self, dimensions: Sequence[str]) -> DataFrame:
+        """The fact's columns, after the view's filter, and the dimensions under their display names.
+
+        A column of the fact with the name of a dimension gives way to it.
+        """
+        found = self._rows([*(self.dimensions[d] for d in dimensions), self.where or ""], None, None)
+        named = {d.lower() for d in dimensions}
+        own = [F.col(f"source.`{c}`") for c in self.source.columns if c.lower() not in named]
+        return found.select(*own, *(F.expr(self.dimensions[d]).alias(d) for d in dimensions))
 
     def _rows(self, used: Sequence[str], where: str | Column | None,
               period: str | Column | None) -> DataFrame:
@@ -112,6 +109,34 @@ class MetricView:
         return rows.join(chosen.alias(lookup.name), lookup.on())
 
 
+@dataclass(frozen=True)
+class Asked:
+    """The shape of a query: columns to group by and how the result is sorted and cut."""
+
+    keys: dict[str, str]  # dimension to result column; a dimension only sorted by has a hidden one
+    hidden: list[str]
+    order: list[tuple[str, bool]]  # result column, descending
+    limit: int | None
+
+    @classmethod
+    def of(cls, known: Mapping[str, str], dimensions: Sequence[str] | Mapping[str, str], measures: Mapping[str, str],
+           order_by: Sequence[str], limit: int | None) -> Asked:
+        wanted = dict(dimensions) if isinstance(dimensions, Mapping) else {d: d for d in dimensions}
+        keys = {source: result for result, source in wanted.items()}
+        order = [(name.removeprefix("-"), name.startswith("-")) for name in order_by]
+        hidden = {n: f"_{n}" for n, _ in order if n in known and n not in keys and n not in measures}
+        keys |= hidden
+        return cls(keys, list(hidden.values()), [(keys.get(n, n), desc) for n, desc in order], limit)
+
+    def present(self, result: DataFrame) -> DataFrame:
+        if self.order:
+            columns = [(F.col(f"`{n}`"), desc) for n, desc in self.order]
+            result = result.orderBy(*(c.desc() if desc else c.asc() for c, desc in columns))
+        if self.limit is not None:
+            result = result.limit(self.limit)
+        return result.drop(*self.hidden)
+
+
 def full_grain(view: MetricView) -> DataFrame:
     """Every measure by every dimension."""
     return view.query(list(view.dimensions), {m: m for m in view.measures})

@@ -18,7 +18,7 @@ from tradeloom.operators.calendar_dim import calendar_spanning
 from tradeloom.operators.dedup import dedup_first
 from tradeloom.operators.scd2 import current_dimension, scd2_as_of, scd2_history
 from tradeloom.plans import metric_queries
-from tradeloom.plans.gold import present
+from tradeloom.plans.gold import present, revenue_by_category
 from tradeloom.plans.marts import MARTS, mart
 from tradeloom.plans.metrics import full_grain, metric_views
 from tradeloom.schemas import FACT_RULES
@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = dt.date(2001, 7, 15)
 YEAR, YEARS = 2000, (2000, 2001)
 BREACH_THRESHOLD = 10
+ROWS_PER_BUCKET, ROWS_PER_TASK = 8, 100  # small, so that the test tables have keys above them
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
@@ -127,13 +128,17 @@ def _history(s: Star) -> DataFrame:
     return scd2_history(s.change_log, ["user_id"], "_ingested_at", ["event_type"])
 
 
+def _history_by_count(s: Star) -> DataFrame:
+    return scd2_history(s.change_log, ["user_id"], "_ingested_at", ["event_type"], rows_per_bucket=ROWS_PER_BUCKET)
+
+
 def _shown_history(history: DataFrame) -> DataFrame:
     return history.withColumnsRenamed({"__START_AT": "start_at", "__END_AT": "end_at"})
 
 
-def _as_of(s: Star) -> DataFrame:
+def _as_of(s: Star, rows_per_bucket: int | None = None) -> DataFrame:
     events = s.raw("events").select("event_id", "user_id", "ts", F.col("event_type").alias("sent"))
-    found = scd2_as_of(events, _history(s), ["user_id"], "ts", ["event_type", "__START_AT"])
+    found = scd2_as_of(events, _history(s), ["user_id"], "ts", ["event_type", "__START_AT"], rows_per_bucket=rows_per_bucket)
     return found.select("event_id", "user_id", "sent", F.col("event_type").alias("found"),
                         F.col("__START_AT").alias("valid_from"))
 
@@ -202,6 +207,11 @@ def batch_queries() -> dict[str, Query]:
         "scd2_history": lambda s: _shown_history(_history(s)),
         "dim_current": lambda s: current_dimension(_history(s)),
         "scd2_as_of": _as_of,
+        "scd2_history_by_count": lambda s: _shown_history(_history_by_count(s)),
+        "scd2_as_of_by_count": lambda s: _as_of(s, ROWS_PER_BUCKET),
+        # marts beyond their defaults
+        "revenue_by_category_skewed": lambda s: revenue_by_category(
+            s.order_lines_without_date, s.dim_products_current, ROWS_PER_TASK),
     }
     queries = {name: _star_query(build) for name, build in star.items()}
     queries |= {name: _star_query(_mart_query(name)) for name in MARTS}

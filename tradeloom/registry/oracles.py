@@ -559,9 +559,22 @@ _STREAMS = {
 }
 
 
+_HISTORY |= {f"{name}_by_count": _HISTORY[name] for name in ("scd2_history", "scd2_as_of")}
+_GOLD["revenue_by_category_skewed"] = _GOLD["revenue_by_category"]
 _STREAMS["run_pipeline_bounded"] = _STREAMS["run_pipeline"]
 
 
+def _rollups() -> dict[str, str]:
+    """A report from rollups equals the report from the fact."""
+    reports = ("daily_trend", "monthly_fiscal", "inventory_month", "shipments_status", "returns_reason", "revenue_vs_returns")
+    return {f"rollup_{name}": _METRICS[f"mq_{name}"] for name in reports} | {
+        "rollup_shipment_trends": _DASHBOARD["shipment_trends"],
+        "rollup_shipment_quarters": sql("fsh cal", """
+            SELECT 'FQ' || fiscal_quarter_num AS quarter, count(*) AS shipments, count(DISTINCT order_id) AS orders,
+              count(DISTINCT customer_id) AS customers
+            FROM fsh LEFT JOIN cal ON ship_date_key = cal.date_key GROUP BY 1""")}
+
+
 def oracles() -> dict[str, str]:
     """Query name to SQL."""
-    return {**_KEYS, **_GOLD, **_DASHBOARD, **_QUALITY, **_HISTORY, **_METRICS, **_STREAMS}
+    return {**_KEYS, **_GOLD, **_DASHBOARD, **_QUALITY, **_HISTORY, **_METRICS, **_STREAMS, **_rollups()}
