@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm import language_id
 from tradeloom.llm.language_id import ORDER, fit_languages, identify, language_query, train_model
-from tradeloom.llm.quality import fit_quality, leading, quality_query, score_quality, shape
+from tradeloom.llm.quality import NEIGHBOURS, TERMS, Terms, fit_quality, leading, quality_query, score_quality, shape
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -151,5 +151,31 @@ def test_votes_are_exact_neighbours(spark):
     assert np.linalg.norm(wide @ kept) == pytest.approx(np.linalg.norm(wide @ exact[:10].T), rel=1e-2)
 
 
+def test_votes_against_brute_force(spark):
+    """Scores of all documents from all cosines in plain loops; repeated doc_ids do not crowd out labelled rows."""
+    rows = [(i, prose(i, 40) if i % 2 else " | ".join(prose(i, 40).split()), "en", "a") for i in range(60)]
+    docs = docs_frame(spark, rows + [(3, prose(500 + i, 40), "en", "a") for i in range(80)] + [(61, None, "en", "a")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    voters = [fit_quality(docs.repartition(n), labels, labelled=40) for n in (2, 5)]
+    assert len(voters[0].labels) == 40 and sorted(voters[0].labels) == sorted(voters[1].labels)
+    got = {(r.doc_id, r.text): r.score for r in score_quality(docs, voters[0]).collect()}
+    assert got.keys() == {(r.doc_id, r.text) for r in docs.collect()}
+    terms = Terms()
+    for (doc_id, text), score in got.items():
+        own = voters[0].latent(terms.matrix([text]))[0]
+        cosines = sorted(((float(np.dot(own, v)), q) for v, q in zip(voters[0].vectors, voters[0].labels)), reverse=True)[:NEIGHBOURS]
+        weights = [max(c, 0) ** 4 for c, _ in cosines]
+        want = sum(w * q for w, (_, q) in zip(weights, cosines)) / sum(weights) if sum(weights) > 1e-12 else voters[0].prior
+        assert score == pytest.approx(want, abs=1e-4), doc_id
+
+
+def test_term_presence_is_that_of_the_weights():
+    texts = [r[1] for r in odd_rows()] + ["a a a b", "Word! WORD!! word"]
+    terms, found = Terms(), np.zeros(TERMS, dtype=np.int64)
+    for text in texts:
+        terms.add_presence(text, found)
+    assert (found == (terms.matrix(texts) > 0).sum(axis=0)).all()
+
+
 def test_shapes():
     assert [shape(w) for w in ("Word,", "WORD!!!", "a-b", "x12", "###")] == ["Aa,", "A!!", "a-a", "a9", "##"]

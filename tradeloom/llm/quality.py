@@ -13,6 +13,8 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -39,27 +41,40 @@ def shape(word: str) -> str:
     return _SAME.sub(r"\1\1", _DIGITS.sub("9", _LETTERS.sub(_case, word)))[:12]
 
 
-def _terms_of(word: str) -> tuple[int, int]:
-    return (zlib.crc32(word.lower().encode()) % WORD_TERMS,
-            WORD_TERMS + zlib.crc32(shape(word).encode()) % SHAPE_TERMS)
+def _terms_of(word: str) -> int:
+    """The word's term and its shape's, as one number to base `TERMS`."""
+    return (zlib.crc32(word.lower().encode()) % WORD_TERMS
+            + TERMS * (WORD_TERMS + zlib.crc32(shape(word).encode()) % SHAPE_TERMS))
 
 
 class Terms:
     """Term weights of texts; remembers the terms of short words, a bounded number of them."""
 
     def __init__(self):
-        self.seen: dict[str, tuple[int, int]] = {}
-
-    def terms(self, word: str) -> tuple[int, int]:
-        found = self.seen.get(word)
-        if found is None:
-            found = _terms_of(word)
-            if len(word) <= SHORT:
-                if len(self.seen) >= REMEMBERED:
-                    self.seen.clear()
-                self.seen[word] = found
+        self.seen: dict[str, int] = {}
+
+    def terms(self, word: str) -> int:
+        found = _terms_of(word)
+        if len(word) <= SHORT:
+            if len(self.seen) >= REMEMBERED:
+                self.seen.clear()
+            self.seen[word] = found
         return found
 
+    def places(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of the words and of their shapes."""
+        known = self.seen.get
+        codes = np.array([known(w) or self.terms(w) for w in counts], dtype=np.int64)
+        return codes % TERMS, codes // TERMS
+
+    def statistics(self, words: list[str], counts: Counter) -> list[tuple[int, float]]:
+        """(term, weight) of the share of different words, of words said twice running, and of the length."""
+        n = len(words)
+        again = sum(map(eq, words, islice(words, 1, None)))
+        at = WORD_TERMS + SHAPE_TERMS
+        return [(at + int(10 * len(counts) / n), n * 0.5), (at + 16 + min(15, int(100 * again / n)), n * 0.2),
+                (at + 32 + min(31, n.bit_length()), n * 0.1)]
+
     def matrix(self, texts: list[str | None]) -> np.ndarray:
         """A row per text: log of each term's share; zero for texts without words."""
         out = np.zeros((len(texts), TERMS), dtype=np.float32)
@@ -68,17 +83,24 @@ class Terms:
             if not words:
                 continue
             counts = Counter(words)
-            places = np.array([self.terms(w) for w in counts], dtype=np.int64)
             times = np.fromiter(counts.values(), np.float64, len(counts))
-            n = len(words)
-            row += np.bincount(places.ravel(), weights=np.repeat(times, 2), minlength=TERMS).astype(np.float32)
-            again = sum(a == b for a, b in zip(words, words[1:]))
-            at = WORD_TERMS + SHAPE_TERMS
-            row[at + int(10 * len(counts) / n)] = n * 0.5
-            row[at + 16 + min(15, int(100 * again / n))] = n * 0.2
-            row[at + 32 + min(31, n.bit_length())] = n * 0.1
-            row *= 100 / n
-        return np.log1p(out)
+            row += sum(np.bincount(p, weights=times, minlength=TERMS) for p in self.places(counts)).astype(np.float32)
+            for at, weight in self.statistics(words, counts):
+                row[at] = weight
+            row *= 100 / len(words)
+        return np.log1p(out, out=out)
+
+    def add_presence(self, text: str | None, found: np.ndarray) -> None:
+        """Count each term that the text has once."""
+        words = (text or "").split()
+        if not words:
+            return
+        counts = Counter(words)
+        has = np.zeros(TERMS, dtype=bool)
+        for places in self.places(counts):
+            has[places] = True
+        has[[at for at, _ in self.statistics(words, counts)]] = True
+        found += has
 
 
 @dataclass
@@ -111,7 +133,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def work(batches):
         terms, found, rows = Terms(), np.zeros(TERMS + 1, dtype=np.int64), 0
         for batch in batches:
-            found[:-1] += (terms.matrix(batch.column(0).to_pylist()) > 0).sum(axis=0)
+            for text in batch.column(0).to_pylist():
+                terms.add_presence(text, found[:-1])
             found[-1] += batch.num_rows
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at])], names=["term", "n"])
@@ -138,7 +161,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
     """Voters from at most ``labelled`` rows of ``labels`` (doc_id, quality); None without any.
 
     ``docs`` are all documents: their texts give the term weights. A doc_id labelled more than once counts
-    with its lowest label; one that stands for several texts counts with each.
+    with its lowest label, one that stands for several texts with the smallest of them.
     """
     chosen = (labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id")
               .agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled))
@@ -152,9 +175,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
                  pa.array([r[np.flatnonzero(r)] for r in rows], pa.list_(pa.float32())), batch.column(1)],
                 names=["at", "weight", "quality"])
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("int"))
-            .mapInArrow(vectors, "at array<int>, weight array<float>, quality int")
-            .limit(labelled).collect())
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").cast("int").alias("quality"))
+            .select("text", "quality").mapInArrow(vectors, "at array<int>, weight array<float>, quality int")
+            .collect())  # at most ``labelled``, as many as were chosen
     if not rows:
         return None
     matrix = np.zeros((len(rows), TERMS), dtype=np.float32)
