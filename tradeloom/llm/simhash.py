@@ -67,29 +67,37 @@ def with_fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, fp bigint")
 
 
+def _tallied(left: np.ndarray, right: np.ndarray, distance: int) -> np.ndarray:
+    """Which pairs share the guaranteed number of positional bytes and differ in few enough bits."""
+    differ = left ^ right
+    shared = (differ.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
+    return (shared >= BYTES - distance) & (np.bitwise_count(differ) <= distance)
+
+
+def _close_pairs(prints: np.ndarray, distance: int):
+    """Places of the pairs of a long list whose tally and bits hold; candidates come from looking up each
+    fingerprint with up to so many of the list's free bits flipped, which misses none."""
+    free = int(np.bitwise_or.reduce(prints ^ prints[0]))
+    bits = [1 << b for b in range(64) if free >> b & 1]
+    for n in range(1, distance + 1):
+        for some in combinations(bits, n):
+            other = prints ^ np.uint64(sum(some))
+            at = np.minimum(np.searchsorted(prints, other), len(prints) - 1)
+            found = np.flatnonzero((prints[at] == other) & (prints < other))
+            found = found[_tallied(prints[found], prints[at[found]], distance)]
+            yield from zip(found.tolist(), at[found].tolist())
+
+
 def _forest(prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links of a spanning forest over the verified pairs of one posting list."""
     size = len(prints)
     if size <= 64:
         left, right = np.triu_indices(size, 1)
-        differ = prints[left] ^ prints[right]
-        shared = (differ.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
-        good = (shared >= BYTES - distance) & (np.bitwise_count(differ) <= distance)
+        good = _tallied(prints[left], prints[right], distance)
         pairs = zip(left[good].tolist(), right[good].tolist())
-    else:  # each partner is a fingerprint with up to so many of the free bits flipped
+    else:
         prints = np.sort(prints)
-        free = int(np.bitwise_or.reduce(prints ^ prints[0]))
-        bits = [1 << b for b in range(64) if free >> b & 1]
-
-        def flipped():
-            for n in range(1, distance + 1):
-                for some in combinations(bits, n):
-                    other = prints ^ np.uint64(sum(some))
-                    at = np.minimum(np.searchsorted(prints, other), size - 1)
-                    found = np.flatnonzero((prints[at] == other) & (prints < other))
-                    yield from zip(found.tolist(), at[found].tolist())
-
-        pairs = flipped()
+        pairs = _close_pairs(prints, distance)
     root = list(range(size))
 
     def top(x: int) -> int:
