@@ -4,6 +4,7 @@ import calendar as pycal
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradeloom.operators.calendar_dim import calendar_dim, calendar_spanning
 
@@ -58,6 +59,9 @@ def test_range_from_data(spark):
 
 
 def test_long_ranges_are_split_over_tasks(spark):
+    wide = calendar_spanning(spark.createDataFrame([(dt.date(2001, 5, 1),), (dt.date(9999, 2, 3),)], "d DATE"), "d")
+    sizes = [r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2921574 and max(sizes) < 2 * sum(sizes) / len(sizes)
     days = calendar_dim(spark, "1601-01-01", "2400-12-31")
     assert days.count() == 292194 and days.rdd.getNumPartitions() > 1
     with pytest.raises(ValueError):

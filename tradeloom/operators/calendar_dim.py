@@ -11,6 +11,7 @@ from tradeloom.functions import as_date, date_key
 
 # The default range and fiscal start.
 DEFAULT_START, DEFAULT_END, DEFAULT_FISCAL_START = "2015-01-01", "2035-12-31", 1
+YEAR_TASKS = 8
 
 
 def calendar_dim(spark: SparkSession, start: dt.date | str = DEFAULT_START,
@@ -29,14 +30,12 @@ def calendar_spanning(df: DataFrame, moment: Column | str,
                       fiscal_start_month: int = DEFAULT_FISCAL_START) -> DataFrame:
     """The calendar of all whole years that the dates in ``df`` touch, found by Spark itself."""
     column = F.col(moment) if isinstance(moment, str) else moment
-    bounds = df.agg(F.to_date(F.date_trunc("year", F.min(column))).alias("first"),
-                    F.make_date(F.year(F.max(column)), F.lit(12), F.lit(31)).alias("last"))
-    return _days(bounds, fiscal_start_month)
-
-
-def _days(bounds: DataFrame, fiscal_start_month: int) -> DataFrame:
-    days = bounds.filter("first IS NOT NULL").select(F.explode(F.sequence("first", "last"))
-                                                     .alias("calendar_date"))
+    bounds = df.agg(F.year(F.min(column)).alias("first"), F.year(F.max(column)).alias("last"))
+    # years are dealt out before their days are made: one wrong date in the far future is no long task
+    years = (bounds.filter("first IS NOT NULL").select(F.explode(F.sequence("first", "last")).alias("year"))
+             .repartition(YEAR_TASKS, "year"))
+    first, last = (F.make_date(F.col("year"), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    days = years.select(F.explode(F.sequence(first, last)).alias("calendar_date"))
     return days.select(*calendar_attributes(F.col("calendar_date"), fiscal_start_month))
 
 

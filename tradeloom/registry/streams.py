@@ -27,6 +27,8 @@ from tradeloom.streaming.scd2 import read_history, scd2_apply
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+STATE_PARTITIONS = 16  # the registered streams run once, over fresh folders
+
 _FEEDS: dict[tuple[str, str, str], str] = {}
 
 
@@ -231,7 +233,7 @@ def _totals(tables: dict[str, DataFrame]) -> DataFrame:
 
 def _started_small(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        with state_partitions(spark):
+        with state_partitions(spark, STATE_PARTITIONS):
             return query(spark, folder)
     return run
 

@@ -55,15 +55,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, per_core: int = 2):
-    """Start streams with at most so many state partitions per core of the cluster.
+def state_partitions(spark: SparkSession, number: int):
+    """Start streams with at most so many state partitions, whatever machine they start on.
 
-    A stream keeps the number it first started with. More partitions than cores help only while they
-    keep the state of each small; on a small machine they are overhead.
+    A stream keeps the number it first started with, so this is for short-lived streams over little data: more
+    partitions than their state needs are overhead. Others take ``spark.sql.shuffle.partitions`` as it is.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, min(int(before), per_core * spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, min(int(before), number))
     try:
         yield
     finally:
