@@ -97,6 +97,22 @@ def test_learned_pattern_marks_a_strict_miss(spark):
     assert not luhn("4000000000000001") and got[900] == "card:11:27" and got[901] == ""
 
 
+def test_a_text_of_many_identifiers(spark):
+    """Cost follows the matches: a text of 5000 addresses, most of them in one run without words, is cut right."""
+    text = " ".join(f"u{i}@m{i % 9}.example +1 (377) 555-{i % 10000:04d}" + (" é😀 and" * 300 if i % 500 == 0 else "") for i in range(2500))
+    docs = docs_frame(spark, [(1, text, "en", "a"), (2, "none", "en", "a"), (3, "a@b.co" + "x" * 3000, "en", "a")])
+    got = {r.doc_id: r for r in find_pii(docs).select("doc_id", "spans", joined(F.col("base")).alias("b")).collect()}
+    assert got[1].b == plain(text, PII)
+    cut = {r.doc_id: r.text for r in redact(docs).collect()}
+    want, at = [], 0
+    for x in got[1].spans:
+        if x.s >= at:
+            want += [text[at:x.s], f"[{x.kind.upper()}]"]
+        at = max(at, x.e)
+    assert cut[1] == "".join(want) + text[at:] and cut[1].count("[EMAIL]") == 2500
+    assert cut[2] == "none" and cut[3] == "[EMAIL]"
+
+
 def test_redaction(spark):
     rows = odd_rows() + [(70, "ok a@b.co and 1.2.3.4, bye 😀 c@d.eu", "en", "a")]
     docs = docs_frame(spark, rows)

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import SPACE, saved
-from tradeloom.llm.spans import (count_of, digits, found_between, found_where, joined, listed, luhn,
-                                 marked, no_spans)
+from tradeloom.llm.spans import (count_of, digits, found_between, found_where, joined, listed, let, luhn,
+                                 marked, no_spans, scan)
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL, HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -31,6 +31,7 @@ TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
 LEAD = r"^[^\p{L}\p{N}+]+"
 EDGE = r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$"
 
+BLOCK = 1024
 ROUNDS = 3
 MIN_SCORE, MIN_CONFIDENT, SMOOTHING = 0.8, 3, 1.0
 
@@ -73,31 +74,66 @@ def _plain(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"[^\p{L}]", ""))
 
 
+def with_seeds(tokens: Column, seeds: Column) -> Column:
+    """The tokens (``s``, ``e``: their bare value's place), in order, with ``seed`` (kind of a strict span that covers
+    one, the first of `KINDS` if several do) and ``touched`` (whether a strict span overlaps it).
+
+    Strict spans of a kind do not overlap, so of those that begin before a token only the last of each kind can reach
+    it: one pass over tokens and spans in order of their start keeps these ends. A pass back keeps the next start.
+    """
+    ends = F.struct(*[F.lit(0).alias(k) for k in KINDS])
+    marks = F.transform(seeds, lambda k: F.struct(k["s"].alias("s"), F.lit(0).alias("later"), k["e"].alias("e"), k["kind"].alias("kind"),
+                                                  F.lit(-1).alias("i")))
+    places = F.transform(tokens, lambda x, i: F.struct(x["s"].alias("s"), F.lit(1).alias("later"), x["e"].alias("e"),
+                                                       F.lit(None).cast("string").alias("kind"), i.alias("i")))
+
+    def ahead(state: Column, x: Column) -> tuple[Column, Column]:
+        after = F.struct(*[F.when(x["kind"] == k, x["e"]).otherwise(state[k]).alias(k) for k in KINDS])
+        covering = F.coalesce(*[F.when(state[k] >= x["e"], F.lit(k)) for k in KINDS])
+        reached = F.greatest(*[state[k] for k in KINDS]) > x["s"]
+        return after, F.struct(x["i"].alias("i"), covering.alias("seed"), reached.alias("touched"))
+
+    def back(state: Column, x: Column) -> tuple[Column, Column]:
+        return F.when(x["i"] < 0, x["s"]).otherwise(state), F.struct(x["i"].alias("i"), (state < x["e"]).alias("touched"))
+
+    def of_tokens(found: Column) -> Column:
+        return F.array_sort(F.filter(found, lambda x: x["i"] >= 0))
+
+    def joined_up(events: Column) -> Column:
+        covered = of_tokens(scan(events, ends, ahead, "struct<i:int,seed:string,touched:boolean>"))
+        begun = of_tokens(scan(F.reverse(events), F.lit(2 ** 31 - 1), back, "struct<i:int,touched:boolean>"))
+        return F.zip_with(covered, begun, lambda a, b: F.struct(a["seed"].alias("seed"), (a["touched"] | b["touched"]).alias("touched")))
+
+    beside = let(F.array_sort(F.concat(marks, places)), joined_up)
+    return F.zip_with(tokens, beside, lambda x, y: F.struct(
+        *[x[c].alias(c) for c in ("s", "e", "m", "left", "right", "value")], y["seed"].alias("seed"), y["touched"].alias("touched")))
+
+
 def instances(rows: DataFrame, text: Column) -> DataFrame:
     """Tokens with a digit or ``@``: place, bare value, the seed kind that covers it, and its patterns.
 
     ``rows`` has the strict spans as ``_found``; the tokens keep the ``key`` of their row.
     """
+    def bare(x: Column) -> Column:
+        value = F.regexp_replace(x["m"], EDGE, "")
+        s = x["s"] + F.length(F.regexp_extract(x["m"], LEAD, 0))
+        return F.struct(s.alias("s"), (s + F.length(value)).alias("e"), x["m"].alias("m"), x["left"].alias("left"),
+                        x["right"].alias("right"), value.alias("value"))
+
+    tokens = F.filter(F.transform(found_between(text, TOKEN), bare), lambda x: x["value"] != "")
     tokens = (rows.filter(text.rlike("[0-9@]"))
-              .select("key", all_marked(F.col("_found")).alias("seeds"),
-                      F.explode(found_between(text, TOKEN)).alias("x"))
-              .select("key", "seeds", "x.*"))
+              .select("key", F.explode(let(tokens, lambda some: with_seeds(some, all_marked(F.col("_found"))))).alias("x"))
+              .select("key", "x.*"))
 
     def word(gap: str, place: Column) -> Column:
         return _plain(F.coalesce(F.get(gap, place), F.lit("#")))
 
     for side in ("left", "right"):
         tokens = tokens.withColumn(side, F.array_remove(F.split(side, f"[{SPACE}]+"), ""))
-    tokens = (tokens.withColumn("value", F.regexp_replace("m", EDGE, "")).filter("value <> ''")
-              .withColumn("s", F.col("s") + F.length(F.regexp_extract("m", LEAD, 0)))
-              .withColumn("e", F.col("s") + F.length("value"))
-              .withColumns({"one": word("left", F.size("left") - 1), "two": word("left", F.size("left") - 2),
-                            "then": word("right", F.lit(0)), "shape": _shape(F.col("value"))}))
-    s, e = F.col("s"), F.col("e")
-    inside = F.filter("seeds", lambda k: (k["s"] <= s) & (k["e"] >= e))
+    tokens = tokens.withColumns({"one": word("left", F.size("left") - 1), "two": word("left", F.size("left") - 2),
+                                 "then": word("right", F.lit(0)), "shape": _shape(F.col("value"))})
     return tokens.select(
-        "key", "s", "e", F.lower("value").alias("value"), F.get(inside, F.lit(0))["kind"].alias("seed"),
-        F.exists("seeds", lambda k: (k["s"] < e) & (k["e"] > s)).alias("touched"),
+        "key", "s", "e", F.lower("value").alias("value"), "seed", "touched",
         F.array(F.concat_ws(" ", F.lit("L"), "two", "one", "shape"),
                 F.concat_ws(" ", F.lit("M"), "one", "shape", "then")).alias("patterns"))
 
@@ -158,6 +194,22 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE
     return out.drop("_key", "_found", "_added")
 
 
+def blocks_of(text: Column) -> Column:
+    """A text in blocks of `BLOCK` characters: to cut a piece out of a long text, Spark walks to it from the start."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int")),
+                       lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK)))
+
+
+def cut(blocks: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end (exclusive) of a text in blocks."""
+    first, last = (F.floor(at / BLOCK).cast("int") for at in (start, end))
+    within = F.substring(F.get(blocks, first), start % BLOCK + 1, end - start)
+    across = F.concat(F.substring(F.get(blocks, first), start % BLOCK + 1, F.lit(BLOCK)),
+                      F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+                      F.substring(F.get(blocks, last), F.lit(1), end % BLOCK))
+    return F.when(first == last, within).otherwise(across)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; columns stay.
 
@@ -165,19 +217,19 @@ def redact(docs: DataFrame) -> DataFrame:
     without personal data, NULL ones included, are as they were.
     """
     names = docs.columns
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     code = F.col("text")
 
-    def step(acc: Column, x: Column) -> Column:
-        new = x["s"] >= acc["at"]
-        gap = F.substring(code, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(new, F.concat(
-            acc["out"], gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise(acc["out"]).alias("out"))
+    def rest(blocks: Column) -> Column:
+        def step(at: Column, x: Column) -> tuple[Column, Column]:
+            gap = cut(blocks, at, F.greatest(x["s"], at))
+            piece = F.when(x["s"] >= at, F.concat(gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise("")
+            return F.greatest(at, x["e"]), piece
+
+        end = F.array_max(F.transform("spans", lambda x: x["e"]))
+        return F.concat(F.array_join(scan(F.col("spans"), F.lit(0), step, "string"), ""), cut(blocks, end, F.length(code)))
 
-    rest = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(
-        code, acc["at"] + 1, F.length(code))))
     some = F.size("spans") > 0
-    out = find_pii(docs).withColumn("text", F.when(some, rest).otherwise(code))
+    out = find_pii(docs).withColumn("text", F.when(some, let(blocks_of(code), rest)).otherwise(code))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*names)

@@ -6,9 +6,12 @@ the middle of a run only where the one before it ended (``\\G``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+CHUNK = 64
 FOUND = "array<struct<s:int,e:int,m:string>>"
 MARKED = "array<struct<s:int,r:int,e:int,kind:string>>"
 
@@ -17,45 +20,67 @@ def no_spans() -> Column:
     return F.array().cast(MARKED)
 
 
-def found(text: Column, pattern: str) -> Column:
-    """All leftmost, non-overlapping matches: start, end (code points, exclusive) and the string.
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
-    The text between matches comes from a split by the same pattern; lengths add up to the places.
+def scan(values: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """What ``step(state, value)`` emits, a DDL type ``kind``, for each value in order; it also gives the next state.
+
+    An array that grows by one element per step is copied each time. So the values are taken in chunks, whose results
+    are put together once: the cost is that of the values times a chunk, not times all values.
     """
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(gaps, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                       lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
+    def start(state: Column, of: str) -> Column:
+        return F.struct(state.alias("state"), F.array().cast(of).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["gap"]
-        e = s + F.coalesce(F.length(x["m"]), F.lit(0))
-        more = F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))
-        return F.struct(e.alias("at"), F.when(x["m"].isNull(), acc["out"])
-                        .otherwise(F.concat(acc["out"], more)).alias("out"))
+    def grown(acc: Column, x: Column) -> Column:
+        after, emitted = step(acc["state"], x)
+        return F.struct(after.alias("state"), F.concat(acc["out"], F.array(emitted)).alias("out"))
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    def along(acc: Column, chunk: Column) -> Column:
+        inner = F.aggregate(chunk, start(acc["state"], f"array<{kind}>"), grown)
+        return let(inner, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
 
+    def chunked(values: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")),
+                             lambda i: F.slice(values, i * CHUNK + 1, F.lit(CHUNK)))
+        return F.when(F.size(values) > 0, F.flatten(F.aggregate(
+            chunks, start(state, f"array<array<{kind}>>"), along, lambda acc: acc["out"]))).otherwise(F.array().cast(f"array<{kind}>"))
 
-def found_between(text: Column, pattern: str) -> Column:
-    """As `found`, with the text before and after each match up to its neighbours (``left``, ``right``)."""
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(gaps, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                       lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string,gap:string>>").alias("out"))
+    return let(values, chunked)
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """The text between matches, from a split by the same pattern, with the match after it (NULL at the end)."""
+    return F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                      lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["gap"])
+
+def _placed(text: Column, pattern: str) -> Column:
+    """As `_matches`, with start and end; lengths add up to the places."""
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        s = at + F.length(x["gap"])
         e = s + F.coalesce(F.length(x["m"]), F.lit(0))
-        more = F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), x["gap"].alias("gap")))
-        return F.struct(e.alias("at"), F.concat(acc["out"], more).alias("out"))
+        return e, F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), x["gap"].alias("gap"))
+
+    return scan(_matches(text, pattern), F.lit(0), step, "struct<s:int,e:int,m:string,gap:string>")
+
+
+def found(text: Column, pattern: str) -> Column:
+    """All leftmost, non-overlapping matches: start, end (code points, exclusive) and the string."""
+    return F.transform(F.filter(_placed(text, pattern), lambda x: x["m"].isNotNull()), lambda x: F.struct(
+        x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
+
 
-    def pair(acc: Column) -> Column:
-        n = F.size(acc["out"]) - 1
-        return F.zip_with(F.slice(acc["out"], 1, n), F.slice(acc["out"], 2, n), lambda a, b: F.struct(
+def found_between(text: Column, pattern: str) -> Column:
+    """As `found`, with the text before and after each match up to its neighbours (``left``, ``right``)."""
+    def paired(placed: Column) -> Column:
+        n = F.size(placed) - 1
+        return F.zip_with(F.slice(placed, F.lit(1), n), F.slice(placed, F.lit(2), n), lambda a, b: F.struct(
             a["s"].alias("s"), a["e"].alias("e"), a["m"].alias("m"), a["gap"].alias("left"), b["gap"].alias("right")))
 
-    return F.aggregate(pairs, start, step, pair)
+    return let(_placed(text, pattern), paired)
 
 
 def found_where(test: Column, text: Column, pattern: str) -> Column:
