@@ -7,7 +7,7 @@ encoded as pieces. All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import prepare_llm, saved
@@ -46,11 +46,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     prepare_llm(prepare(spark))
     key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+
+    def flat(key: Column) -> list[Column]:
+        # plain columns: equal structs may differ in what Spark knows of their NULLs, and be shuffled apart
+        return [key["nameless"].alias("_nameless"), F.coalesce(key["id"].cast("string"), F.lit("")).alias("_id"),
+                key["text"].alias("_hash")]
+
+    names = ["_nameless", "_id", "_hash"]
     groups = simhash_groups(docs.select(key.alias("doc_id"), "text"))
-    first = groups.select(F.col("component_id").alias("_key")).distinct()
-    rows = carried(docs, "doc_id", "text").withColumn("_key", key).join(first, "_key", "left_semi")
+    first = groups.select(*flat(F.col("component_id"))).distinct()
+    rows = carried(docs, "doc_id", "text").select("*", *flat(key)).join(first, names, "left_semi")
     others = F.to_json("_row")
-    kept = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_key").orderBy(others))).filter("_n = 1")
+    kept = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*names).orderBy(others))).filter("_n = 1")
     return restored(kept, docs.columns, "doc_id", "text")
 
 
