@@ -108,6 +108,36 @@ def test_scan_keeps_exact_copies(size, asked):
         assert got == [(1000, int(i), 0.0) for i in sorted(ids[:30])[:10]]
 
 
+def test_queries_probe_on_until_there_are_enough(spark):
+    """With one list probed, a small and far cluster's list holds too few; an id with many near vectors is one."""
+    rng = np.random.default_rng(4)
+    rows = [(1000 + i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(600)]
+    rows += [(i * 100, (50 + rng.standard_normal(8)).astype(np.float32).tolist()) for i in range(4)]
+    rows += [(77, (50 + rng.standard_normal(8) * 0.5).astype(np.float32).tolist()) for _ in range(40)]
+    table = frame(spark, rows)
+    got = {}
+    for r in nearest_neighbours(table, table.filter("vec_id < 1000 AND vec_id % 100 = 0"), probed=0.01).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == {0, 100, 200, 300} and all(len(set(g)) == 10 for g in got.values())
+    assert all({77, 0, 100, 200, 300} - {q} == set(g[:4]) for q, g in got.items())
+
+
+@pytest.mark.parametrize("confidence", [ann.CONFIDENCE, 1e6])
+def test_scan_counts_ids_once(confidence):
+    rng = np.random.default_rng(9)
+    queries, vectors = rng.standard_normal((3, 64)), rng.standard_normal((500, 64))
+    vectors[:60] = queries[0] + rng.standard_normal((60, 64)) * 0.01
+    ids = np.r_[np.full(60, 5), np.arange(10, 450)]
+    got = ann.scan(queries, np.array([1, 2, 3]), vectors, ids, ann.orthonormal(64, 64, ann.SEED), confidence=confidence)
+    for q in range(3):
+        best = {}
+        for i, d in zip(ids, ((vectors - queries[q]) ** 2).sum(axis=1)):
+            best[int(i)] = min(d, best.get(int(i), np.inf))
+        mine = [f[1] for f in got if f[0] == q + 1]
+        want = sorted(best, key=lambda i: (best[i], i))[:10]
+        assert len(set(mine)) == 10 and len(set(mine) & set(want)) >= (10 if confidence > 100 else 7) and (q or mine[0] == 5)
+
+
 def test_neighbours_of_small_and_empty_tables(spark):
     table = frame(spark, [(100, [1.0, 0.0]), (200, [0.0, 1.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0])]).withColumn("list", F.lit(1))
     got = [(r.query_id, r["rank"], r.vec_id) for r in nearest_neighbours(table, table.filter("vec_id % 100 = 0"))

@@ -5,7 +5,8 @@ centroids. Within a list, queries and vectors are rotated at random, so that a s
 first columns, scaled up, estimates the whole. After each block of columns a hypothesis test abandons the
 candidates whose estimate exceeds the query's current k-th distance by more than chance explains. The
 survivors' distances are computed on the original vectors. Lists are worked in blocks of vectors and
-blocks of queries, so a crowded list is many tasks, and a block returns at most k rows per query.
+blocks of queries, so a crowded list is many tasks, and a block returns at most k rows per query. A query
+whose nearest lists hold too few vectors probes on until they hold k others.
 """
 
 from __future__ import annotations
@@ -57,6 +58,8 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
     turned_q, turned_v = queries @ turn.T, vectors @ turn.T
     norms_q, norms_v = (queries ** 2).sum(axis=1), (vectors ** 2).sum(axis=1)
     out = []
+    # with up to n vectors of an id, the best n * nearest vectors are those of `nearest` ids at least
+    bounding = nearest * int(np.unique(ids, return_counts=True)[1].max())
     for q, query_id in enumerate(query_ids):
         alive = np.flatnonzero(ids != query_id)
         partial = np.zeros(len(alive))
@@ -64,10 +67,10 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
         for at in range(0, size, COLUMNS):
             end = min(at + COLUMNS, size)
             partial += ((turned_v[alive, at:end] - turned_q[q, at:end]) ** 2).sum(axis=1)
-            if end == size or len(alive) <= nearest:
+            if end == size or len(alive) <= bounding:
                 break
             # the exact distances of the candidates that look best bound the k-th distance
-            best = np.argpartition(partial, nearest - 1)[:nearest]
+            best = np.argpartition(partial, bounding - 1)[:bounding]
             limit = min(limit, ((vectors[alive[best]] - queries[q]) ** 2).sum(axis=1).max())
             # rotated and original vectors round differently, so a limit of 0 must leave the exact copies
             slack = ROUNDING * (norms_q[q] + norms_v[alive])
@@ -75,11 +78,19 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
             stays[best] = True
             alive, partial = alive[stays], partial[stays]
         distance = np.sqrt(((vectors[alive] - queries[q]) ** 2).sum(axis=1))
-        order = np.lexsort((ids[alive], distance))[:nearest]
+        order = np.lexsort((ids[alive], distance))
+        first = np.sort(np.unique(ids[alive][order], return_index=True)[1])  # an id's nearest vector
+        order = order[first[:nearest]]
         out += [(int(query_id), int(ids[alive[o]]), float(distance[o])) for o in order]
     return out
 
 
+def lists_to_probe(near: np.ndarray, held: np.ndarray, count: int, needed: int) -> list[np.ndarray]:
+    """Of each row's lists, nearest first, the first ``count``, and as many more as it takes to hold ``needed`` vectors."""
+    enough = (np.cumsum(held[near], axis=1) < needed).sum(axis=1) + 1
+    return [row[:n] for row, n in zip(near, np.maximum(enough, count))]
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST, probed: float = PROBED,
                        lists: int = LISTS, confidence: float = CONFIDENCE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (Euclidean distance): the nearest found for each query.
@@ -87,7 +98,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
     Both tables have vec_id and embedding; other columns are not read. A query's candidates are all rows
     with another vec_id. Ties go to the smaller vec_id. Rows with NULL id, vectors that are NULL, empty, zero or
     hold NULL or non-finite components, and vectors whose length is not the most common one take no
-    part. Repeated rows are one; if an id has several vectors, its nearest counts. Empty tables give an empty result.
+    part. Repeated rows are one; if an id has several vectors, its nearest counts. A query gets all ids there are, if
+    fewer than ``nearest``. Empty tables give an empty result.
     """
     spark = vectors.sparkSession
     fields = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
@@ -106,18 +118,23 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
     centroids = fit_centroids(np.array([r.embedding for r in sample]), lists)
     shared = spark.sparkContext.broadcast((centroids, orthonormal(size, size, SEED)))
 
-    def listed(df: DataFrame, count: int) -> DataFrame:
+    def listed(df: DataFrame, choose) -> DataFrame:
         def work(batches):
             for batch in batches:
-                near = nearest_lists(matrix(batch.column(1)), shared.value[0], count)
+                near = choose(nearest_lists(matrix(batch.column(1)), shared.value[0], len(shared.value[0])))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))],
+                    [*batch.columns, pa.array([row.astype(np.int32) for row in near], pa.list_(pa.int32()))],
                     names=["vec_id", "embedding", "lists"])
         return (df.mapInArrow(work, "vec_id bigint, embedding array<double>, lists array<int>")
                 .select("vec_id", "embedding", F.explode("lists").alias("list")))
 
-    placed = saved(listed(rows, 1), "ann-lists")
-    probing = saved(listed(asked, max(1, math.ceil(probed * len(centroids)))), "ann-queries")
+    placed = saved(listed(rows, lambda near: near[:, :1]), "ann-lists")
+    # an id counts in one list only, so lists that hold `nearest` + 1 hold as many ids besides the query's own
+    held_ids = np.zeros(len(centroids), dtype=np.int64)
+    for r in placed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():  # a row per list
+        held_ids[r["list"]] = r["count"]
+    count = max(1, math.ceil(probed * len(centroids)))
+    probing = saved(listed(asked, lambda near: lists_to_probe(near, held_ids, count, nearest + 1)), "ann-queries")
     # blocks per list, from counts of its vectors and queries
     held = placed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("v_blocks"))
     asks = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("q_blocks"))
