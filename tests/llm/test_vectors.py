@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_simhash import groups
@@ -12,6 +13,7 @@ from test_simhash import groups
 from tradeloom.llm import ann, embedding_dedup
 from tradeloom.llm.ann import nearest_neighbours
 from tradeloom.llm.embedding_dedup import embedding_links, lattice_cells
+from tradeloom.llm.vectors import packs
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 ODD = [(901, None), (902, []), (903, [0.0] * 16), (904, [1.0, None] + [0.0] * 14), (905, [float("nan")] * 16),
@@ -36,9 +38,29 @@ def sound(v):
     return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
 
 
-@pytest.mark.parametrize("block", [embedding_dedup.BLOCK, 16])
-def test_links_against_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize("rows", [1, 5, 40, 1000])
+def test_packs_divide_no_run(rows):
+    pick = random.Random(rows)
+    keys = sorted((pick.randrange(6), pick.randrange(3)) for _ in range(300)) + [(9, 9)] * 200
+    batches, at = [], 0
+    while at < len(keys):
+        part = keys[at:at + pick.randrange(0, 30)]
+        at += len(part)
+        batches.append(pa.RecordBatch.from_arrays([pa.array([k[i] for k in part], pa.int64()) for i in (0, 1)], names=["a", "b"]))
+    seen, whole = [], []
+    for table, run in packs(iter(batches), 2, rows):
+        mine = list(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+        assert [x != y for x, y in zip(mine, mine[1:])] == [x != y for x, y in zip(run, run[1:])]
+        seen += mine
+        whole += sorted(set(mine))
+    assert seen == keys and len(whole) == len(set(keys))
+
+
+@pytest.mark.parametrize("block,few", [(embedding_dedup.BLOCK, embedding_dedup.FEW), (16, embedding_dedup.FEW), (16, 20),
+                                       (embedding_dedup.BLOCK, 0)])
+def test_links_against_all_pairs(spark, monkeypatch, block, few):
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "FEW", few)
     rows = vectors(1, 40, [1, 3, 60, 8, 1])
     good = {i: np.array(v, float) / np.linalg.norm(np.array(v, float)) for i, v in rows + [(907, [1.0, 2.0]), (908, [2.0, 4.0])]}
     near = {(a, b) for a, b in itertools.permutations(good, 2)

@@ -7,22 +7,26 @@ the other's home or among the cells it probes, in some table; every candidate's
 pair met in several ways counts where it is met first, which both vectors' cells tell.
 
 Cells are worked in blocks of at most `BLOCK` members, so a crowded cell is many tasks; pairs are products
-of blocks, and only a sum per vector and the links of a spanning forest leave a block.
+of blocks, and only sums per vector and the links of spanning forests leave a task. Most cells have a few
+members; their pairs are compared many cells at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import components, saved
-from tradeloom.llm.vectors import matrix, orthonormal, runs, usable
+from tradeloom.llm.vectors import matrix, orthonormal, packs, usable
 
 COSINE = 0.9
 TABLES, PROBES, SCALE = 8, 6, 2.0
 BLOCK = 1024
+PACK = 8192  # rows of block pairs worked at a time
+FEW = 4096  # pairs up to which a block pair is worked together with others
 SEED = 8
 
 
@@ -109,46 +113,97 @@ def _spanning(adjacent: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def _meet(group: pa.Table, tables: int, probes: int, scale: float, cosine: float):
-    """Link counts and forest links of one block pair of one cell.
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the given links."""
+    parent: dict[int, int] = {}
 
-    Rows have side (1: of the left block), home, cid, copies and embedding.
+    def top(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(up, up)
+        return x
+
+    links = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        p, q = top(x), top(y)
+        if p != q:
+            parent[p] = q
+            links.append((x, y))
+    return links
+
+
+def _paired(left: np.ndarray, right: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every row of ``left`` with every row of ``right`` in its run; both are in order of the runs."""
+    start, end = (np.searchsorted(run[right], run[left], side) for side in ("left", "right"))
+    n = end - start
+    i = np.repeat(left, n)
+    return i, right[np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)]
+
+
+def _close(units: np.ndarray, i: np.ndarray, j: np.ndarray, cosine: float) -> np.ndarray:
+    """Which of the pairs of rows reach the cosine."""
+    out = np.empty(len(i), dtype=bool)
+    step = max(1, (1 << 20) // units.shape[1])
+    for at in range(0, len(i), step):
+        part = slice(at, at + step)
+        out[part] = np.einsum("ij,ij->i", units[i[part]], units[j[part]]) >= cosine
+    return out
+
+
+def _meet(rows: pa.Table, run: np.ndarray, tables: int, probes: int, scale: float, cosine: float, together: int):
+    """Link counts and forest links of whole block pairs of cells.
+
+    Rows have side (1: of the left block), home, cid, copies, tab and embedding, the vectors of one length;
+    ``run`` numbers the block pairs; those of at most ``together`` pairs are compared together.
     """
-    side, home = (group.column(c).to_numpy() for c in ("side", "home"))
-    cid, copies = (group.column(c).to_numpy() for c in ("cid", "copies"))
-    left, right = np.flatnonzero((side == 1) & home), np.flatnonzero(side == 0)
-    if not len(left) or not len(right):
+    side, home, cid, copies, tab = (rows.column(c).to_numpy() for c in ("side", "home", "cid", "copies", "tab"))
+    is_left, is_right = (side == 1) & home, side == 0
+    pairs = np.bincount(run, is_left) * np.bincount(run, is_right)
+    if not pairs.any():
         return None
-    units = _units(group.column("embedding").combine_chunks())
-    close = units[left] @ units[right].T >= cosine
-    # two homes are compared from the smaller id only; a vector is not compared with itself
-    close &= np.where(home[right][None, :], cid[left][:, None] < cid[right][None, :], cid[left][:, None] != cid[right][None, :])
-    i, j = np.nonzero(close)
-    if not len(i):
+    units = _units(rows.column("embedding").combine_chunks())
+
+    def differ(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        # two homes are compared from the smaller id only; a vector is not compared with itself
+        return np.where(home[j], cid[i] < cid[j], cid[i] != cid[j])
+
+    few = (pairs <= together)[run]
+    i, j = _paired(np.flatnonzero(is_left & few), np.flatnonzero(is_right & few), run)
+    keep = differ(i, j)
+    i, j = i[keep], j[keep]
+    keep = _close(units, i, j, cosine)
+    parts = [(i[keep], j[keep])]
+    for many in np.flatnonzero(pairs > together):
+        left, right = np.flatnonzero(is_left & (run == many)), np.flatnonzero(is_right & (run == many))
+        i, j = np.nonzero(units[left] @ units[right].T >= cosine)
+        i, j = left[i], right[j]
+        keep = differ(i, j)
+        parts.append((i[keep], j[keep]))
+    met = np.concatenate([np.r_[i, j] for i, j in parts])
+    if not len(met):
         return None
-    i, j = left[i], right[j]
-    used, place = np.unique(np.r_[i, j], return_inverse=True)
-    keys = cells(units[used], tables, probes, scale)
-    a, b = place[:len(i)], place[len(i):]
-    table, here = group.column("tab")[0].as_py(), np.where(home[j], 0, np.where(cid[i] < cid[j], 1, 2))
-    first = np.empty(len(i), dtype=np.int64)
-    for at in range(0, len(i), 1 << 15):
-        part = slice(at, at + (1 << 15))
-        swap = cid[i[part]] > cid[j[part]]
-        low, high = np.where(swap, b[part], a[part]), np.where(swap, a[part], b[part])
-        first[part] = _first_meeting(keys[low], keys[high])
-    new = first == 3 * table + here
-    i, j = i[new], j[new]
-    if not len(i):
-        return None
-    ids, place = np.unique(np.r_[cid[i], cid[j]], return_inverse=True)
-    a, b = place[:len(i)], place[len(i):]
-    counts = np.zeros(len(ids), dtype=np.int64)
-    np.add.at(counts, a, copies[j])
-    np.add.at(counts, b, copies[i])
-    adjacent = np.zeros((len(ids), len(ids)), dtype=bool)
-    adjacent[a, b] = adjacent[b, a] = True
-    return ids, counts, [(ids[x], ids[y]) for x, y in _spanning(adjacent)]
+    used, sample = np.unique(cid[met], return_index=True)
+    keys = cells(units[met[sample]], tables, probes, scale)
+    counts = np.zeros(len(used), dtype=np.int64)
+    links = []
+    for number, (i, j) in enumerate(parts):
+        here = np.where(home[j], 0, np.where(cid[i] < cid[j], 1, 2))
+        a, b = np.searchsorted(used, cid[i]), np.searchsorted(used, cid[j])
+        first = np.empty(len(i), dtype=np.int64)
+        for at in range(0, len(i), 1 << 15):
+            part = slice(at, at + (1 << 15))
+            first[part] = _first_meeting(keys[np.minimum(a[part], b[part])], keys[np.maximum(a[part], b[part])])
+        new = first == 3 * tab[i] + here
+        i, j, a, b = i[new], j[new], a[new], b[new]
+        np.add.at(counts, a, copies[j])
+        np.add.at(counts, b, copies[i])
+        if number == 0:
+            links += _forest(cid[i], cid[j])
+            continue
+        ids, place = np.unique(np.r_[cid[i], cid[j]], return_inverse=True)
+        adjacent = np.zeros((len(ids), len(ids)), dtype=bool)
+        adjacent[place[:len(i)], place[len(i):]] = adjacent[place[len(i):], place[:len(i)]] = True
+        links += [(ids[x], ids[y]) for x, y in _spanning(adjacent)]
+    return used[counts > 0], counts[counts > 0], links
 
 
 def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES,
@@ -197,14 +252,20 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     dealt = (dealt.select("cell", "i", "j", "side", "home", "cid", "copies", "tab", "embedding")
              .repartition(tasks, "cell", "i", "j").sortWithinPartitions("cell", "i", "j", "cid"))
 
+    together = FEW
+
     def meet(batches):
-        for group in runs(batches, 3):
-            if group.num_rows < 2 or (found := _meet(group, tables, probes, scale, cosine)) is None:
-                continue
-            ids, counts, links = found
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*ids, *[a for a, _ in links]], pa.int64()), pa.array([*counts, *[0] * len(links)], pa.int64()),
-                 pa.array([*[None] * len(ids), *[b for _, b in links]], pa.int64())], names=["a", "n", "b"])
+        for pack, run in packs(batches, 3, PACK):
+            sizes = pc.list_value_length(pack.column("embedding")).to_numpy()
+            for size in np.unique(sizes):
+                own = sizes == size
+                found = _meet(pack if own.all() else pack.filter(pa.array(own)), run[own], tables, probes, scale, cosine, together)
+                if found is None:
+                    continue
+                ids, counts, links = found
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*ids, *[a for a, _ in links]], pa.int64()), pa.array([*counts, *[0] * len(links)], pa.int64()),
+                     pa.array([*[None] * len(ids), *[b for _, b in links]], pa.int64())], names=["a", "n", "b"])
 
     met = saved(dealt.mapInArrow(meet, "a bigint, n bigint, b bigint"), "vector-links")
     counts = met.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))

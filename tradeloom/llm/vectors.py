@@ -49,3 +49,32 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         kept.append(batch.slice(starts[-1], ends[-1] - starts[-1]))
     if kept:
         yield pa.Table.from_batches(kept)
+
+
+def packs(batches: Iterator[pa.RecordBatch], keys: int, rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows in tables of about ``rows`` rows that divide no run of `runs`, with the number of each row's run."""
+    kept: list[pa.RecordBatch] = []
+    held, wanted = 0, rows
+
+    def numbered(table: pa.Table) -> np.ndarray:
+        columns = [table.column(i).to_numpy() for i in range(keys)]
+        return np.cumsum(np.r_[0, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kept.append(batch)
+        held += batch.num_rows
+        if held < wanted:
+            continue
+        table = pa.Table.from_batches(kept).combine_chunks()
+        run = numbered(table)
+        whole = int(np.searchsorted(run, run[-1]))  # the last run may go on
+        if whole:
+            yield table.slice(0, whole), run[:whole]
+        kept = table.slice(whole).to_batches()
+        held = table.num_rows - whole
+        wanted = max(rows, 2 * held)
+    if kept:
+        table = pa.Table.from_batches(kept).combine_chunks()
+        yield table, numbered(table)
