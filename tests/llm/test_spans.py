@@ -9,9 +9,9 @@ from hypothesis import strategies as st
 from llm_helpers import docs_frame, odd_rows, prose
 from pyspark.sql import functions as F
 
-from tradeloom.llm.pii import find_pii, redact
+from tradeloom.llm.pii import apart, find_pii, redact
 from tradeloom.llm.secret_scan import find_secrets
-from tradeloom.llm.spans import joined, normal_cdf
+from tradeloom.llm.spans import MARKED, joined, normal_cdf
 
 PII = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -81,11 +81,27 @@ def test_context_finds_unseen_identifiers(spark):
     rows += [(200 + i, f"{prose(i)} account number: {4000 + i} is open", "en", "a") for i in range(20)]
     got = {r.doc_id: r.s for r in find_pii(docs_frame(spark, rows)).select("doc_id", joined(F.col("spans")).alias("s")).collect()}
     assert all(got[i].count("phone") == 1 for i in range(10, 40))
-    assert all(got[i] == "" for i in [101, *range(200, 220)])
+    assert got[100] == "phone:18:34" and all(got[i] == "" for i in [101, *range(200, 220)])
     mails = [(i, f"{prose(i)} write to user{i}@mail.example now", "en", "a") for i in range(20)]
-    mails += [(50, "write to user77@localhost now", "en", "a"), (51, "write off user77 now", "en", "a")]
-    got = {r.doc_id: r.s for r in find_pii(docs_frame(spark, mails), min_score=0.7).select("doc_id", joined(F.col("spans")).alias("s")).collect()}
-    assert got[51] == ""
+    mails += [(50, "write to user77@localhost now", "en", "a"), (51, "write off user77 now", "en", "a"),
+              (52, "write to user77 at 12 now, look at user77@localhost then, write to 5551234567 now", "en", "a")]
+    got = {r.doc_id: r.s for r in find_pii(docs_frame(spark, mails)).select("doc_id", joined(F.col("spans")).alias("s")).collect()}
+    assert got[50] == "email:9:25" and got[51] == got[52] == ""
+
+
+def test_contexts_with_little_evidence_mark_nothing(spark):
+    """The same words before numbers of which half are no personal data; years, sizes and dates stay."""
+    rows = [(i, f"{prose(i)} call me at +1 (20{i}) 555-01{i:02d} ok", "en", "a") for i in range(10, 25)]
+    rows += [(100 + i, f"{prose(i)} call me at {i} 000 0{i} 11 ok, built at {1900 + i} for {i} 500 000 cars", "en", "a") for i in range(10, 25)]
+    got = {r.doc_id: r.s for r in find_pii(docs_frame(spark, rows)).select("doc_id", joined(F.col("spans")).alias("s")).collect()}
+    assert all(got[i].count("phone") == 1 for i in range(10, 25)) and not any(got[i] for i in range(110, 125))
+
+
+def test_added_spans_stay_apart(spark):
+    marks = [(0, 1, 3, "ip"), (3, 2, 20, "card"), (3, 0, 9, "email"), (4, 3, 9, "phone"), (9, 1, 30, "ip"), (40, 1, 41, "ip")]
+    df = spark.createDataFrame([(marks,), ([],)], f"x {MARKED}")
+    got = [[tuple(m) for m in r.x] for r in df.select(apart(F.col("x")).alias("x")).collect()]
+    assert sorted(got) == [[], [(0, 1, 3, "ip"), (3, 2, 20, "card"), (40, 1, 41, "ip")]]
 
 
 def test_learned_pattern_marks_a_strict_miss(spark):

@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction, with DataFrame functions only.
 
-Strict patterns give the seed entities. Every token with a digit or an ``@`` is an instance; its lexical
-patterns are the words beside it together with its shape. Patterns and instances form a graph that is
+Strict patterns give the seed entities. Every token with a digit or an ``@`` is an instance, and so is every run
+of numbers between single spaces; a pattern is the words beside it together with its shape or, if it may
+be an identifier, with its coarse class alone, which also finds those unlike all seeds. Patterns and instances form a graph that is
 scored in rounds: a pattern's score is the smoothed share of confident instances of a kind among all its
 different instances, and an instance's confidence is that not all of its patterns are wrong. Patterns with
 a high score and enough different confident instances then mark the instances they hold, which the strict
@@ -28,6 +29,8 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+NUMBER = rf"""[+(]?[0-9][0-9().-]*+(?![^{SPACE},;:!?"'])"""
+RUN = rf"(?<![^{SPACE}]){NUMBER}(?:\x20{NUMBER})++"
 LEAD = r"^[^\p{L}\p{N}+]+"
 EDGE = r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$"
 
@@ -70,6 +73,12 @@ def _shape(token: Column) -> Column:
     return F.regexp_replace(shape, "9{5,}", "9+")
 
 
+def _class(value: Column) -> Column:
+    """What an identifier may be by its symbols alone; NULL for what is none (few digits, or more than any kind has)."""
+    return (F.when(value.contains("@"), "@").when(value.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "dotted")
+            .when(F.length(digits(value)).between(7, 19) & ~value.rlike(r"\p{L}"), "many"))
+
+
 def _plain(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"[^\p{L}]", ""))
 
@@ -110,7 +119,7 @@ def with_seeds(tokens: Column, seeds: Column) -> Column:
 
 
 def instances(rows: DataFrame, text: Column) -> DataFrame:
-    """Tokens with a digit or ``@``: place, bare value, the seed kind that covers it, and its patterns.
+    """Tokens with a digit or ``@`` and runs of numbers: place, bare value, the seed kind that covers it, and its patterns.
 
     ``rows`` has the strict spans as ``_found``; the tokens keep the ``key`` of their row.
     """
@@ -120,10 +129,12 @@ def instances(rows: DataFrame, text: Column) -> DataFrame:
         return F.struct(s.alias("s"), (s + F.length(value)).alias("e"), x["m"].alias("m"), x["left"].alias("left"),
                         x["right"].alias("right"), value.alias("value"))
 
-    tokens = F.filter(F.transform(found_between(text, TOKEN), bare), lambda x: x["value"] != "")
-    tokens = (rows.filter(text.rlike("[0-9@]"))
-              .select("key", F.explode(let(tokens, lambda some: with_seeds(some, all_marked(F.col("_found"))))).alias("x"))
-              .select("key", "x.*"))
+    def seeded(pattern: str, sound) -> Column:
+        tokens = F.filter(F.transform(found_between(text, pattern), bare), lambda x: sound(x["value"]))
+        return let(tokens, lambda some: with_seeds(some, all_marked(F.col("_found"))))
+
+    both = F.concat(seeded(TOKEN, lambda v: v != ""), seeded(RUN, lambda v: F.length(digits(v)).between(7, 19)))
+    tokens = rows.filter(text.rlike("[0-9@]")).select("key", F.explode(both).alias("x")).select("key", "x.*")
 
     def word(gap: str, place: Column) -> Column:
         return _plain(F.coalesce(F.get(gap, place), F.lit("#")))
@@ -131,11 +142,29 @@ def instances(rows: DataFrame, text: Column) -> DataFrame:
     for side in ("left", "right"):
         tokens = tokens.withColumn(side, F.array_remove(F.split(side, f"[{SPACE}]+"), ""))
     tokens = tokens.withColumns({"one": word("left", F.size("left") - 1), "two": word("left", F.size("left") - 2),
-                                 "then": word("right", F.lit(0)), "shape": _shape(F.col("value"))})
-    return tokens.select(
-        "key", "s", "e", F.lower("value").alias("value"), "seed", "touched",
-        F.array(F.concat_ws(" ", F.lit("L"), "two", "one", "shape"),
-                F.concat_ws(" ", F.lit("M"), "one", "shape", "then")).alias("patterns"))
+                                 "then": word("right", F.lit(0)), "shape": _shape(F.col("value")),
+                                 "class": _class(F.col("value"))})
+    exact = F.when(~F.col("value").contains(" "), F.array(F.concat_ws(" ", F.lit("L"), "two", "one", "shape"),
+                                                          F.concat_ws(" ", F.lit("M"), "one", "shape", "then")))
+    words = F.col("class").isNotNull() & (F.col("one") != "")
+    lexical = F.filter(F.array(F.when(words & (F.col("two") != ""), F.concat_ws(" ", F.lit("l"), "two", "one", "class")),
+                               F.when(words & (F.col("then") != ""), F.concat_ws(" ", F.lit("m"), "one", "class", "then"))),
+                       lambda p: p.isNotNull())
+    return tokens.select("key", "s", "e", F.lower("value").alias("value"), "seed", "touched",
+                         F.concat(F.coalesce(exact, F.array().cast("array<string>")), lexical).alias("patterns"))
+
+
+def apart(added: Column) -> Column:
+    """Marked spans in order, those that begin inside a longer one or one before left out."""
+    ordered = F.array_sort(F.transform(added, lambda x: F.struct(
+        x["s"].alias("s"), (-x["e"]).alias("longest"), x["r"].alias("r"), x["e"].alias("e"), x["kind"].alias("kind"))))
+
+    def step(end: Column, x: Column) -> tuple[Column, Column]:
+        kept = F.when(x["s"] >= end, F.struct(*[x[c].alias(c) for c in ("s", "r", "e", "kind")]))
+        return F.when(x["s"] >= end, x["e"]).otherwise(end), kept
+
+    kept = scan(ordered, F.lit(0), step, "struct<s:int,r:int,e:int,kind:string>")
+    return F.filter(kept, lambda x: x.isNotNull())
 
 
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE,
@@ -173,7 +202,7 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE
 
     ``base`` holds the strict matches, ``spans`` also what trusted patterns add. All rows and columns stay
     (columns named base or spans are replaced); equal texts get equal spans. NULL and empty texts have none. Spans
-    of different kinds may overlap; added ones touch no strict one. An empty table gives an empty result.
+    of different kinds may overlap; added ones touch no strict one and no other added one. An empty table gives an empty result.
     """
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -187,7 +216,7 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE
               .join(trusted, "pattern").groupBy("key", "s", "e")
               .agg(F.max_by("kind", F.struct("score", "kind")).alias("kind")))
     added = unseen.groupBy("key").agg(F.collect_set(F.struct(
-        "s", rank.cast("int").alias("r"), "e", "kind")).alias("_added")).withColumnRenamed("key", "_key")
+        "s", rank.cast("int").alias("r"), "e", "kind")).alias("_added")).select(F.col("key").alias("_key"), apart(F.col("_added")).alias("_added"))
     out = rows.withColumn("_key", key).join(added, "_key", "left")
     out = out.withColumn("base", listed(all_marked(F.col("_found"))))
     out = out.withColumn("spans", listed(F.concat("base", F.coalesce("_added", no_spans()))))
