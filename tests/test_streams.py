@@ -13,6 +13,9 @@ from tests_helpers import expected_history
 from tradeloom.operators.quality import dropped_in_stream
 from tradeloom.schemas import BRONZE, FACTS, ORDERS_RAW, Table
 from tradeloom.sources.admission import Admission
+from tradeloom.sources.documents import write_landing
+from tradeloom.sources.landing import split_documents
+from tradeloom.sources.star import Star
 from tradeloom.streaming import counts, pipeline, sinks
 from tradeloom.streaming.dedup import dedup_stream
 from tradeloom.streaming.key_index import KeyIndex, append_unique
@@ -469,3 +472,21 @@ def test_backfill_takes_every_shape(spark, folder):
     rejects = sinks.read_table(spark, store.table("backfill_rejects"), pipeline.BACKFILL_REJECTS).collect()
     assert sorted((r.key or "", r._rescued_data) for r in rejects) == [
         ("", '{"_corrupt_record":"{\\"key\\": \\"b\\", \\"value\\": "}'), ("2", '{"new":"1"}'), ("3", '{"new":"1"}')]
+
+
+def test_texts_are_taken_apart_once(spark, folder):
+    land(folder, "a", [{"key": "1"}])
+    documents = split_documents(spark.read.text(folder, wholetext=True))
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType(StringType") == 2  # the text, and an array found in it
+    empty = spark.createDataFrame([("[]",), (" ",), ('{"a": 1}\r\n{"a": 2}',)], "value STRING")
+    assert [(r._document, r.value) for r in split_documents(empty).collect()] == [(0, '{"a":1}'), (1, '{"a":2}')]
+
+
+def test_files_of_the_test_feed_follow_its_tasks(spark, folder):
+    write_landing(Star(spark, "/root/testdata/sf0.01"), f"{folder}/in")
+    texts = spark.read.text(f"{folder}/in")
+    documents, files = texts.count(), len(texts.inputFiles())
+    assert documents > 100 and files < documents / 2
+    got = ingest(spark, f"{folder}/in", Store(f"{folder}/store"), multi_line=False)
+    assert got.count() == documents and got.filter("value IS NULL").isEmpty()
