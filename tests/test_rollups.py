@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tradeloom.plans import metric_queries as q
 from tradeloom.plans.metrics import Lookup, MetricView, metric_views
-from tradeloom.plans.rollups import Parts, Rollups, build_rollups, number_keys
+from tradeloom.plans.rollups import Parts, Rollups, _bitmaps, build_rollups, number_keys
 from tradeloom.registry.batch import AS_OF, YEAR
+from tradeloom.registry.rollups import _Rollups
 from tradeloom.sources.star import Star
 
 FOLDER = "/root/testdata/sf0.001"
@@ -88,3 +89,17 @@ def test_rebuilding_keeps_numbers(spark, folder):
     rollups = Rollups(spark, f"{folder}/r", grown, PARTS_OF).build({"kind": ["Kind"]})
     got, want = (sorted(map(repr, x.query(["Kind"], {"o": "Orders"}).collect())) for x in (rollups, grown))
     assert got == want
+
+
+def test_bitmaps_are_made_after_the_shuffle(spark, folder):
+    rollups = Rollups(spark, folder, small_view(spark), PARTS_OF).build({"kind": ["Kind"]})
+    numbers = rollups._read("finest", "orders")
+    assert "bits" not in numbers.columns and numbers.count() == numbers.distinct().count()
+    plan = _bitmaps(numbers, ["Kind"])._jdf.queryExecution().sparkPlan().toString()
+    above, below = plan.split("Exchange")
+    assert "bitmap_construct_agg" in above and "bitmap_construct_agg" not in below
+
+
+def test_only_views_that_are_asked_for_are_built(spark):
+    built = _Rollups(spark, FOLDER)
+    assert built["metric_returns"] is built["metric_returns"] and list(built) == ["metric_returns"]

@@ -1,9 +1,10 @@
 """Stored rollups of metric views, with distinct counts that add up, and the choice of one for each query.
 
 A rollup holds, per combination of some dimensions, what the measures are made of: sums and counts, which add up to any
-coarser grain, and for every distinct count the set of keys as bitmaps. Keys get dense numbers, given once and kept,
-so a bitmap is exact; the union over days is a bitwise or, and the distinct count of a month or a quarter
-is the number of bits. No query expands rows or counts keys again.
+coarser grain, and for every distinct count the set of keys. Keys get dense numbers, given once and kept. The finest rollup
+holds sets as numbers, a row each: its many sets of few keys would be mostly empty bitmaps. The coarser ones
+hold bitmaps, which are exact; the union over months is a bitwise or, and a distinct count is the number of bits. No query
+expands rows or looks at the keys themselves again.
 
 Coarser rollups are made from the finest one. A query is answered from the smallest stored rollup that has all dimensions
 it names, in its conditions too, and from the fact if none has.
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.plans.metrics import Asked, MetricView
+from tradeloom.session import remove_folder
 
 
 @dataclass(frozen=True)
@@ -117,6 +119,14 @@ def _ored(bits: DataFrame, keys: Sequence[str]) -> DataFrame:
     return bits.groupBy(*_quoted(keys), "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
+def _bitmaps(numbers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The sets of a finest rollup as bitmaps of coarser keys. The numbers are shuffled and not the bitmaps, of which
+    each task would have one with few bits for almost every number."""
+    placed = numbers.select(*_quoted(keys), F.bitmap_bucket_number("id").alias("bucket"), F.bitmap_bit_position("id").alias("at"))
+    return (placed.repartition(*_quoted(keys), "bucket").groupBy(*_quoted(keys), "bucket")
+            .agg(F.bitmap_construct_agg("at").alias("bits")))
+
+
 def _quoted(names: Sequence[str]) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
@@ -137,17 +147,17 @@ class Rollups:
         aggregates = [F.expr(e).alias(p) for p, e in self.parts.sums.items()]
         rows.groupBy(*_quoted(finest)).agg(*aggregates).write.mode("overwrite").parquet(self._path("finest", "sums"))
         for part, column in self.parts.distinct.items():
-            pairs = rows.select(*_quoted(finest), F.col(column).alias("key")).filter("key IS NOT NULL").distinct()
-            ids = number_keys(spark, rows.select(F.col(column).alias("key")).filter("key IS NOT NULL").distinct(),
-                              f"{self.root}/ids/{part}")
-            bits = pairs.join(ids, "key").groupBy(*_quoted(finest), F.bitmap_bucket_number("id").alias("bucket")).agg(
-                F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
-            bits.write.mode("overwrite").parquet(self._path("finest", part))
+            pairs, work = rows.select(*_quoted(finest), F.col(column).alias("key")), f"{self.root}/work/{part}"
+            pairs.filter("key IS NOT NULL").distinct().write.mode("overwrite").parquet(work)
+            pairs = spark.read.parquet(work)
+            ids = number_keys(spark, pairs.select("key").distinct(), f"{self.root}/ids/{part}")
+            pairs.join(ids, "key").drop("key").write.mode("overwrite").parquet(self._path("finest", part))
+            remove_folder(spark, work)
         for grain, names in coarser.items():
             sums = self._read("finest", "sums").groupBy(*_quoted(names)).agg(*(F.sum(p).alias(p) for p in self.parts.sums))
             sums.write.mode("overwrite").parquet(self._path(grain, "sums"))
             for part in self.parts.distinct:
-                _ored(self._read("finest", part), names).write.mode("overwrite").parquet(self._path(grain, part))
+                _bitmaps(self._read("finest", part), names).write.mode("overwrite").parquet(self._path(grain, part))
         sizes = [(g, self._read(g, "sums").count()) for g in ("finest", *coarser)]
         spark.createDataFrame(sizes, "grain string, n long").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/grains")
         return self
@@ -182,7 +192,8 @@ class Rollups:
 
         result = within("sums").groupBy(*_quoted(keys)).agg(F.count(F.lit(1)).alias("_rows"), *(F.sum(p).alias(p) for p in sums))
         for part in distinct:
-            counted = _ored(within(part), keys).groupBy(*_quoted(keys)).agg(F.sum(F.bitmap_count("bits")).alias("_count"))
+            sets = _bitmaps(within(part), keys) if grain == "finest" else _ored(within(part), keys)
+            counted = sets.groupBy(*_quoted(keys)).agg(F.sum(F.bitmap_count("bits")).alias("_count"))
             other = counted.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], "_count")
             same = reduce(and_, (F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)), F.lit(True))
             result = (result.join(other, same, "left").withColumn(part, F.coalesce("_count", F.lit(0)))

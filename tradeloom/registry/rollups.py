@@ -1,4 +1,4 @@
-"""Reports answered from stored rollups, which are built once per session and folder of tables."""
+"""Reports answered from stored rollups, which are built when first asked, once per session and folder of tables."""
 
 from __future__ import annotations
 
@@ -16,13 +16,25 @@ from tradeloom.sources.star import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_BUILT: dict[tuple[str, str], dict] = {}
+class _Rollups(dict):
+    """View name to its stored rollups; only views that a report asks for are built."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__()
+        self.spark, self.views = spark, metric_views(Star(spark, folder), AS_OF)
 
-def _rollups(spark: SparkSession, folder: str) -> dict:
+    def __missing__(self, name: str):
+        self[name] = build_rollups(self.spark, {name: self.views[name]}, work_dir(self.spark, "rollups"))[name]
+        return self[name]
+
+
+_BUILT: dict[tuple[str, str], _Rollups] = {}
+
+
+def _rollups(spark: SparkSession, folder: str) -> _Rollups:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _BUILT:
-        _BUILT[key] = build_rollups(spark, metric_views(Star(spark, folder), AS_OF), work_dir(spark, "rollups"))
+        _BUILT[key] = _Rollups(spark, folder)
     return _BUILT[key]
 
 
