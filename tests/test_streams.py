@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from tests_helpers import expected_history
 from tradeloom.operators.quality import dropped_in_stream
-from tradeloom.schemas import BRONZE, FACTS, ORDERS_RAW, Table
+from tradeloom.schemas import BRONZE, FACTS, LANDING_ENTITIES, ORDERS_RAW, Table
 from tradeloom.sources.admission import Admission
 from tradeloom.sources.documents import write_landing
-from tradeloom.sources.landing import split_documents
+from tradeloom.sources.landing import parse_documents, split_documents
 from tradeloom.sources.star import Star
 from tradeloom.streaming import counts, pipeline, sinks
 from tradeloom.streaming.dedup import dedup_stream
@@ -490,3 +490,25 @@ def test_files_of_the_test_feed_follow_its_tasks(spark, folder):
     assert documents > 100 and files < documents / 2
     got = ingest(spark, f"{folder}/in", Store(f"{folder}/store"), multi_line=False)
     assert got.count() == documents and got.filter("value IS NULL").isEmpty()
+
+
+def test_texts_of_known_members_are_parsed_once_and_equal_the_long_way(spark):
+    row = '{"customer_id":"1","region":"E: \'x\'","address":{"city":"c"}}'
+    known = ['{"key":"a","value":{"customers":[%s,%s]}}' % (row, row), '{"customers":[%s]}' % row, "{}",
+             '{"key":"b"},{"key":"c"}', '{"key":"d"}\n{"key":"e"}', '{"key":"a\\nb","value":{"returns":[]}}']
+    others = ['{"key":"a","more":1}', '{"key":"a","value":{"more":{}}}', '{"key":"a","value":{"customers":[{"more":1}]}}',
+              '{"key":"a","value":{"customers":[{"city":"c"}]}}', '{"customers":[{"customer_id":"1","address":{"more":"c"}}]}',
+              '{"key":"a","more" :1}', "{'key':\"a\",'more':1}", '{"key":"a","key":"b"}', '{"key":null,"more":1}',
+              '{"key":"a","x\\"key":1}', '{"key":"a","\\u006bey2":1}', '{"key":"say \\"key\\":"}', "null", "3", "[null]",
+              '[{"key":"a"}]', '{"key":"a"},null', '{"key":"a"}],"documents":[{"key":"b"}', '{"key":"a"},{"key":',
+              '{"key":"a"}]}', '{"customers":[{"credit_limit":"x"}]}', '{"customers":[3]}', '{"key":"a"} {"key":"b"}',
+              '{"key":"end of documents"},', '{"_corrupt_record":"x"}', '{"key":"a","value":null}', " "]
+    entities = tuple(LANDING_ENTITIES)
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(known + others)], "id INT, value STRING")
+    found = split_documents(texts, entities)
+    read = {r.id for r in found.filter("_known IS NOT NULL").collect()}
+    assert read == set(range(len(known)))
+
+    def rows(documents):
+        return sorted(str(r) for r in parse_documents(documents, entities).collect())
+    assert rows(found) == rows(split_documents(texts))
