@@ -14,7 +14,8 @@ from llm_helpers import docs_frame, odd_rows
 from pyspark.sql import functions as F
 
 from tradeloom.llm.base import held_out
-from tradeloom.llm.lm_scoring import fit, count_words, lm_scores
+from tradeloom.llm import pieces
+from tradeloom.llm.lm_scoring import fit, count_words, first_weights, lm_scores
 from tradeloom.llm.pieces import MARK, Lattice, built, load_vocabulary, share
 from tradeloom.llm.sentencepiece_codec import Codec, decode, encode
 
@@ -155,3 +156,21 @@ def test_workers_follow_the_broadcast(spark):
         made = spark.range(8, numPartitions=2).mapInArrow(work, "made string").collect()
         assert {r.made for r in made} == {str(i)}
         shared.destroy()
+
+
+def test_plain_probabilities_equal_logarithms_and_give_way_to_them(vocabulary, monkeypatch):
+    lattice = Lattice((vocabulary, first_weights(vocabulary, 0.01)))
+    words = [MARK + w for w in ("a", "of", "segmentations", "x" * 20, "an" * 30)]
+    long = MARK + "xq7" * 400
+
+    def results(word):
+        counts = [0.0] * len(lattice.weights)
+        lattice.expected(word, 3, counts)
+        return [lattice.log_probability(word), *counts]
+
+    assert all(lattice._expected_of_short(w, 1, [0.0] * len(lattice.weights)) for w in words)
+    assert not lattice._expected_of_short(long, 1, [])
+    plain = [results(w) for w in [*words, long]]
+    monkeypatch.setattr(pieces, "TINY", math.inf)
+    for found, word in zip(plain, [*words, long]):
+        assert found == pytest.approx(results(word), rel=1e-9, abs=1e-12)

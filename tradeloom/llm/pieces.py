@@ -12,6 +12,7 @@ import sentencepiece
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space in pieces
+TINY = 1e-200  # a word less likely than that is computed in logarithms
 UNKNOWN_PENALTY = 10.0  # below the lowest score, for characters that only bytes can spell
 
 
@@ -87,12 +88,12 @@ class Lattice:
     def __init__(self, given: tuple[Vocabulary, list[float]]):
         self.vocabulary, self.weights = given
         weights = self.weights
-        self.find = automaton({p: (len(p), i, weights[i]) for p, i in self.vocabulary.pieces.items()})
+        self.find = automaton({p: (len(p), i, weights[i], math.exp(weights[i])) for p, i in self.vocabulary.pieces.items()})
         self.single = frozenset(p for p in self.vocabulary.pieces if len(p) == 1)
 
     def arcs(self, word: str) -> list[tuple[int, int, float, tuple[int, ...]]]:
         """(start, end, weight, pieces) in order of the end."""
-        arcs = [(end + 1 - n, end + 1, w, (i,)) for end, (n, i, w) in self.find.iter(word)]
+        arcs = [(end + 1 - n, end + 1, w, (i,)) for end, (n, i, w, _) in self.find.iter(word)]
         if not self.single.issuperset(word):
             for at, c in enumerate(word):
                 if c not in self.single:
@@ -117,11 +118,16 @@ class Lattice:
     def log_probability(self, word: str) -> float:
         if not self.single.issuperset(word):
             return self.forward(word)[-1]
+        chance = [1.0] + [0.0] * len(word)
+        for end, (n, _, _, p) in self.find.iter(word):
+            chance[end + 1] += chance[end + 1 - n] * p
+        if chance[-1] > TINY:
+            return math.log(chance[-1])
         # every character is a piece, so each prefix has a segmentation once its last character is reached
         exp, log1p, low = math.exp, math.log1p, -math.inf
         total = [low] * (len(word) + 1)
         total[0] = 0.0
-        for end, (n, _, w) in self.find.iter(word):
+        for end, (n, _, w, _) in self.find.iter(word):
             new, old = total[end + 1 - n] + w, total[end + 1]
             if old == low:
                 total[end + 1] = new
@@ -131,11 +137,28 @@ class Lattice:
                 total[end + 1] = new + log1p(exp(old - new))
         return total[-1]
 
+    def _expected_of_short(self, word: str, times: float, counts: list[float]) -> bool:
+        """`expected` with plain probabilities, for words of pieces only; False, and nothing added, if they get too small."""
+        arcs = [(end + 1 - n, end + 1, p, i) for end, (n, i, _, p) in self.find.iter(word)]
+        ahead = [1.0] + [0.0] * len(word)
+        for start, end, p, _ in arcs:
+            ahead[end] += ahead[start] * p
+        if not ahead[-1] > TINY:
+            return False
+        back = [0.0] * len(word) + [times / ahead[-1]]
+        for start, end, p, i in reversed(arcs):
+            tail = p * back[end]
+            counts[i] += ahead[start] * tail
+            back[start] += tail
+        return True
+
     def expected(self, word: str, times: float, counts: list[float]) -> None:
         """Add the expected uses of each piece in so many occurrences of the word."""
         exp, log1p, low = math.exp, math.log1p, -math.inf
         spelled = not self.single.issuperset(word)
-        arcs = self.arcs(word) if spelled else [(end + 1 - n, end + 1, w, i) for end, (n, i, w) in self.find.iter(word)]
+        if not spelled and self._expected_of_short(word, times, counts):
+            return
+        arcs = self.arcs(word) if spelled else [(end + 1 - n, end + 1, w, i) for end, (n, i, w, _) in self.find.iter(word)]
         ahead = self.forward(word, arcs)
         whole = ahead[-1]
         back = [low] * (len(word) + 1)
