@@ -10,6 +10,7 @@ from tradeloom.plans import metric_queries as mq
 from tradeloom.plans.marts import MARTS, mart, publish_marts
 from tradeloom.plans.metrics import full_grain, metric_views
 from tradeloom.registry.batch import AS_OF
+from tradeloom.session import prepare
 from tradeloom.sources.star import SILVER, Star
 from tradeloom.streaming.sinks import publish
 
@@ -95,3 +96,11 @@ def test_marts_are_published(spark, tables, folder):
     publish_marts(tables, AS_OF, lambda name: f"{folder}/{name}")
     assert spark.read.parquet(f"{folder}/monthly_revenue").count() == 80
     assert spark.read.parquet(f"{folder}/current_month_kpis").count() == 5
+
+
+def test_tasks_of_distinct_counts_read_little(spark):
+    """A task that multiplies and combines rows must not get more of them because its session merges more."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    other.conf.set(key, "64m")
+    assert prepare(other).conf.get(key) == "16m"

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 # Settings every run needs for right results or bounded memory.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,6 +17,9 @@ BASE_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What a task reads of a shuffle is merged up to this size. Distinct counts multiply each row before they are combined,
+    # and packed rows grow thirtyfold in a hash map: a task's memory follows this size, not that of the tables.
+    MERGED: "16m",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # a checkpoint of the state writes what changed, not the whole state
@@ -26,7 +31,6 @@ BASE_CONF = {
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "2000",  # also the number of streaming state partitions
@@ -46,11 +50,17 @@ def build_session(app_name: str = "tradeloom", master: str | None = None, cluste
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on in a session somebody else built."""
+def prepare(spark: SparkSession, small_tasks: bool = True) -> SparkSession:
+    """Pin the settings results depend on in a session somebody else built, and, with ``small_tasks``, what a task reads
+    of a shuffle; without, that is as the session was begun with."""
     for key, value in BASE_CONF.items():
         if key.startswith(("spark.sql.session.", "spark.sql.streaming.", "spark.sql.mapKey")):
             spark.conf.set(key, value)
+    begun = spark.sparkContext.getConf().get(MERGED, "64m")
+    if small_tasks:
+        spark.conf.set(MERGED, BASE_CONF[MERGED])
+    elif spark.conf.get(MERGED) == BASE_CONF[MERGED]:
+        spark.conf.set(MERGED, begun)
     return spark
 
 
