@@ -4,6 +4,7 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradeloom.operators.quality import referential_integrity
 from tradeloom.plans import metric_queries as mq
@@ -104,3 +105,16 @@ def test_tasks_of_distinct_counts_read_little(spark):
     other = spark.newSession()
     other.conf.set(key, "64m")
     assert prepare(other).conf.get(key) == "16m"
+
+
+def test_pieces_and_parts_of_a_task_do_not_grow_with_the_tables(spark):
+    """Few shuffle parts cannot be merged to a size, only be larger than it; a map task sorts all it reads."""
+    other, pieces = spark.newSession(), "spark.sql.files.maxPartitionBytes"
+    other.conf.set("spark.sql.shuffle.partitions", "4")
+
+    def parts():
+        return re.search(r"hashpartitioning\(.*, (\d+)\)", plan(other.range(10).groupBy((F.col("id") % 3).alias("k")).count()))[1]
+
+    assert (prepare(other).conf.get(pieces), parts()) == ("16m", "1000")
+    assert (prepare(other, small_pieces=False).conf.get(pieces) != "16m", parts()) == (True, "1000")
+    assert (prepare(other, small_tasks=False).conf.get(pieces) != "16m", parts()) == (True, "4")
