@@ -116,5 +116,5 @@ def test_pieces_and_parts_of_a_task_do_not_grow_with_the_tables(spark):
         return re.search(r"hashpartitioning\(.*, (\d+)\)", plan(other.range(10).groupBy((F.col("id") % 3).alias("k")).count()))[1]
 
     assert (prepare(other).conf.get(pieces), parts()) == ("16m", "1000")
-    assert (prepare(other, small_pieces=False).conf.get(pieces) != "16m", parts()) == (True, "1000")
+    assert (prepare(other, small_pieces=False).conf.get(pieces) != "16m", parts()) == (True, "4")
     assert (prepare(other, small_tasks=False).conf.get(pieces) != "16m", parts()) == (True, "4")

@@ -26,10 +26,12 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# For sessions that set none of their own. A shuffle starts from so many parts, which are merged up to the size above: with few
-# parts each would grow with the tables. A batch query reads files in pieces of this size, as its map tasks sort what they send.
-PARTS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000"}
-PIECES = {"spark.sql.files.maxPartitionBytes": "16m"}
+# For batch queries, in sessions that set none of their own. A shuffle starts from so many parts, which are merged up to the
+# size above: with few parts each would grow with the tables. Files are read in pieces, as map tasks sort what they send.
+PIECES = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.files.maxPartitionBytes": "16m",
+}
 
 # Settings for large inputs: start from many small shuffle partitions and let AQE merge them up to
 # the advisory size, so the same code fits 1 GB and 100 TB without a hand-picked partition count.
@@ -57,7 +59,7 @@ def build_session(app_name: str = "tradeloom", master: str | None = None, cluste
 
 def prepare(spark: SparkSession, small_tasks: bool = True, small_pieces: bool = True) -> SparkSession:
     """Pin the settings results depend on in a session somebody else built, and, with ``small_tasks``, what a task reads
-    of a shuffle and, with ``small_pieces``, of a file; without, that is as the session was begun with."""
+    of a shuffle, with ``small_pieces`` from many parts and pieces of files; without, that is as the session was begun with."""
     for key, value in BASE_CONF.items():
         if key.startswith(("spark.sql.session.", "spark.sql.streaming.", "spark.sql.mapKey")):
             spark.conf.set(key, value)
@@ -66,10 +68,9 @@ def prepare(spark: SparkSession, small_tasks: bool = True, small_pieces: bool =
         spark.conf.set(MERGED, BASE_CONF[MERGED])
     elif spark.conf.get(MERGED) == BASE_CONF[MERGED]:
         spark.conf.set(MERGED, begun.get(MERGED, "64m"))
-    for settings, wanted in ((PARTS, small_tasks), (PIECES, small_tasks and small_pieces)):
-        for key, value in settings.items():
-            if not begun.contains(key):
-                spark.conf.set(key, value) if wanted else spark.conf.unset(key)
+    for key, value in PIECES.items():
+        if not begun.contains(key):
+            spark.conf.set(key, value) if small_tasks and small_pieces else spark.conf.unset(key)
     return spark
 
 
