@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests_helpers import expected_history
 from tradeloom.operators.quality import dropped_in_stream
 from tradeloom.schemas import BRONZE, FACTS, LANDING_ENTITIES, ORDERS_RAW, Table
+from tradeloom.session import COUNTED, state_partitions
 from tradeloom.sources.admission import Admission
 from tradeloom.sources.documents import write_landing
 from tradeloom.sources.landing import parse_documents, split_documents
@@ -318,6 +319,17 @@ def run_unique(spark, folder, batches, **options):
     return sorted((r.k, r.v) for r in sinks.read_table(spark, f"{folder}/out", KEYED).collect()), sizes
 
 
+def test_registered_streams_leave_their_state_uncounted(spark, folder):
+    """Its rows are the same, and afterwards the session counts as before."""
+    rows = [("a", "1", T0), ("a", "2", T0), ("b", "3", T0)]
+    assert run_unique(spark, f"{folder}/counted", [rows[:1]])[1][0] > 0
+    before = spark.conf.get(COUNTED, None)
+    with state_partitions(spark, 2):
+        got, sizes = run_unique(spark, f"{folder}/uncounted", [rows[:1], rows[1:]])
+    assert got == [("a", "1"), ("b", "3")] and sizes == [0, 0]
+    assert spark.conf.get(COUNTED, None) == before
+
+
 def test_bounded_state_and_a_copy_after_the_watermark(spark, folder):
     """Twelve batches, ten days apart: the state does not grow, copies of every age are dropped, segments merge."""
     day = dt.timedelta(days=1)
