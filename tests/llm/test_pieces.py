@@ -132,6 +132,19 @@ def test_scores_against_a_plain_version(spark, vocabulary, heavy):
         (plain(r[0], r[1]) for r in rows), key=repr)
 
 
+def test_rare_words_meet_their_table_unsorted(spark, monkeypatch):
+    """In batches smaller than a text has words; equal texts score alike."""
+    monkeypatch.setattr("tradeloom.llm.lm_scoring.ROWS", 3)
+    docs = spark.createDataFrame([(1, "a b c d e f g a", True), (2, None, True), (3, "a b c d e f g a", False)],
+                                 "doc_id bigint, text string, train boolean")
+    scores = lm_scores(docs, heavy=1)
+    plan = scores._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    got = {r.doc_id: r for r in scores.collect()}
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in (got[1], got[2], got[3])] == [(9, 9, 10), (1, 1, 10), (9, 9, 10)]
+    assert got[1].score == pytest.approx(got[3].score) and got[2].score > got[1].score
+
+
 def test_empty_table(spark):
     docs = docs_frame(spark, odd_rows()).limit(0).withColumn("train", F.lit(True))
     assert lm_scores(docs).count() == 0

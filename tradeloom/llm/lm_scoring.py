@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -28,6 +28,7 @@ from tradeloom.llm.pieces import MARK, MODEL, Lattice, Vocabulary, built, load_v
 HEAVY = 1 << 16
 ROUNDS, SMOOTHING = 2, 0.1
 FLUSH = 200_000  # different words a task counts before it passes them on
+ROWS = 50_000  # of a batch that a task passes on
 END = b""  # the end of a text, counted like a word; no word is empty
 
 
@@ -158,37 +159,64 @@ def lm_scores(docs: DataFrame, path: str = MODEL, rounds: int = ROUNDS, heavy: i
                             ("copies", pa.int64()), ("out", pa.bool_()), ("tokens", pa.int64()),
                             ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
-        def rows(batch):
+        def documents(batch):
             for doc_id, text, learn in zip(*(c.to_pylist() for c in (batch.column(0), batch.column(1).cast(pa.binary()),
                                                                     batch.column(2)))):
                 h = xxhash.xxh3_64_intdigest(text or b"") - (1 << 63)
                 found = Counter(_words(text))
                 found[END] = 1
                 n_known, base_sum, score = 0, 0.0, 0.0
-                for word, n in found.items():
-                    hit = top.get(word)
-                    if hit is None:
-                        yield doc_id, h, word, n, 0, None, 0, 0, 0.0, 0.0
-                    else:
-                        n_known += n
-                        base_sum += n * hit[0]
-                        score += n * hit[1]
+                tokens = sum(found.values())
+                for word in [w for w in found if w in top]:
+                    n, hit = found.pop(word), top[word]
+                    n_known += n
+                    base_sum += n * hit[0]
+                    score += n * hit[1]
                 # under a key no word has, so that these rows are dealt out evenly
                 own = b" %d %d" % (h, doc_id or 0)
-                yield doc_id, h, own, 0, 1, not learn, sum(found.values()), n_known, base_sum, score
+                yield doc_id, h, own, not learn, tokens, n_known, base_sum, score, found
+
+        def rows(some):
+            """A row per document, then one for each of its words that is not broadcast."""
+            count, words, times = [len(d[-1]) for d in some], [d[2] for d in some], [0] * len(some)
+            for d in some:
+                words.extend(d[-1].keys())
+                times.extend(d[-1].values())
+            others = sum(count)
+            place = np.concatenate([np.arange(len(some)), np.repeat(np.arange(len(some)), count)])
+
+            def own(i, kind, rest):
+                return pa.concat_arrays([pa.array([d[i] for d in some], kind), rest])
+
+            nothing, zero = pa.array(np.zeros(others, np.int64)), pa.array(np.zeros(others))
+            whole = pa.RecordBatch.from_arrays(
+                [pa.array([d[0] for d in some], id_type[0]).take(pa.array(place)),
+                 pa.array([d[1] for d in some], pa.int64()).take(pa.array(place)),
+                 pa.array(words, pa.binary()), pa.array(times, pa.int64()),
+                 pa.concat_arrays([pa.array(np.ones(len(some), np.int64)), nothing]), own(3, pa.bool_(), pa.nulls(others, pa.bool_())),
+                 own(4, pa.int64(), nothing), own(5, pa.int64(), nothing), own(6, pa.float64(), zero),
+                 own(7, pa.float64(), zero)], schema=schema)
+            return [whole.slice(at, ROWS) for at in range(0, whole.num_rows, ROWS)]
 
         for batch in batches:
             id_type[0] = batch.schema.field(0).type
             schema = schema.set(0, pa.field("doc_id", id_type[0]))
-            made = rows(batch)
-            while part := list(islice(made, 50_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
+            some, held = [], 0
+            for document in documents(batch):
+                some.append(document)
+                held += len(document[-1]) + 1
+                if held >= ROWS:
+                    yield from rows(some)
+                    some, held = [], 0
+            if some:
+                yield from rows(some)
 
     id_type = [pa.int64()]
     parts = docs.select("doc_id", "text", "train").mapInArrow(
         work, f"doc_id {kind}, h bigint, word binary, n bigint, copies bigint, out boolean, "
               "tokens bigint, known bigint, base double, score double")
-    met = parts.join(words.filter(F.col("c") < floor), "word", "left")
+    # the words' side has each word once, so its parts are even and far smaller: only they are held, nothing is sorted
+    met = parts.join(words.filter(F.col("c") < floor).hint("shuffle_hash"), "word", "left")
     c, n = F.coalesce("c", F.lit(0)), F.col("n")
     per_text = met.groupBy("doc_id", "h").agg(
         F.sum("copies").alias("copies"), F.max("out").alias("held_out"), F.sum("tokens").alias("tokens"),
