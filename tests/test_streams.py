@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+import time
 from pathlib import Path
 
 import pytest
@@ -12,11 +13,11 @@ from pyspark.sql import functions as F
 from tests_helpers import expected_history
 from tradeloom.operators.quality import dropped_in_stream
 from tradeloom.schemas import BRONZE, FACTS, LANDING_ENTITIES, ORDERS_RAW, Table
-from tradeloom.session import COUNTED, state_partitions
+from tradeloom.session import COUNTED, SPREAD, setting, shuffles_dropped, state_partitions
 from tradeloom.sources.admission import Admission
-from tradeloom.sources.documents import write_landing
+from tradeloom.sources.documents import _documents, _rows, write_landing
 from tradeloom.sources.landing import parse_documents, split_documents
-from tradeloom.sources.star import Star
+from tradeloom.sources.star import RAW, Star
 from tradeloom.streaming import counts, pipeline, sinks
 from tradeloom.streaming.dedup import dedup_stream
 from tradeloom.streaming.key_index import KeyIndex, append_unique
@@ -504,6 +505,60 @@ def test_files_of_the_test_feed_follow_its_tasks(spark, folder):
     assert got.count() == documents and got.filter("value IS NULL").isEmpty()
 
 
+def test_texts_of_the_test_feed_are_compressed_and_lines_shuffled_once(spark, folder):
+    star = Star(spark, "/root/testdata/sf0.001")
+    write_landing(star, f"{folder}/in")
+    files = [p for p in Path(folder).rglob("part-*")]
+    assert files and all(p.parent.name == "in" and p.name.endswith(".txt.gz") for p in files)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, SPREAD, "false"):
+        for entity, shuffles in {"sales_orders": 2, "shipments": 2, "returns": 2, "inventory_snapshots": 1}.items():
+            plan = _documents(_rows(star, entity), entity)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == shuffles, entity
+
+
+def test_orders_of_the_test_feed_with_odd_keys(spark, folder):
+    """Orders without a key, without lines, twice; lines without an order, without a number, twice."""
+    day = dt.datetime(2026, 4, 1)
+    orders = [(1, 10, "F", 5.0, day, "HIGH"), (1, 10, "F", 5.0, day, "HIGH"), (2, 10, "O", 6.0, day, None), (None, 11, "O", 7.0, day, "LOW")]
+    lines = [(1, 20, 31, 2, 4.0, 8.0, 0.5, 0.0, "R", "F", day), (1, 20, 30, 1, 4.0, 8.0, 0.5, 0.0, "R", "F", day),
+             (1, 20, 30, 1, 4.0, 8.0, 0.5, 0.0, "R", "F", day), (1, 20, 32, None, 4.0, 8.0, 0.5, 0.0, "R", "F", day),
+             (None, 20, 29, 1, 4.0, 8.0, 0.5, 0.0, "R", "F", day), (900, 20, 29, 1, 4.0, 8.0, 0.5, 0.0, "R", "F", day)]
+    spark.createDataFrame(orders, RAW["orders"]).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, RAW["lineitem"]).write.parquet(f"{folder}/lineitem.parquet")
+    star = Star(spark, folder)
+
+    def rows(entity):
+        return {(r.chunk, e[0]): (n, e) for r in _rows(star, entity).groupBy("chunk", "row").count().collect() for n, e in [(r["count"], r.row)]}
+    found = rows("sales_orders")
+    assert {k: n for k, (n, _) in found.items()} == {("0", "1"): 2, ("0", "2"): 1, (None, None): 1}
+    assert [e.line_id for e in found["0", "1"][1].lines] == [None, "1", "2"] and found["0", "1"][1].dc_id == "30"
+    assert found["0", "2"][1].lines is None and found[None, None][1].lines is None
+    assert {k: n for k, (n, _) in rows("shipments").items()} == {("0", "S1-1"): 2, ("0", "S1-2"): 2, ("0", "S1"): 2}
+    assert {k: n for k, (n, _) in rows("returns").items()} == {("0", "R1-1"): 2, ("0", "R1-2"): 2, ("0", "R1"): 2}
+
+
+def test_shuffle_files_go_and_tables_are_stored_compressed(spark, folder):
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+    table = Table({"n": "BIGINT", "_ingested_at": "TIMESTAMP"})
+    spark.range(100).select(F.col("id").alias("n"), F.lit(T0).alias("_ingested_at")).write.parquet(f"{folder}/from")
+    before = shuffled()
+    with state_partitions(spark, 2), shuffles_dropped(spark):
+        spark.range(100).repartition(3, "id").write.parquet(f"{folder}/batch")
+        rows = dedup_stream(sinks.stream_table(spark, f"{folder}/from", table), ["n"])
+        sinks.finish([sinks.append_stream(rows, f"{folder}/to", table, f"{folder}/checkpoint")])
+    Segments(spark, f"{folder}/segments").write(spark.range(5), "keys", 0)
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert sinks.read_table(spark, f"{folder}/to", table).count() == 100
+    for root in ("to", "segments/keys"):
+        assert any(p.name.endswith(".zstd.parquet") for p in Path(folder, root).rglob("part-*"))
+
+
 def test_texts_of_known_members_are_parsed_once_and_equal_the_long_way(spark):
     row = '{"customer_id":"1","region":"E: \'x\'","address":{"city":"c"}}'
     known = ['{"key":"a","value":{"customers":[%s,%s]}}' % (row, row), '{"customers":[%s]}' % row, "{}",
